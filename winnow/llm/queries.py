@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fingerprint
-from .common import table
+from . import bpe, chat, exact_dedup, fingerprint, quality, toxicity
+from .common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    return toxicity.score_toxicity(docs, model, 0.3).withColumn("held_out", fold_of("doc_id", 4) == 2)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -20,6 +26,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_tables(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return quality.score_quality(docs, model, 0.5).withColumn("held_out", fold_of("doc_id", 3) == 1)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
@@ -35,7 +47,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_bpe, op6_exact_dedup, op9_chat_format, op10_fingerprint)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_quality, op6_exact_dedup, op9_chat_format, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
