@@ -57,3 +57,26 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int
         step = max(1, int(n * max_bytes / max(1, batch.column(column).nbytes)))
         for at in range(0, n, step):
             yield batch.slice(at, step)
+
+
+#: Buckets of 32,768 bits in a bitmap of keys: 256 of them are 1 MB.
+BITMAP_BUCKETS = 256
+
+
+def _bit(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets * 32768)) + 1
+
+
+def maybe_among(rows: DataFrame, key: str, keys: DataFrame, buckets: int = BITMAP_BUCKETS) -> DataFrame:
+    """The rows whose key is among the keys (a table of one column), and a few others.
+
+    A bitmap of the keys' hashes, of fixed size and therefore safe to broadcast, is probed while
+    the rows are scanned, so that an exact join afterwards shuffles few other rows. With very many
+    keys the bitmap fills up and spares less; the result of that join stays the same.
+    """
+    bits = keys.toDF("__k").select(_bit(F.col("__k"), buckets).alias("__b")).groupBy(F.expr("bitmap_bucket_number(__b)").alias("__bucket"))
+    bitmap = bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(__b))").alias("__bitmap"))
+    probe = rows.withColumn("__b", _bit(F.col(key), buckets)).withColumn("__bucket", F.expr("bitmap_bucket_number(__b)")).withColumn("__at", F.expr("bitmap_bit_position(__b)"))
+    byte = F.conv(F.hex(F.substring("__bitmap", (F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(__byte, cast(__at % 8 as int))").bitwiseAND(F.lit(1)) == 1
+    return probe.join(F.broadcast(bitmap), "__bucket").withColumn("__byte", byte).filter(hit).select(*rows.columns)

@@ -14,28 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import maybe_among, text_of
 
-#: Buckets of 32,768 bits in the bitmap of repeated hashes: 256 of them are 1 MB.
-BITMAP_BUCKETS = 256
-
-
-def _bit(h: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(h), F.lit(buckets * 32768)) + 1
-
-
-def _may_repeat(keyed: DataFrame, repeated: DataFrame, buckets: int) -> DataFrame:
-    """Rows whose hash may be among the repeated ones: all that are, and a few that aren't."""
-    bits = repeated.select(_bit(F.col("__h"), buckets).alias("__b")).groupBy(F.expr("bitmap_bucket_number(__b)").alias("__bucket"))
-    bitmap = bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(__b))").alias("__bitmap"))
-    at = F.expr("bitmap_bit_position(__b)")
-    byte = F.conv(F.hex(F.substring("__bitmap", (F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    probe = keyed.withColumn("__b", _bit(F.col("__h"), buckets)).withColumn("__bucket", F.expr("bitmap_bucket_number(__b)")).withColumn("__at", at)
-    hit = F.expr("shiftright(__byte, cast(__at % 8 as int))").bitwiseAND(F.lit(1)) == 1
-    return probe.join(F.broadcast(bitmap), "__bucket").withColumn("__byte", byte).filter(hit)
-
-
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Callable[[Column], Column] = F.md5, buckets: int = BITMAP_BUCKETS) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """One row per document: id, keep_id, group_size (long), kept, text_sha256, by the bytes of the text.
 
     keep names the row of a group that stays: "min" for the smallest id, "max" for the largest.
@@ -50,7 +31,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = keyed.select("__id", "__h", "__sha")
     best = F.min if keep == "min" else F.max
     repeated = slim.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__h")
-    same = _may_repeat(keyed, repeated, buckets).groupBy("__h", "__sha", "__t").agg(best("__id").alias("__keep"), F.count(F.lit(1)).alias("__size"))
+    same = maybe_among(keyed, "__h", repeated).groupBy("__h", "__sha", "__t").agg(best("__id").alias("__keep"), F.count(F.lit(1)).alias("__size"))
     classes = same.select("__h", "__sha", "__keep", "__size").groupBy("__h", "__sha").agg(best("__keep").alias("__keep"), F.sum("__size").alias("__size"), F.count(F.lit(1)).alias("__texts"))
     classes = classes.filter("__size > 1").withColumn("__size", F.when(F.col("__texts") == 1, F.col("__size")).otherwise(F.raise_error(F.lit("two texts share both digests")).cast("long"))).drop("__texts")
     rows = slim.distinct().join(classes, ["__h", "__sha"], "left")

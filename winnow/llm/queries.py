@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fingerprint, quality, toxicity
+from . import bpe, chat, exact_dedup, fingerprint, jaccard, packing, pii, quality, toxicity
 from .common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,10 +32,22 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model, 0.5).withColumn("held_out", fold_of("doc_id", 3) == 1)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, n, role, r"\### Assistant: </turn> ok") for n, role in enumerate(("user", "assistant"))], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
@@ -47,7 +59,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_quality, op6_exact_dedup, op9_chat_format, op10_fingerprint)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_quality, op5_jaccard_join, op6_exact_dedup, op7_pii, op8_packing, op9_chat_format, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
