@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fingerprint, jaccard, packing, pii, quality, toxicity
+from . import bpe, chat, exact_dedup, fingerprint, jaccard, licenses, packing, pii, quality, toxicity
 from .common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model, 0.5).withColumn("held_out", fold_of("doc_id", 3) == 1)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_quality, op5_jaccard_join, op6_exact_dedup, op7_pii, op8_packing, op9_chat_format, op10_fingerprint)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bpe, op3_quality, op4_license_scan, op5_jaccard_join, op6_exact_dedup, op7_pii, op8_packing, op9_chat_format, op10_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -366,6 +366,19 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col
     return docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
 
 
+def keep_below(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """docs, all columns, without the rows whose text scores at the threshold or above. One narrow pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in small_batches(batches, text_col):
+            good = scorer.scores([t or "" for t in batch.column(text_col).to_pylist()]) < threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, settings: Settings | None = None) -> Model:
     """Train on the labelled documents that are not held out; see labelled_sample and Settings for the bounds."""
     s = settings or Settings()
