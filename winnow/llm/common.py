@@ -10,9 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import reach
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reach(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
