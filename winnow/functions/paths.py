@@ -118,8 +118,8 @@ def numbered_id(page: Column | str, n: Column | str) -> Column:
 
 
 def matches_glob(c: Column | str, pattern: str) -> Column:
-    """Whether a text matches a file-name pattern of *, ? and [...]."""
-    return as_col(c).rlike(fnmatch.translate(pattern).replace("(?s:", "(?s)(?:").replace("\\Z", "\\z").replace("\\z\\z", "\\z"))
+    """Whether a whole text matches a file-name pattern of *, ? and [...]."""
+    return as_col(c).rlike(r"\A" + fnmatch.translate(pattern).replace(r"\Z", r"\z"))
 
 
 def confidence_bucket(c: Column | str) -> Column:
