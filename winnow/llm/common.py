@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints that nothing refers to any more; it learns of them by collecting garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text with null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, sweep
+
+#: Edges that a task writes.
+EDGES_PER_TASK = 250_000
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -15,21 +20,28 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     the diameter. A hot node's neighbours are only ever aggregated (least one, combined before the
     shuffle) and joined. The edges are written to the shared folder each round.
     """
+    def state(df: DataFrame) -> tuple[int, int]:
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        return r["n"], r["h"]
+
     now = durable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct())
-    known = now
+    known, before = now, state(now)
+    tasks = max(8, math.ceil(before[0] / EDGES_PER_TASK))
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: larger neighbours of a node are joined to the least of the node and its neighbours
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a < b")
         # small star: smaller neighbours of a node, and the node, are joined to the least of them
         small_least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(small_least, "b")
         small = small.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(small_least.select(F.col("m").alias("a"), "b")).filter("a < b").distinct()
-        after = durable(small)
-        if after.count() == now.count() and after.exceptAll(now).isEmpty():
+        now = durable(small.coalesce(tasks))
+        sweep(now.sparkSession)
+        after = state(now)
+        if after == before:
             break
-        now = after
+        before = after
     else:
         raise RuntimeError("the components did not settle")
     nodes = known.select(F.col("a").alias("node")).unionByName(known.select(F.col("b").alias("node"))).distinct()

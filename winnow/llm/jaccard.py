@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, maybe_among, small_batches, text_of
+from .common import durable, maybe_among, small_batches, sweep, text_of
 from .components import components
 
 N, THRESHOLD, RECALL = 5, "0.8", 0.99999
@@ -250,6 +250,7 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
     held = held.select("node", "band", "hash", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     large = held.join(whole.filter("large").select("node", "copies", "bands", "grams"), "node").groupBy("band", "hash", "x", "y").applyInArrow(bucket, kinds)
     found = durable(small.unionByName(large))
+    sweep(docs.sparkSession)
 
     near = found.filter("node is not null").groupBy("node").agg(F.sum("near").alias("near"))
     classes = components(found.filter("a is not null").select("a", "b"))
