@@ -42,6 +42,8 @@ class Settings:
 
 #: A word; a longer run of word characters counts as several.
 WORD = re.compile(r"\w{1,48}")
+#: Words whose n-grams are held at a time.
+PART = 20_000
 _M = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646C], dtype=np.uint32)
 
 
@@ -213,7 +215,7 @@ def _windows(numbers: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.nda
     n, owner = np.array(n, dtype=np.int64), np.array(owner, dtype=np.int64)
     order = np.argsort(-n, kind="stable")
     steps = max(1, int(n.max(initial=0)))
-    grid = np.zeros((steps, len(at)), dtype=np.int64)
+    grid = np.zeros((steps, len(at)), dtype=np.int32)
     for j, i in enumerate(order.tolist()):
         grid[: n[i], j] = at[i]
     return grid, n[order], owner[order]
@@ -225,10 +227,10 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     y = np.array(labels, dtype=np.float32)
     if not len(y) or y.min() == y.max():
         return Model.new(s)
-    lists = [words_of(t) for t in texts]
     number: dict[str, int] = {}
-    numbers = [np.array([number.setdefault(w, len(number)) for w in x], dtype=np.int64) for x in lists]
+    numbers = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32) for t in texts]
     vocabulary = list(number)
+    del number
     if not vocabulary:
         return Model.new(s)
     docs_of = np.zeros(len(vocabulary), dtype=np.int64)
@@ -236,19 +238,24 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
         docs_of[np.unique(x)] += 1
     m = Model.new(s, [w for w, k in zip(vocabulary, docs_of.tolist(), strict=True) if k >= s.word_docs])
     # the first coordinate of each row starts at how much likelier its documents are to be toxic
-    rows = np.array([m.known.get(w, 0) for w in vocabulary])
-    owner, gram = grams_of(vocabulary, s.gram_rows)
-    by_word = [np.zeros(0, np.int64)] * len(vocabulary)
-    cuts = np.argsort(owner, kind="stable")
-    for part in np.split(cuts, np.flatnonzero(np.diff(owner[cuts])) + 1) if len(cuts) else []:
-        by_word[owner[part[0]]] = gram[part]
-    for table, size, keys in ((m.words, len(m.words), lambda u: np.unique(rows[u])), (m.grams, s.gram_rows, lambda u: np.unique(np.concatenate([by_word[i] for i in u.tolist()])))):
-        seen = np.zeros((2, size), dtype=np.float64)
+    rows = np.array([m.known.get(w, 0) for w in vocabulary], dtype=np.int32)
+    grams, ends = [], [np.zeros(1, dtype=np.int64)]
+    for k in range(0, len(vocabulary), PART):
+        part = vocabulary[k : k + PART]
+        owner, gram = grams_of(part, s.gram_rows)
+        grams.append(gram[np.argsort(owner, kind="stable")].astype(np.int32))
+        ends.append(ends[-1][-1] + np.cumsum(np.bincount(owner, minlength=len(part))))
+    flat, ends = np.concatenate(grams), np.concatenate(ends)
+    of_word = lambda u: rows[u]
+    of_grams = lambda u: np.concatenate([flat[ends[i] : ends[i + 1]] for i in u.tolist()])
+    for table, keys in ((m.words, of_word), (m.grams, of_grams)):
+        seen = np.zeros((2, len(table)), dtype=np.float64)
         for x, label in zip(numbers, labels, strict=True):
             if len(x):
-                seen[int(label), keys(np.unique(x))] += 1
+                seen[int(label), np.unique(keys(np.unique(x)))] += 1
         share = (seen + 0.5) / (np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1)
         table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * (seen.sum(axis=0) >= s.word_docs) * 0.5
+    del flat, grams, ends
     m.words[0] = 0
     grid, n, text_of_window = _windows(numbers, s)
     r = np.random.default_rng(s.seed)
@@ -258,8 +265,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     tick = 0
     for _ in range(s.epochs):
-        x, _parts = m.inputs(vocabulary)
-        p = m.projected(x)
+        p = np.concatenate([m.projected(m.inputs(vocabulary[k : k + PART])[0]) for k in range(0, len(vocabulary), PART)])
         logits = np.concatenate([m.forward(p, grid[:, k : k + 2048], n[k : k + 2048])[0] for k in range(0, len(n), 2048)])
         # the worst window of each text, and of texts without toxicity one more at random
         order = np.lexsort((-logits, text_of_window))
@@ -313,8 +319,8 @@ class Scorer:
             used = len(self.memo)
             while used + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
+            for k in range(0, len(new), PART):
+                part = new[k : k + PART]
                 self.table[used + k : used + k + len(part)] = self.model.projected(self.model.inputs(part)[0])
             self.memo.update(zip(new, range(used, used + len(new)), strict=True))
             out[lack] = [self.memo[words[i]] for i in lack.tolist()]
