@@ -36,6 +36,7 @@ class Settings:
     sample_clean: int = 2400  #: other labelled documents that it reads, at most
     sample_chars: int = 20_000  #: longer labelled documents are left out of that sample
     epochs: int = 12
+    steps: int = 100  #: batches that training takes at least: a small sample is gone through more often
     seed: int = 7
     memo: int = 150_000  #: distinct words whose inputs a worker remembers
 
@@ -254,9 +255,11 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
             if len(x):
                 seen[int(label), np.unique(keys(np.unique(x)))] += 1
         share = (seen + 0.5) / (np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1)
-        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * (seen.sum(axis=0) >= s.word_docs) * 0.5
+        common = seen.sum(axis=0) >= s.word_docs
+        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * common * 0.5
+        table[~common] = 0  # what too few documents have stays without a vector, so nothing is learnt by heart
+    fixed = [~m.words.any(axis=1), ~m.grams.any(axis=1)]
     del flat, grams, ends
-    m.words[0] = 0
     grid, n, text_of_window = _windows(numbers, s)
     r = np.random.default_rng(s.seed)
     first = {k: np.zeros_like(x) for k, x in m.dense.items()}
@@ -264,7 +267,8 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     sums = [np.full(len(m.words), 1e-3, np.float32), np.full(s.gram_rows, 1e-3, np.float32)]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     tick = 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.steps * 256 // (2 * len(y))))
+    for _ in range(epochs):
         p = np.concatenate([m.projected(m.inputs(vocabulary[k : k + PART])[0]) for k in range(0, len(vocabulary), PART)])
         logits = np.concatenate([m.forward(p, grid[:, k : k + 2048], n[k : k + 2048])[0] for k in range(0, len(n), 2048)])
         # the worst window of each text, and of texts without toxicity one more at random
@@ -291,7 +295,8 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
                 first[key] = 0.9 * first[key] + 0.1 * g
                 second[key] = 0.99 * second[key] + 0.01 * g * g
                 m.dense[key] -= (0.01 * (first[key] / (1 - 0.9**tick)) / (np.sqrt(second[key] / (1 - 0.99**tick)) + 1e-6)).astype(np.float32)
-            for table, total, index, g in ((m.words, sums[0], w_rows, d_x[:, : s.width]), (m.grams, sums[1], gram, d_x[owner, s.width :] / root[owner, None])):
+            for table, total, still, index, g in ((m.words, sums[0], fixed[0], w_rows, d_x[:, : s.width]), (m.grams, sums[1], fixed[1], gram, d_x[owner, s.width :] / root[owner, None])):
+                g, index = g[~still[index]], index[~still[index]]
                 touched, inv = np.unique(index, return_inverse=True)
                 g = np.stack([np.bincount(inv, g[:, j], minlength=len(touched)) for j in range(s.width)], axis=1)
                 total[touched] += (g * g).mean(axis=1)
