@@ -54,9 +54,23 @@ def shingles(words: Column) -> Column:
     return F.when(F.size(words) >= N, F.transform(F.sequence(F.lit(1), F.size(words) - (N - 1)), lambda i: F.array_join(F.slice(words, i, N), " "))).otherwise(F.array().cast("array<string>"))
 
 
+def permuted(band: int) -> Callable[[Column], Column]:
+    """The band's permutation of shingle hashes. (A lambda of two arguments would be given the index too.)"""
+    return lambda h: F.xxhash64(h, F.lit(band))
+
+
 def band_values(hashes: Column, bands: int) -> Column:
     """For each band the least value of its permutation over an array of shingle hashes."""
-    return F.array(*[F.array_min(F.transform(hashes, lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(bands)])
+    return F.array(*[F.array_min(F.transform(hashes, permuted(k))) for k in range(bands)])
+
+
+def band_minima(hashes: Column, bands: int) -> Column:
+    """For each band the shingle hash whose permuted value is least."""
+
+    def beside(k: int) -> Callable[[Column], Column]:
+        return lambda h: F.struct(permuted(k)(h).alias("v"), h.alias("h"))
+
+    return F.array(*[F.array_min(F.transform(hashes, beside(k)))["h"] for k in range(bands)])
 
 
 def _hashed(words: Column) -> Column:
@@ -87,7 +101,7 @@ def plan_templates(spark: SparkSession, templates: dict[str, str], containment:
     for p in made.values():
         own = rows.filter(F.col("template").isin([t for t, q in of.items() if q is p]))
         bands = own.select(F.lit(p.number).alias("plan"), F.posexplode(band_values(F.col("hashes"), p.bands)).alias("band", "value"), "template", "own")
-        least = own.select(F.explode(F.array(*[F.array_min(F.transform("hashes", lambda h, k=k: F.struct(F.xxhash64(h, F.lit(k)).alias("v"), h.alias("h"))))["h"] for k in range(p.bands)])).alias("h"))
+        least = own.select(F.explode(band_minima(F.col("hashes"), p.bands)).alias("h"))
         anchors[p.number] = sorted({r["h"] for r in least.collect()})
         tables = bands if tables is None else tables.unionByName(bands)
     return list(made.values()), tables, anchors
