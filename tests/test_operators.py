@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from winnow.functions.dom import parse
-from winnow.operators import crawl, dedup, emit, generate, html, index, media, rules, similarity, split, stats, validate
+from winnow.operators import crawl, dedup, emit, generate, html, index, media, order, rules, similarity, split, stats, validate
 from winnow.plans import reports, stages
 from winnow.sources import config, readers, sinks
 
@@ -51,7 +51,9 @@ def test_no_types_switch_the_rule_off(spark):
 def test_diversity_is_first_wins(spark):
     r = random.Random(1)
     rows = [(f"p{p}", n, f"p{p}-{n}", " ".join(r.choices("abcdefg", k=5))) for p in range(6) for n in range(12)]
-    got = {x["qa_id"]: x["similar_to"] for x in rules.diverse(spark.createDataFrame(rows, "page_id string, pair_ord int, qa_id string, question string"), threshold=0.6).collect()}
+    table = spark.createDataFrame(rows, "page_id string, pair_ord int, qa_id string, question string")
+    got = {x["qa_id"]: x["similar_to"] for x in rules.diverse(table, threshold=0.6).collect()}
+    assert {x["qa_id"]: x["similar_to"] for x in rules.diverse_by_pairs(table, threshold=0.6).collect()} == got
     for p in range(6):
         kept = []
         for _, _, i, q in (x for x in rows if x[0] == f"p{p}"):
@@ -152,6 +154,16 @@ def test_budget_and_slices(spark):
     assert split.page_slice(rows, 3, "unknown").count() == 3
 
 
+def test_order_over_the_whole_table(spark):
+    r = random.Random(7)
+    values = list(range(500))
+    r.shuffle(values)
+    rows = spark.createDataFrame([(v, float(v % 7)) for v in values], "v int, c double").repartition(9)
+    assert {x["v"]: x["rank"] for x in order.with_rank(rows, ["v"]).collect()} == {v: v + 1 for v in values}
+    assert {x["v"]: x["spent"] for x in order.with_sum_before(rows, ["v"], "c").collect()} == {v: sum(float(u % 7) for u in range(v)) for v in values}
+    assert order.with_rank(rows.limit(0), ["v"]).count() == 0
+
+
 def test_length_stats(spark):
     f = lambda n: spark.createDataFrame([("x" * i,) for i in n], "answer string")
     assert tuple(stats.length_stats(f([1, 2, 3, 4])).first()) == (1, 4, 2.5, 3)

@@ -6,18 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import match_key
+from .order import with_rank
 from .similarity import leaders
 
 #: Survivor strategies: the order within a group whose first row stays. higher_confidence is longer_answer.
 SURVIVORS = ("longer_answer", "first_seen", "higher_confidence")
 
 
-def survivor_order(strategy: str, answer: str = "answer", page: str = "page_id", qa_id: str = "qa_id") -> list[Column]:
+def survivor_order(strategy: str, answer: str = "answer", page: str = "page_id", qa_id: str = "qa_id") -> Column:
+    """What a group's rows are ordered by; the least stays."""
     if strategy not in SURVIVORS:
         raise ValueError(f"no such strategy: {strategy}")
     if strategy == "first_seen":
-        return [F.col(page), F.col(qa_id)]
-    return [F.length(F.coalesce(F.col(answer), F.lit(""))).desc(), F.col(qa_id)]
+        return F.struct(F.col(page).alias("x"), F.col(qa_id).alias("id"))
+    return F.struct((-F.length(F.coalesce(F.col(answer), F.lit("")))).alias("x"), F.col(qa_id).alias("id"))
 
 
 def exact_groups(rows: DataFrame, question: str = "question", scope: tuple[str, ...] = (), order: tuple[str, ...] = ("doc_ord", "pair_ord"), unicode: bool = False) -> DataFrame:
@@ -30,15 +32,21 @@ def exact_groups(rows: DataFrame, question: str = "question", scope: tuple[str,
     keyed = rows.withColumn("__key", match_key(F.coalesce(F.col(question), F.lit("")), unicode))
     on = [*scope, "__key"]
     many = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(*order)).alias("__first")).filter("__n > 1")
-    numbered = many.withColumn("__g", F.row_number().over(Window.partitionBy(*scope).orderBy("__first")) if scope else F.row_number().over(Window.orderBy("__first")))
+    numbered = many.withColumn("__g", F.row_number().over(Window.partitionBy(*scope).orderBy("__first"))) if scope else with_rank(many, ["__first"], "__g")
     out = keyed.join(numbered, on)
     return out.select(*rows.columns, F.format_string("exact-%03d", "__g").alias("group_id"), F.lit("exact").alias("match_type"), F.lit(1.0).alias("similarity_score"))
 
 
 def pick_survivors(groups: DataFrame, strategy: str = "longer_answer", **names) -> DataFrame:
-    """Rows of groups with kept (one in each group) and kept_qa_id."""
-    w = Window.partitionBy("group_id").orderBy(*survivor_order(strategy, **names))
-    return groups.withColumn("kept", F.row_number().over(w) == 1).withColumn("kept_qa_id", F.first(names.get("qa_id", "qa_id")).over(w))
+    """Rows of groups with kept (one id in each group) and kept_qa_id.
+
+    The best row of a group is an aggregate, combined before the shuffle, and comes back by a join,
+    so that a group with a third of all rows isn't sorted in one task.
+    """
+    own = groups.withColumn("__o", survivor_order(strategy, **names))
+    best = own.groupBy("group_id").agg(F.min("__o").alias("__best"))
+    met = own.join(best, "group_id")
+    return met.select(*groups.columns, (F.col("__o") == F.col("__best")).alias("kept"), F.col("__best.id").alias("kept_qa_id"))
 
 
 def drop_ids(rows: DataFrame, groups: DataFrame, keys: tuple[str, ...] = ("page_id", "qa_id")) -> DataFrame:
@@ -59,7 +67,7 @@ def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, thres
     ordered = free.join(vectors, qa_id).withColumn("__ord", F.struct(*order, F.col(qa_id)))
     lead = leaders(ordered.select(F.col(qa_id).alias("id"), F.col("__ord").alias("ord"), "embedding"), threshold)
     scored = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("__n"), F.avg(F.when(F.col("id") != F.col("leader"), F.col("similarity"))).alias("similarity_score"), F.min("ord").alias("__first")).filter("__n > 1")
-    numbered = scored.withColumn("group_id", F.format_string("semantic-%03d", F.row_number().over(Window.orderBy("__first"))))
+    numbered = with_rank(scored, ["__first"], "__g").withColumn("group_id", F.format_string("semantic-%03d", "__g"))
     members = lead.select(F.col("id").alias(qa_id), "leader").join(numbered.select("leader", "group_id", "similarity_score"), "leader").drop("leader")
     return free.join(members, qa_id).withColumn("match_type", F.lit("semantic")).select(*rows.columns, "group_id", "match_type", "similarity_score")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import matches_glob
 from ..functions.text import as_col, first_phrase, jaccard, strip, stripped_length, word_set
+from .similarity import jaccard_pairs, lead
 
 #: Phrases and question types of the standard configuration, in order.
 GENERIC_ANSWERS = ("cannot determine", "not visible", "unclear from", "I don't see", "I cannot see", "I can't determine", "the image doesn't show", "not specified", "please refer to", "typically", "usually", "generally")
@@ -97,6 +98,17 @@ def diverse(rows: DataFrame, page: str = "page_id", order: str = "pair_ord", qa_
     return rows.join(marks, F.col(page).eqNullSafe(F.col("__page")) & (F.col(order) == F.col("__ord"))).drop("__page", "__ord")
 
 
+def diverse_by_pairs(rows: DataFrame, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id", question: str = "question", threshold: float = 0.80) -> DataFrame:
+    """What diverse returns, for pages of any size: near pairs by a join, then leaders in rounds; a page is never gathered."""
+    keyed = rows.withColumn("__id", F.struct(F.col(page).alias("p"), F.col(order).alias("o")))
+    sets = keyed.select(page, "__id", word_set(F.coalesce(F.col(question), F.lit(""))).alias("words"))
+    near = jaccard_pairs(sets, threshold, (page,), "__id").select("a", "b", "similarity")
+    found = lead(keyed.select(F.col("__id").alias("id"), F.col(order).alias("ord")), near)
+    names = keyed.select(F.col("__id").alias("leader"), F.col(qa_id).cast("string").alias("__name"))
+    mark = found.join(names, "leader").select(F.col("id").alias("__id"), F.when(F.col("id") != F.col("leader"), F.struct(F.col("__name").alias("n"), F.col("similarity").alias("s"))).alias("__m"))
+    return keyed.join(mark, "__id").select(*rows.columns, F.col("__m.n").alias("similar_to"), F.col("__m.s").alias("similarity"))
+
+
 def apply_rules(rows: DataFrame, rules: Rules | None = None, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id") -> DataFrame:
     """rows with filter_name and reason (null for pairs that pass), similar_to and similarity.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import with_sum_before
+
 
 def shuffle_key(seed: int, id_col: str) -> Column:
     """Orders rows as if shuffled: MD5 of seed and id."""
@@ -53,12 +55,15 @@ def diverse_sample(rows: DataFrame, n: int, patterns: list[str], is_last: Column
 def within_budget(rows: DataFrame, budget: float | None, order: str = "ord", cost: str = "cost", scope: str | None = None) -> DataFrame:
     """rows with spent (before the row) and status: done while spent < budget, then crossing, then not_run.
 
+    Sums run over the whole table in ranges of the order, or within a scope column's values.
     The row that uses the budget up still runs: it is crossing if its cost takes the sum to the
     budget or past it. No budget: all are done.
     """
-    w = (Window.partitionBy(scope) if scope else Window.partitionBy()).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(cost).over(w), F.lit(0.0))
-    out = rows.withColumn("spent", spent)
+    if scope:
+        w = Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        out = rows.withColumn("spent", F.coalesce(F.sum(cost).over(w), F.lit(0.0)))
+    else:
+        out = with_sum_before(rows, [order], cost)
     if budget is None:
         return out.withColumn("status", F.lit("done"))
     return out.withColumn("status", F.when(F.col("spent") >= budget, "not_run").when(F.col("spent") + F.col(cost) >= budget, "crossing").otherwise("done"))
