@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import basename, file_type, needs_conversion, parent_name, stem
 from ..operators.index import last_per_key
+from ..operators.validate import field_findings
 
 INVENTORY = "file_path string, file_type string, section_dir string, filename string, needs_conversion string"
 PREPARED = "file_path string, file_type string, section_dir string, filename string, original_source string"
@@ -155,3 +156,8 @@ def read_images(spark: SparkSession, root: str, pattern: str = "*.{jpg,jpeg,png,
     """(path, content) of the images under root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(need(spark, root))
     return files.select(plain_path(F.col("path")).alias("path"), "content")
+
+
+def read_validated(spark: SparkSession, path: str, schema: str, required: list[str]) -> DataFrame:
+    """JSON lines, none if there is no such file, with the errors and warnings of their required fields."""
+    return field_findings(read_jsonl_if_there(spark, path, schema), required)
