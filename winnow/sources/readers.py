@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import basename, file_type, needs_conversion, parent_name, stem
 from ..operators.index import last_per_key
+from ..operators.order import with_rank
 from ..operators.validate import field_findings
 
 INVENTORY = "file_path string, file_type string, section_dir string, filename string, needs_conversion string"
@@ -122,14 +123,15 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD) -> DataFram
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with line (from 1, blank ones counted) and ordinal (from 0, without them).
+    """Non-blank lines with line (from 1 within their file, blank ones counted) and ordinal (from 0, without them).
 
-    Each file is split at line ends in one row, so numbers don't depend on partitions: for files of
-    records, which a task can hold; a folder's files are numbered one after the other by name.
+    Files of any size: lines are read in splits and ranked by file, split and place in it.
     """
-    whole = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
-    each = whole.select("file", F.posexplode(F.split("value", "\n")).alias("i", "raw")).filter(F.trim(F.regexp_replace("raw", r"(?U)\s+", " ")) != "")
-    return each.select("file", (F.col("i") + 1).alias("line"), (F.row_number().over(Window.orderBy("file", "i")) - 1).alias("ordinal"), "raw")
+    each = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"), F.col("value").alias("raw"))
+    ranked = with_rank(each, ["file", "b", "m"], "r")
+    first = ranked.groupBy("file").agg(F.min("r").alias("f"))
+    full = ranked.join(first, "file").withColumn("line", F.col("r") - F.col("f") + 1).filter(F.trim(F.regexp_replace("raw", r"(?U)\s+", " ")) != "")
+    return with_rank(full, ["r"], "n").select("file", "line", (F.col("n") - 1).alias("ordinal"), "raw")
 
 
 def read_jsonl_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
