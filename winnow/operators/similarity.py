@@ -60,13 +60,13 @@ def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = ()
     """(scope, a, b, similarity) of the pairs a < b within a scope whose item sets' Jaccard similarity reaches the threshold.
 
     Exact, by prefixes: items are ranked from the rarest; two sets that reach the threshold share
-    one of the first size - ceil(threshold * size) + 1 items of each. Only those are joined, with a
-    filter on sizes, and the candidates are verified on the whole sets.
+    one of the first size - ceil(threshold * size) + 1 items of each. Only those are joined, as
+    hashes and with a filter on sizes, and the candidates are verified on the whole sets.
     """
     rows = sets.select(*scope, F.col(id_col).alias("id"), F.array_distinct(items).alias("items")).filter((F.size("items") > 0) & F.col("id").isNotNull())
-    each = rows.select(*scope, "id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    each = rows.select(*scope, "id", F.size("items").alias("n"), F.explode(F.transform("items", lambda x: F.xxhash64(x))).alias("item"))
     rarity = each.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    ranked = each.join(rarity, "item").groupBy(*scope, "id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("r"))
+    ranked = each.join(rarity, "item").groupBy(*scope, "id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("r"))
     prefix = F.slice("r", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9).cast("int") + 1)
     tokens = ranked.select(*scope, "id", "n", F.explode(prefix).alias("p")).select(*scope, "id", "n", F.col("p.item").alias("item"))
     left, right = tokens.toDF(*scope, "a", "na", "item"), tokens.toDF(*scope, "b", "nb", "item")
