@@ -1,10 +1,11 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over characters and words.
 
-A word's input is its own vector, if training has met it in several documents, beside the mean of the
-vectors of its character n-grams, so that forms never seen share what their parts have taught. The network reads overlapping windows of
-words in both directions, attention pools its states, and a logistic unit scores the window. A
-text's score is that of its worst window, in training and in use alike. It is trained in numpy, on
-the driver, from a bounded sample of labelled documents.
+A word's input is its own vector, if training has met it in several documents, beside the mean of
+the vectors of its character n-grams, so that forms never seen share what their parts have taught;
+a run of one word counts as one. The network reads overlapping windows of words in both
+directions, attention pools its states, and a logistic unit scores the window. A text's score is
+that of its worst window, in training and in use alike. The network is trained in numpy, on the
+driver, from a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -204,6 +205,11 @@ class Model:
         return grad, d_p
 
 
+def _once(x: np.ndarray) -> np.ndarray:
+    """A text's word numbers with each run of one word as a single word."""
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def _windows(numbers: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of texts given as word numbers: (steps, windows) numbers, lengths, and the text of each; longest first."""
     at, n, owner = [], [], []
@@ -229,7 +235,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     if not len(y) or y.min() == y.max():
         return Model.new(s)
     number: dict[str, int] = {}
-    numbers = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32) for t in texts]
+    numbers = [_once(np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32)) for t in texts]
     vocabulary = list(number)
     del number
     if not vocabulary:
@@ -336,7 +342,7 @@ class Scorer:
         s = self.model.settings
         if len(self.memo) > s.memo:
             self.forget()
-        numbers = [self._numbers(words_of(t)) for t in texts]
+        numbers = [_once(self._numbers(words_of(t))) for t in texts]
         best = np.full(len(texts), -np.inf)
         grid, n, owner = _windows(numbers, s)
         for k in range(0, len(n), block):
