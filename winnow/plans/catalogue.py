@@ -235,7 +235,12 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.cosine_pairs(table(spark, sf_dir, "embeddings"), 0.3, "vec_id").withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_COS}, nl AS (SELECT b AS id, list(a) AS es FROM near GROUP BY b), ids AS (SELECT vec_id AS id, row_number() OVER (ORDER BY vec_id) AS i FROM embeddings),
+walk AS (SELECT i, id, [id] AS kept, id AS leader FROM ids WHERE i = 1
+  UNION ALL SELECT x.i, x.id, CASE WHEN n.es IS NOT NULL AND list_has_any(n.es, w.kept) THEN w.kept ELSE list_append(w.kept, x.id) END,
+    CASE WHEN n.es IS NOT NULL AND list_has_any(n.es, w.kept) THEN list_min(list_intersect(n.es, w.kept)) ELSE x.id END
+  FROM walk w JOIN ids x ON x.i = w.i + 1 LEFT JOIN nl n ON n.id = x.id)
+SELECT w.id, w.leader, coalesce(round(s, 6), 1.0) AS similarity FROM walk w LEFT JOIN near ON a = w.leader AND b = w.id""")
 def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("vec_id").alias("ord"), "embedding")
     return similarity.leaders(v, 0.3).select("id", "leader", F.round("similarity", 6).alias("similarity"))
@@ -393,6 +398,11 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.links_of(table(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+@query("""SELECT page_id, CAST(i - 1 AS INTEGER) AS n, hrefs[i] AS href FROM (SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href=["'']?([^"''>]*)["'']?[^>]*>', 1) AS hrefs FROM pages))""")
+def page_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.links_of(table(spark, sf_dir, "pages"), keep=["page_id"]).select("page_id", "n", "href")
+
+
 @query()
 def page_forums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.forums_of(table(spark, sf_dir, "pages"), "https://forum.example.org", keep=["page_id"])
