@@ -262,7 +262,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
                 seen[int(label), np.unique(keys(np.unique(x)))] += 1
         share = (seen + 0.5) / (np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1)
         common = seen.sum(axis=0) >= s.word_docs
-        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * common * 0.5
+        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * common * 0.25
         table[~common] = 0  # what too few documents have stays without a vector, so nothing is learnt by heart
     fixed = [~m.words.any(axis=1), ~m.grams.any(axis=1)]
     del flat, grams, ends
@@ -306,7 +306,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
                 touched, inv = np.unique(index, return_inverse=True)
                 g = np.stack([np.bincount(inv, g[:, j], minlength=len(touched)) for j in range(s.width)], axis=1)
                 total[touched] += (g * g).mean(axis=1)
-                table[touched] -= (0.05 * g / np.sqrt(total[touched])[:, None]).astype(np.float32)
+                table[touched] -= (0.006 * g / np.sqrt(total[touched])[:, None]).astype(np.float32)
     return m
 
 
