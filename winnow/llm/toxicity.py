@@ -271,7 +271,7 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     first = {k: np.zeros_like(x) for k, x in m.dense.items()}
     second = {k: np.zeros_like(x) for k, x in m.dense.items()}
     sums = [np.full(len(m.words), 1e-3, np.float32), np.full(s.gram_rows, 1e-3, np.float32)]
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    weight = np.sqrt(np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum())))  # halfway to equal classes
     tick = 0
     epochs = max(s.epochs, -(-s.steps * 256 // (2 * len(y))))
     for _ in range(epochs):
