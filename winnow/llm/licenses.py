@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -84,7 +85,8 @@ def plan_templates(spark: SparkSession, templates: dict[str, str], containment:
 
     The table has a row for each band of each template: its size is that of the template list.
     """
-    rows = spark.createDataFrame(sorted(templates.items()), "template string, text string").withColumn("words", words_of(F.col("text")))
+    given = F.array(*[F.struct(F.lit(name).alias("template"), F.lit(text).alias("text")) for name, text in sorted(templates.items())])
+    rows = spark.range(1).select(F.explode(given).alias("t")).select("t.*").withColumn("words", words_of(F.col("text")))
     rows = rows.select("template", F.array_distinct(shingles(F.col("words"))).alias("own"), _hashed(F.col("words")).alias("hashes"))
     facts = rows.select("template", F.size("hashes").alias("places"), F.size("own").alias("m")).collect()
     if short := [r["template"] for r in facts if not r["places"]]:
@@ -97,13 +99,15 @@ def plan_templates(spark: SparkSession, templates: dict[str, str], containment:
         least = need / (window + r["m"] - need)
         bands = 1 if least >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - least))
         of[r["template"]] = made.setdefault((window, stride, bands), Plan(len(made), window, stride, bands))
-    tables, anchors = None, {}
+    parts, minima = [], []
     for p in made.values():
         own = rows.filter(F.col("template").isin([t for t, q in of.items() if q is p]))
-        bands = own.select(F.lit(p.number).alias("plan"), F.posexplode(band_values(F.col("hashes"), p.bands)).alias("band", "value"), "template", "own")
-        least = own.select(F.explode(band_minima(F.col("hashes"), p.bands)).alias("h"))
-        anchors[p.number] = sorted({r["h"] for r in least.collect()})
-        tables = bands if tables is None else tables.unionByName(bands)
+        parts.append(own.select(F.lit(p.number).alias("plan"), F.posexplode(band_values(F.col("hashes"), p.bands)).alias("band", "value"), "template", "own"))
+        minima.append(own.select(F.lit(p.number).alias("plan"), F.explode(band_minima(F.col("hashes"), p.bands)).alias("h")))
+    tables = reduce(DataFrame.unionByName, parts)
+    anchors: dict[int, list[int]] = {p.number: [] for p in made.values()}
+    for r in reduce(DataFrame.unionByName, minima).distinct().collect():  # as many rows as the templates have bands
+        anchors[r["plan"]].append(r["h"])
     return list(made.values()), tables, anchors
 
 
