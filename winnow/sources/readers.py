@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import basename, file_type, needs_conversion, parent_name, stem
@@ -100,7 +100,8 @@ def read_documents(spark: SparkSession, folder: str, schema: str = QA_DOCUMENT,
             raise ValueError(f"no JSON documents in {folder}")
         return spark.createDataFrame([], f"{schema}, file_name string, doc_ord bigint")
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(folder.rstrip("/") + "/*.json").withColumn("file_name", F.col("_metadata.file_name"))
-    return rows.withColumn("doc_ord", (F.row_number().over(Window.orderBy("file_name")) - 1).cast("long"))
+    names = with_rank(rows.select("file_name").distinct(), ["file_name"], "__r")
+    return rows.join(names, "file_name").withColumn("doc_ord", F.col("__r") - 1).select(*[f.name for f in rows.schema if f.name != "file_name"], "file_name", "doc_ord")
 
 
 def read_keyed_documents(spark: SparkSession, folder: str, schema: str = INDEX) -> DataFrame:
