@@ -283,6 +283,23 @@ def test_licence_bands_find_what_they_should():
     assert 1 - (1 - 0.579) ** 14 > licenses.RECALL - 1e-4
 
 
+def test_licence_scan_finds_short_notices(spark):
+    texts = ["prose of some words\nAll rights reserved.", "ALL RIGHTS RESERVED", "all rights", "rights reserved all", "a. All rights\nreserved; b c all rights reserved", "", None, "We reserve all rights", f"All rights reserved. {TEMPLATES['mit-notice']}"]
+    found = {}
+    for x in licenses.scan_licenses(odd(spark, texts)).filter("template = 'all-rights-reserved'").collect():
+        found.setdefault(x["doc_id"], []).append((x["first_word"], x["last_word"], x["containment"], x["n_windows"]))
+    want = {}
+    for i, t in enumerate(texts):
+        w = [x for x in re.split(r"[\W_]+", (t or "").lower()) if x]
+        if at := [k for k in range(len(w) - 2) if w[k : k + 3] == ["all", "rights", "reserved"]]:
+            want[i] = [(k, k + 2, 1.0, 1) for k in at]
+    assert {i: sorted(x) for i, x in found.items()} == want and len(want) == 4
+    one = licenses.scan_licenses(odd(spark, ["x Copyleft y", "copy left"]), {"word": "Copyleft", **TEMPLATES}).collect()
+    assert [(x["doc_id"], x["template"], x["first_word"], x["last_word"]) for x in one] == [(0, "word", 1, 1)]
+    with pytest.raises(ValueError, match="without words"):
+        licenses.scan_licenses(odd(spark), {"none": "..."})
+
+
 def labelled(n, seed, bad):
     r = random.Random(seed)
     words = ["".join(r.choices("abcdefghi", k=r.randint(2, 7))) for _ in range(300)]

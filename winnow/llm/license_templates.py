@@ -30,3 +30,6 @@ TEMPLATES = {
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
+
+#: Notices of fewer than five words, which are found word for word.
+SHORT_TEMPLATES = {"all-rights-reserved": "All rights reserved."}

@@ -20,16 +20,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .license_templates import TEMPLATES
+from .license_templates import SHORT_TEMPLATES, TEMPLATES
 
 N, CONTAINMENT, RECALL = 5, 0.8, 0.99999
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Windows and bands for the templates of one length. Positions are those of shingles."""
+    """Windows and bands for the templates of one length. Positions are those of shingles of n words."""
 
     number: int
+    n: int
     window: int
     stride: int
     bands: int
@@ -45,14 +46,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def shingle_hash(hashes: Column, i: Column) -> Column:
-    """Hash of the N words from place i, counted from 0, given the words' hashes."""
-    return F.xxhash64(*[F.get(hashes, i + k) for k in range(N)])
+def shingle_hash(hashes: Column, i: Column, n: int = N) -> Column:
+    """Hash of the n words from place i, counted from 0, given the words' hashes."""
+    return F.xxhash64(*[F.get(hashes, i + k) for k in range(n)])
 
 
-def shingles(words: Column) -> Column:
+def shingles(words: Column, n: int = N) -> Column:
     """The shingles of words as strings."""
-    return F.when(F.size(words) >= N, F.transform(F.sequence(F.lit(1), F.size(words) - (N - 1)), lambda i: F.array_join(F.slice(words, i, N), " "))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
 def permuted(band: int) -> Callable[[Column], Column]:
@@ -74,31 +75,39 @@ def band_minima(hashes: Column, bands: int) -> Column:
     return F.array(*[F.array_min(F.transform(hashes, beside(k)))["h"] for k in range(bands)])
 
 
-def _hashed(words: Column) -> Column:
+def _hashed(words: Column, n: int = N) -> Column:
     """The hash of each shingle of words."""
-    whole = let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.transform(F.sequence(F.lit(0), F.size(own) - N), lambda i: shingle_hash(own, i)))
-    return F.when(F.size(words) >= N, whole).otherwise(F.array().cast("array<bigint>"))
+    whole = let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.transform(F.sequence(F.lit(0), F.size(own) - n), lambda i: shingle_hash(own, i, n)))
+    return F.when(F.size(words) >= n, whole).otherwise(F.array().cast("array<bigint>"))
+
+
+def _by_length(n: Column, lengths: list[int], value: Callable[[int], Column]) -> Column:
+    """value of a row's shingle length, which is one of lengths."""
+    return F.coalesce(*[F.when(n == k, value(k)) for k in lengths])
 
 
 def plan_templates(spark: SparkSession, templates: dict[str, str], containment: float = CONTAINMENT, recall: float = RECALL) -> tuple[list[Plan], DataFrame, dict[int, list[int]]]:
     """The plans, a table (plan, band, value, template, shingles) and for each plan the hashes that are a minimum in a band.
 
     The table has a row for each band of each template: its size is that of the template list.
+    A template of fewer than N words is one shingle of its own length.
     """
     given = F.array(*[F.struct(F.lit(name).alias("template"), F.lit(text).alias("text")) for name, text in sorted(templates.items())])
     rows = spark.range(1).select(F.explode(given).alias("t")).select("t.*").withColumn("words", words_of(F.col("text")))
-    rows = rows.select("template", F.array_distinct(shingles(F.col("words"))).alias("own"), _hashed(F.col("words")).alias("hashes"))
-    facts = rows.select("template", F.size("hashes").alias("places"), F.size("own").alias("m")).collect()
-    if short := [r["template"] for r in facts if not r["places"]]:
-        raise ValueError(f"templates of fewer than {N} words: {short}")
-    made: dict[tuple[int, int, int], Plan] = {}
+    rows, lengths = rows.withColumn("n", F.least(F.size("words"), F.lit(N))), list(range(1, N + 1))
+    own, hashes = (_by_length(F.col("n"), lengths, lambda k, f=f: f(F.col("words"), k)) for f in (shingles, _hashed))
+    rows = rows.select("template", "n", F.array_distinct(own).alias("own"), hashes.alias("hashes"))
+    facts = rows.select("template", "n", F.size("hashes").alias("places"), F.size("own").alias("m")).collect()
+    if empty := [r["template"] for r in facts if not r["n"]]:
+        raise ValueError(f"templates without words: {empty}")
+    made: dict[tuple[int, int, int, int], Plan] = {}
     of: dict[str, Plan] = {}
     for r in sorted(facts, key=lambda r: (r["places"], r["template"])):
         need, stride = math.ceil(containment * r["m"]), max(1, r["places"] // 5)
         window = r["places"] + stride - 1
         least = need / (window + r["m"] - need)
         bands = 1 if least >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - least))
-        of[r["template"]] = made.setdefault((window, stride, bands), Plan(len(made), window, stride, bands))
+        of[r["template"]] = made.setdefault((r["n"], window, stride, bands), Plan(len(made), r["n"], window, stride, bands))
     parts, minima = [], []
     for p in made.values():
         own = rows.filter(F.col("template").isin([t for t, q in of.items() if q is p]))
@@ -115,7 +124,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cont
     """One row per licence notice found: id, template, first_word, last_word, containment, n_windows.
 
     A notice is a stretch of overlapping windows each of which holds at least the given share of
-    the template's five-word shingles; its bounds are those of the windows (words counted from 0),
+    the template's five-word shingles, or all words of a template of fewer; its bounds are those of the windows (words counted from 0),
     its containment is the best window's. A template that differs from its occurrence by longer
     insertions than a window's slack is judged by the part that a window holds.
 
@@ -123,27 +132,34 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cont
     null id stays null. An empty table gives an empty result, and further columns are ignored. Only
     windows around a template's minima leave the scan; texts are never shuffled.
     """
-    plans, bands, anchors = plan_templates(docs.sparkSession, TEMPLATES if templates is None else templates, containment, recall)
+    plans, bands, anchors = plan_templates(docs.sparkSession, {**TEMPLATES, **SHORT_TEMPLATES} if templates is None else templates, containment, recall)
     text = text_of(F.col(text_col))
-    every = sorted({h for x in anchors.values() for h in x})
+    lengths = sorted({p.n for p in plans})
+    n_of = F.coalesce(*[F.when(F.col("plan") == p.number, F.lit(p.n)) for p in plans])
 
     def windows(p: Plan, words: Column, at: Column) -> Column:
         mine = F.filter(at, lambda x: x["h"].isin(anchors[p.number]))
         low = lambda x: F.greatest(F.lit(0), F.ceil((x["i"] - (p.window - 1)) / F.lit(p.stride)).cast("int"))
         starts = F.array_distinct(F.flatten(F.transform(mine, lambda x: F.sequence(low(x), F.floor(x["i"] / F.lit(p.stride)).cast("int")))))
-        return F.transform(starts, lambda k: F.struct(F.lit(p.number).alias("plan"), (k * p.stride).alias("start"), F.slice(words, k * p.stride + 1, p.window + N - 1).alias("part")))
+        return F.transform(starts, lambda k: F.struct(F.lit(p.number).alias("plan"), (k * p.stride).alias("start"), F.slice(words, k * p.stride + 1, p.window + p.n - 1).alias("part")))
 
     def around(words: Column) -> Column:
-        places = let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.filter(F.transform(F.sequence(F.lit(0), F.size(own) - N), lambda i: F.struct(i.alias("i"), shingle_hash(own, i).alias("h"))), lambda x: x["h"].isin(every)))
-        return F.when(F.size(words) >= N, let(places, lambda at: F.when(F.size(at) > 0, F.concat(*[windows(p, words, at) for p in plans]))))
+        def of(n: int, own: Column) -> Column:
+            mine = [p for p in plans if p.n == n]
+            every = sorted({h for p in mine for h in anchors[p.number]})
+            places = F.filter(F.transform(F.sequence(F.lit(0), F.size(own) - n), lambda i: F.struct(i.alias("i"), shingle_hash(own, i, n).alias("h"))), lambda x: x["h"].isin(every))
+            places = F.when(F.size(own) >= n, places).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
+            return let(places, lambda at: F.concat(*[windows(p, words, at) for p in mine]))
+
+        return let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.concat(*[of(n, own) for n in lengths]))
 
     # explode_outer, and the filter behind it: a filter before it would compute the windows twice
     seen = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), F.explode_outer(let(words_of(text), around)).alias("w")).filter("w is not null").select("id", "key", "w.plan", "w.start", "w.part")
-    seen = seen.withColumn("hashes", _hashed(F.col("part")))
+    seen = seen.withColumn("n", n_of).withColumn("hashes", _by_length(F.col("n"), lengths, lambda n: _hashed(F.col("part"), n)))
     values = F.coalesce(*[F.when(F.col("plan") == p.number, band_values(F.col("hashes"), p.bands)) for p in plans])
-    met = seen.select("id", "key", "plan", "start", "part", F.posexplode(values).alias("band", "value")).join(F.broadcast(bands), ["plan", "band", "value"])
-    met = met.select("id", "key", "start", "part", "template", "own").dropDuplicates(["id", "key", "start", "template"])
-    share = F.size(F.array_intersect("own", shingles(F.col("part")))) / F.size("own")
+    met = seen.select("id", "key", "plan", "n", "start", "part", F.posexplode(values).alias("band", "value")).join(F.broadcast(bands), ["plan", "band", "value"])
+    met = met.select("id", "key", "n", "start", "part", "template", "own").dropDuplicates(["id", "key", "start", "template"])
+    share = F.size(F.array_intersect("own", _by_length(F.col("n"), lengths, lambda n: shingles(F.col("part"), n)))) / F.size("own")
     found = met.select("id", "key", "template", F.col("start").alias("first"), (F.col("start") + F.size("part") - 1).alias("last"), share.alias("share")).filter(F.col("share") >= containment)
     # overlapping windows of a template in a text are one notice
     order = Window.partitionBy("id", "key", "template").orderBy("first", "last")
