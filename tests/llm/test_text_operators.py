@@ -234,6 +234,33 @@ def test_chat_table(spark):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_chat_does_not_depend_on_the_run(spark):
+    n = 600
+    table = spark.createDataFrame([(1, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(n)], "conv_id bigint, turn bigint, role string, text string")
+    turns = [(("user", "assistant")[k % 2], f"t{k}") for k in range(n)]
+
+    def body(ts):
+        return "".join(f"[{r}|{t}]" for r, t in ts)
+
+    def preamble(ts):
+        return "<begin>" + body(ts)
+
+    def sliding(ts):
+        return body(ts[-550:])
+
+    def read(span):
+        return tuple(span.removeprefix("<begin>").strip("[]").split("|", 1)) if "|" in span else ("", span)
+
+    for template, rewrites in ((preamble, False), (sliding, True)):
+        rows = []
+        for run in (512, 7, 10_000):
+            rows += chat.format_conversations(table, template, read, lambda t: t, with_output=True, run_turns=run).collect()
+        assert rows[0] == rows[1] == rows[2]
+        assert rows[0]["formatted"] == template(turns) and rows[0]["formatted_chars"] == len(template(turns)) and rows[0]["rewrites_history"] == rewrites
+    got = chat.format_conversations(table, preamble, read, lambda t: t, with_output=True).first()
+    assert [got["formatted"][a:b] for a, b in got["loss_spans"]] == [t for r, t in turns if r == "assistant"]
+
+
 def test_templates_that_rewrite_history_are_seen():
     turns = [("user", "a"), ("assistant", "b"), ("user", "c")]
     assert not chat.locate(turns, chat.plain_template)[2]

@@ -25,7 +25,7 @@ OPEN, CLOSE = "### ", "</turn>"
 _CONTROL = re.compile(r"\\|### |</turn>|: ")
 _ESCAPED = re.compile(r"\\(\\|### |</turn>|: )")
 _PLACE = "\ue000\ue001"
-#: Turns of a conversation that are rendered as one run of prefixes; a longer conversation is rendered in such runs.
+#: Turns that are gathered before the prefixes that end with them are rendered. The result does not depend on it.
 RUN = 512
 
 
@@ -51,30 +51,45 @@ def read_turn(span: str) -> Turn:
     return unescape(m[1]), unescape(body[m.end() :])
 
 
-def locate(turns: list[Turn], template: Template) -> tuple[str, list[tuple[int, int, int, int]], bool]:
-    """The output for all turns; for each turn the bounds of its span and of its content; whether history is rewritten.
+class Rendering:
+    """A conversation that grows: the output for all its turns, each turn's bounds, whether history is rewritten.
 
-    Spans of a template that rewrites history are where consecutive outputs part and the ends of the outputs.
+    Every prefix begins with the conversation's first turn, however the turns arrive. Bounds are
+    those of the turn's span and of its content; spans of a template that rewrites history are
+    where consecutive outputs part and the ends of the outputs.
     """
-    before, spans, rewrites, frames = "", [], False, {}
-    for k in range(1, len(turns) + 1):
-        now = template(turns[:k])
-        if now.startswith(before):
-            at = len(before)
-        else:
-            rewrites = True
-            at = next((i for i, (a, b) in enumerate(zip(before, now, strict=False)) if a != b), min(len(before), len(now)))
-        role, key = turns[k - 1][0], (turns[k - 1][0], turns[k - 2][0] if k > 1 else None)
-        head, tail = frames.get(key, (None, None))
-        if head is None or rewrites or not (now.startswith(head, at) and now.endswith(tail) and at + len(head) + len(tail) <= len(now)):
-            probe = template([*turns[: k - 1], (role, _PLACE)])
-            mark = probe.rfind(_PLACE)
-            if mark < at:
-                raise ValueError("the template does not show the turn's text")
-            head, tail = frames[key] = probe[at:mark], probe[mark + len(_PLACE) :]
-        spans.append((at, len(now), at + len(head), len(now) - len(tail)))
-        before = now
-    return before, spans, rewrites
+
+    def __init__(self, template: Template):
+        self.template, self.turns = template, []
+        self.out, self.spans, self.rewrites, self.frames = "", [], False, {}
+
+    def extend(self, more: list[Turn]) -> None:
+        turns, template = self.turns, self.template
+        for turn in more:
+            turns.append(turn)
+            k, before, now = len(turns), self.out, template(turns[:])
+            if now.startswith(before):
+                at = len(before)
+            else:
+                self.rewrites = True
+                at = next((i for i, (a, b) in enumerate(zip(before, now, strict=False)) if a != b), min(len(before), len(now)))
+            role, key = turn[0], (turn[0], turns[k - 2][0] if k > 1 else None)
+            head, tail = self.frames.get(key, (None, None))
+            if head is None or self.rewrites or not (now.startswith(head, at) and now.endswith(tail) and at + len(head) + len(tail) <= len(now)):
+                probe = template([*turns[:-1], (role, _PLACE)])
+                mark = probe.rfind(_PLACE)
+                if mark < at:
+                    raise ValueError("the template does not show the turn's text")
+                head, tail = self.frames[key] = probe[at:mark], probe[mark + len(_PLACE) :]
+            self.spans.append((at, len(now), at + len(head), len(now) - len(tail)))
+            self.out = now
+
+
+def locate(turns: list[Turn], template: Template) -> tuple[str, list[tuple[int, int, int, int]], bool]:
+    """The output for all turns; for each turn the bounds of its span and of its content; whether history is rewritten."""
+    r = Rendering(template)
+    r.extend(turns)
+    return r.out, r.spans, r.rewrites
 
 
 def format_conversations(
@@ -89,9 +104,10 @@ def format_conversations(
     Turns are ordered by turn, ties by role and text; repeated rows are turns of their own. A null
     text or role is empty, null conv_ids form one conversation, an empty table gives an empty
     result; further columns are ignored. Rows are shuffled by conversation and sorted, and a task
-    streams through them: it holds run_turns turns of one conversation at a time. A longer
-    conversation is rendered in runs of so many turns, each of which begins anew, so its rewriting
-    of history is seen within a run; every turn is formatted whatever the length.
+    streams through them: it holds one conversation at a time. Every prefix is rendered from the
+    conversation's true beginning, whatever its length, so time grows with the square of a
+    conversation's length. Prefixes are rendered whenever run_turns turns have been gathered; the
+    result does not depend on that number.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites_history"] + ["formatted", "loss_spans"] * with_output
     kinds = [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()] + [pa.string(), pa.list_(pa.list_(pa.int64()))] * with_output
@@ -100,32 +116,25 @@ def format_conversations(
         state: dict | None = None
 
         def flush(s: dict) -> None:
-            if not s["turns"]:
-                return
-            out, spans, rewrites = locate(s["turns"], template)
-            for at, end, start, stop in spans:
-                role, text = read(out[at:end])
-                s["all"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                if role == loss_role:
-                    own = unescape(out[start:stop])
-                    s["loss"].update(own.encode("utf-8", "surrogatepass"))
-                    s["loss_chars"] += len(own)
-                    if with_output:
-                        s["spans"].append([s["chars"] + start, s["chars"] + stop])
-            s["n"] += len(spans)
-            s["chars"] += len(out)
-            s["rewrites"] |= rewrites
-            if with_output:
-                s["out"].append(out)
+            s["rendering"].extend(s["turns"])
             s["turns"] = []
 
         def close(s: dict) -> list:
             flush(s)
-            row = [s["id"], s["n"], s["all"].hexdigest(), s["loss_chars"], s["loss"].hexdigest(), s["chars"], s["rewrites"]]
-            return row + ["".join(s["out"]), s["spans"]] * with_output
+            r, every, loss, loss_chars, marked = s["rendering"], hashlib.sha256(), hashlib.sha256(), 0, []
+            for at, end, start, stop in r.spans:
+                role, text = read(r.out[at:end])
+                every.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+                if role == loss_role:
+                    own = unescape(r.out[start:stop])
+                    loss.update(own.encode("utf-8", "surrogatepass"))
+                    loss_chars += len(own)
+                    marked.append([start, stop])
+            row = [s["id"], len(r.spans), every.hexdigest(), loss_chars, loss.hexdigest(), len(r.out), r.rewrites]
+            return row + [r.out, marked] * with_output
 
         def begin(i: object) -> dict:
-            return {"id": i, "turns": [], "n": 0, "chars": 0, "loss_chars": 0, "rewrites": False, "all": hashlib.sha256(), "loss": hashlib.sha256(), "out": [], "spans": []}
+            return {"id": i, "turns": [], "rendering": Rendering(template)}
 
         kind = None
 
