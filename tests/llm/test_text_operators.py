@@ -273,6 +273,15 @@ def test_templates_that_rewrite_history_are_seen():
     assert rewrites and out[spans[2][2] : spans[2][3]] == "c"
 
 
+def test_chat_probes_every_turn():
+    def later(ts):
+        return "".join(f"{r}: {'[2] ' if k > 1 else ''}{t}{'<end>' if k > 2 else ''}" for k, (r, t) in enumerate(ts))
+
+    turns = [("user", f"text {k}") for k in range(5)]
+    out, spans, rewrites = chat.locate(turns, later)
+    assert not rewrites and [out[a:b] for _, _, a, b in spans] == [t for _, t in turns]
+
+
 def brute_notices(t):
     w = [x for x in re.split(r"[\W_]+", (t or "").lower()) if x]
     grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]

@@ -61,26 +61,23 @@ class Rendering:
 
     def __init__(self, template: Template):
         self.template, self.turns = template, []
-        self.out, self.spans, self.rewrites, self.frames = "", [], False, {}
+        self.out, self.spans, self.rewrites = "", [], False
 
     def extend(self, more: list[Turn]) -> None:
         turns, template = self.turns, self.template
         for turn in more:
             turns.append(turn)
-            k, before, now = len(turns), self.out, template(turns[:])
+            before, now = self.out, template(turns[:])
             if now.startswith(before):
                 at = len(before)
             else:
                 self.rewrites = True
                 at = next((i for i, (a, b) in enumerate(zip(before, now, strict=False)) if a != b), min(len(before), len(now)))
-            role, key = turn[0], (turn[0], turns[k - 2][0] if k > 1 else None)
-            head, tail = self.frames.get(key, (None, None))
-            if head is None or self.rewrites or not (now.startswith(head, at) and now.endswith(tail) and at + len(head) + len(tail) <= len(now)):
-                probe = template([*turns[:-1], (role, _PLACE)])
-                mark = probe.rfind(_PLACE)
-                if mark < at:
-                    raise ValueError("the template does not show the turn's text")
-                head, tail = self.frames[key] = probe[at:mark], probe[mark + len(_PLACE) :]
+            probe = template([*turns[:-1], (turn[0], _PLACE)])
+            mark = probe.rfind(_PLACE)
+            if mark < at:
+                raise ValueError("the template does not show the turn's text")
+            head, tail = probe[at:mark], probe[mark + len(_PLACE) :]
             self.spans.append((at, len(now), at + len(head), len(now) - len(tail)))
             self.out = now
 
