@@ -435,6 +435,23 @@ def test_quality_separates_junk():
     assert got[:30] == pytest.approx(brute, abs=0.05)
 
 
+def test_quality_reads_long_tokens_whole():
+    s = quality.Settings()
+    letters, first = "a" * 64, s.word_terms + s.shape_terms
+
+    def row(t):
+        return dict(zip(*(x.tolist() for x in next(quality.Terms(s).rows([t]))), strict=True))
+
+    def measures(t):
+        return {k for k in row(t) if k >= first}
+
+    assert measures(letters + "&" * 14_000) != measures(letters + "b" * 14_000)
+    signs = first + quality.MEASURES.index("signs") * quality.BINS
+    assert signs + quality.BINS - 1 in measures(letters + "&" * 14_000) and signs in measures(letters + "b" * 14_000)
+    assert "".join(quality.shapes("a.b-" * 100)) == "a.a-" * 100 and quality.shapes(letters + "&" * 14_000) == ["a&&"]
+    assert sum(n for k, n in row("a.b-" * 100 + " x " + "a.b-" * 100).items() if s.word_terms <= k < first) == 2 * 34 + 1
+
+
 def test_document_frequencies_cover_all_rows(spark):
     s = quality.Settings()
     total, seen = quality.document_frequencies(odd(spark), s)

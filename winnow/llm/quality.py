@@ -42,16 +42,19 @@ class Settings:
 
 #: Bins of each measure of a whole text, and how much the three kinds of term weigh.
 BINS = 12
+#: Signs of a folded token that make one shape; a longer one has several.
+PIECE = 12
 MEASURES = ("repeated words", "repeated lines", "share of the commonest word", "mean length of words", "signs", "upper case", "length")
 WEIGHTS = (0.4, 1.0, 1.0)
 _FOLD = str.maketrans({**{c: "0" for c in "0123456789"}})
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def shape(token: str) -> str:
-    """Letters folded to a, A (all upper case) or Aa, digits to 0; runs of a sign to two at most."""
-    s = _LETTERS.sub(lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "a", token[:64]).translate(_FOLD)
-    return re.sub(r"(.)\1+", r"\1\1", s)[:12]
+def shapes(token: str) -> list[str]:
+    """Letters folded to a, A (all upper case) or Aa, digits to 0; runs of a sign to two at most; in pieces of PIECE."""
+    s = _LETTERS.sub(lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "a", token).translate(_FOLD)
+    s = re.sub(r"(.)\1+", r"\1\1", s)
+    return [s[k : k + PIECE] for k in range(0, len(s), PIECE)]
 
 
 class Terms:
@@ -63,6 +66,7 @@ class Terms:
 
     def forget(self) -> None:
         self.memo: dict[str, int] = {}
+        self.more: dict[int, list[int]] = {}  # shape terms after the first, of tokens with several
         self.facts = np.zeros((5, 1024), dtype=np.int32)  # by token: word term, shape term, signs, upper case, letters
 
     def _learn(self, tokens: list[str]) -> None:
@@ -72,14 +76,16 @@ class Terms:
         forms: dict[str, int] = {}
         rows = []
         for t in tokens:
-            head = t[:64]
-            if head.isalpha():
-                letters, form = len(head), "A" if len(head) > 1 and head.isupper() else "a"
+            if t.isalpha():
+                letters, own = len(t), ["A" if len(t) > 1 and t.isupper() else "a"]
             else:
-                letters, form = sum(map(str.isalnum, head)), shape(t)
-            if form not in forms:
-                forms[form] = s.word_terms + xxhash.xxh32_intdigest(form) % s.shape_terms
-            rows.append((xxhash.xxh32_intdigest(t.lower().strip(".,;:!?")) % s.word_terms, forms[form], len(head) - letters, len(t) > 1 and t.isupper(), letters))
+                letters, own = sum(map(str.isalnum, t)), shapes(t)
+            for form in own:
+                if form not in forms:
+                    forms[form] = s.word_terms + xxhash.xxh32_intdigest(form) % s.shape_terms
+            if len(own) > 1:
+                self.more[used + len(rows)] = [forms[form] for form in own[1:]]
+            rows.append((xxhash.xxh32_intdigest(t.lower().strip(".,;:!?")) % s.word_terms, forms[own[0]], len(t) - letters, len(t) > 1 and t.isupper(), letters))
         self.facts[:, used : used + len(tokens)] = np.array(rows, dtype=np.int32).T
         self.memo.update(zip(tokens, range(used, used + len(tokens)), strict=True))
 
@@ -99,12 +105,13 @@ class Terms:
         counts = np.zeros(0)
         if n:
             word, form, signs, upper, letters = self.facts[:, codes]
-            uses = np.unique(codes, return_counts=True)[1]
+            distinct, uses = np.unique(codes, return_counts=True)
             lines = Counter(text.split("\n"))
             m = sum(lines.values())
             letters_all, signs_all = int(letters.sum()), int(signs.sum())
             bins = [(1 - len(uses) / n) * BINS, (1 - len(lines) / m) * BINS, uses.max() / n * 2 * BINS, letters_all / n, signs_all / max(1, letters_all + signs_all) * 2 * BINS, upper.sum() / n * BINS, math.log2(n)]
-            counts = np.bincount(np.concatenate([word, form]), minlength=self.s.word_terms + self.s.shape_terms)
+            more = [k for c, u in zip(distinct.tolist(), uses.tolist(), strict=True) if c in self.more for k in self.more[c] * u] if self.more else []
+            counts = np.bincount(np.concatenate([word, form, np.array(more, dtype=np.int32)]), minlength=self.s.word_terms + self.s.shape_terms)
         at = np.flatnonzero(counts)
         base = self.s.word_terms + self.s.shape_terms
         own = np.array([base + k * BINS + min(BINS - 1, int(b)) for k, b in enumerate(bins)])
