@@ -262,3 +262,14 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
             stage(spark, now, SMALL).write.parquet(str(tmp_path / f"{k}{name}"))
             now = spark.read.parquet(str(tmp_path / f"{k}{name}"))
         assert (now.count() == 0) == (k == 1)
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    words = [f"w{k}" for k in range(60)]
+    a, near, other = " ".join(words), " ".join([*words[:-1], "end"]), " ".join(f"v{k}" for k in range(40))
+    twin = " ".join(f"u{k}" for k in range(60))
+    rows = [(1, a), (5, near), (5, other), (7, twin), (7, twin + " end"), (None, other + " x y"), (None, other + " x y")]
+    got = jaccard.one_of_each_class(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    left = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert (1, a) in left and (5, other) in left and (5, near) not in left
+    assert sum(i == 7 for i, _ in left) == 1 and sum(i is None for i, _ in left) == 2 and len(left) == 5

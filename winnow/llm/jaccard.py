@@ -155,7 +155,7 @@ def shared_bands(bands: np.ndarray, mine: int | None = None) -> np.ndarray:
     return out if mine is None else ~out & (bands[:, mine, None] == bands[None, :, mine])
 
 
-def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, recall: float = RECALL, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", unit_nodes: int = UNIT_NODES, block: int = BLOCK) -> DataFrame:
+def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, recall: float = RECALL, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", unit_nodes: int = UNIT_NODES, block: int = BLOCK, with_kept: bool = False) -> DataFrame:
     """One row per document: id, class_id, class_size, n_links, n_grams.
 
     Two documents are linked if the Jaccard similarity of their sets of word n-grams reaches the
@@ -167,12 +167,14 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
     A text of fewer than n words has one gram of all its words. Texts without words, null ones
     among them, have no grams and are linked to each other. Rows that repeat an id are documents
     of their own and get equal rows; ids must be integers, and a null id forms no links. An empty
-    table gives an empty result.
+    table gives an empty result. with_kept adds text_sha256, and kept: whether the row has the least
+    id, and of the texts under that id the least SHA-256, of its class.
     """
     limit = Fraction(threshold)
     count = bands_for(float(limit), rows, recall)
     shingler = docs.sparkSession.sparkContext.broadcast((n, count, rows))
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(F.col(text_col)).alias("text"))
+    keyed = source.withColumn("sha", F.sha2("text", 256) if with_kept else F.lit(""))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler(*shingler.value)
@@ -185,10 +187,10 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
                 bands.append(s.band_hashes(g).view(np.int64))
             flat = pa.array(np.concatenate(bands), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * count, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), lists], names=["id", "digest", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), lists], names=["id", "sha", "digest", "size", "bands"])
 
-    signed = durable(source.mapInArrow(sign, "id bigint, digest binary, size bigint, bands array<bigint>"))
-    nodes = durable(signed.filter("id is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"), F.first("bands").alias("bands")).withColumn("node", F.xxhash64("digest")))
+    signed = durable(keyed.mapInArrow(sign, "id bigint, sha string, digest binary, size bigint, bands array<bigint>"))
+    nodes = durable(signed.filter("id is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.min(F.struct("id", "sha")).alias("best"), F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"), F.first("bands").alias("bands")).withColumn("node", F.xxhash64("digest")))
 
     # buckets of several nodes, as stars around the least node
     hashed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", "band", "hash")
@@ -254,21 +256,25 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
 
     near = found.filter("node is not null").groupBy("node").agg(F.sum("near").alias("near"))
     classes = components(found.filter("a is not null").select("a", "b"))
-    known = nodes.select("digest", "node", "first_id", "copies").join(near, "node", "left").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = known.groupBy("component").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    known = known.join(sizes, "component").select("digest", "class_id", "class_size", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = nodes.select("digest", "node", "first_id", "best", "copies").join(near, "node", "left").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = known.groupBy("component").agg(F.min("first_id").alias("class_id"), F.min("best").alias("kept"), F.sum("copies").alias("class_size"))
+    known = known.drop("best").join(sizes, "component").select("digest", "class_id", "kept", "class_size", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     alone = F.col("id").isNull()
-    out = signed.select("id", "digest", "size").join(known, "digest", "left")
+    out = signed.select("id", "sha", "digest", "size").join(known, "digest", "left")
     return out.select(
         F.col("id").alias(id_col),
         F.when(~alone, F.col("class_id")).alias("class_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
         F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
         F.col("size").alias("n_grams"),
+        *[F.col("sha").alias("text_sha256"), (alone | (F.struct("id", "sha") == F.col("kept"))).alias("kept")] * with_kept,
     )
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs, all columns, without the documents whose class has a smaller id; documents without an id stay."""
-    lost = jaccard_classes(docs, id_col=id_col, text_col=text_col, **options).filter(F.col("class_id") < F.col(id_col)).select(F.col(id_col).alias("__lost")).distinct()
-    return docs.join(lost, F.col(id_col) == F.col("__lost"), "left_anti")
+    """docs, all columns, with one row of each class, that of the least id; documents without an id stay."""
+    lost = jaccard_classes(docs, id_col=id_col, text_col=text_col, with_kept=True, **options).filter(~F.col("kept"))
+    lost = lost.select(F.col(id_col).alias("__lost_id"), F.col("text_sha256").alias("__lost_sha")).distinct()
+    marked = docs.withColumn("__sha", F.sha2(text_of(F.col(text_col)), 256)).withColumn("__row", F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
+    stay = marked.join(lost, (F.col(id_col) == F.col("__lost_id")) & (F.col("__sha") == F.col("__lost_sha")), "left_anti")
+    return stay.dropDuplicates([id_col, "__sha", "__row"]).drop("__sha", "__row")
