@@ -1,8 +1,8 @@
 """Personal data: plain patterns, and a semi-Markov conditional random field that adds what they miss.
 
 The field reads the pieces (runs of letters, of digits, of blanks, single signs) around digits and
-at-signs that the plain patterns left over. Every run of at most LONGEST pieces that could be an
-entity is a candidate segment with features of the whole span: its digits and their grouping, signs,
+at-signs that the plain patterns left over. Every run of at most LONGEST pieces and REACH characters
+that could be an entity is a candidate segment with features of the whole span: its digits and their grouping, signs,
 checksum, what stands beside it. Dynamic programming over the pieces chooses boundaries and types of
 all segments of a neighbourhood together. Its weights are trained here, by the gradient of the
 likelihood, on examples drawn from a seeded generator of formats.
@@ -26,6 +26,8 @@ from .common import small_batches, text_of
 KINDS = ("email", "ip", "card", "phone")
 #: Pieces of a segment, at most.
 LONGEST = 18
+#: Characters of a segment, at most.
+REACH = 120
 #: A segment is taken if the best labelling with it beats the best without it by so much.
 MARGIN = 0.5
 
@@ -150,7 +152,7 @@ class Field:
                 if blocked[j]:
                     break
                 b = pieces[j][1]
-                if b - a > 120:
+                if b - a > REACH:
                     break
                 if _may_be(text[a:b]):
                     before = re.search(r"([^\W\d_]+)\W*$", text[max(0, a - 16) : a])
@@ -228,37 +230,58 @@ class Field:
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Spans that the field adds; none of them touches a base span."""
         out: list[Span] = []
+        held, k = _merged(base), 0
         for a, b in _neighbourhoods(text):
-            held = [(x, y) for _, x, y in base if x < b and y > a]
             pieces = [m.span() for m in _PIECE.finditer(text, a, b)]
-            blocked = [any(x < q and y > p for x, y in held) for p, q in pieces] if held else [False] * len(pieces)
+            while k < len(held) and held[k][1] <= a:  # both lists ascend: each stretch is met once
+                k += 1
+            blocked, at = [], k
+            for p, q in pieces:
+                while at < len(held) and held[at][1] <= p:
+                    at += 1
+                blocked.append(at < len(held) and held[at][0] < q)
             segs = self.segments(text, pieces, blocked)
             if segs:
                 out += [(kind, pieces[i][0], pieces[j - 1][1]) for i, j, kind in self.best(len(pieces), segs)]
         return out
 
 
+def _merged(spans: list[Span]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, ascending and apart."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def _neighbourhoods(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of text around digits and at-signs: outside them no candidate can lie."""
-    reach = 48
+    """Stretches of text within a segment's reach of digits and at-signs: every candidate lies in one of them."""
     start = end = -1
     for m in _SEED.finditer(text):
         if start < 0:
-            start, end = max(0, m.start() - reach), m.end() + reach
-        elif m.start() - reach <= end:
-            end = m.end() + reach
+            start, end = max(0, m.start() - REACH), m.end() + REACH
+        elif m.start() - REACH <= end:
+            end = m.end() + REACH
         else:
             yield _trim(text, start, end)
-            start, end = m.start() - reach, m.end() + reach
+            start, end = m.start() - REACH, m.end() + REACH
     if start >= 0:
         yield _trim(text, start, min(len(text), end))
 
 
+def _kind(c: str) -> int:
+    """Which run of a piece a character belongs to; 0 if it is a piece of its own."""
+    return 1 if "0" <= c <= "9" else 3 if c.isspace() else 2 if c.isalnum() and not c.isdecimal() else 0
+
+
 def _trim(text: str, a: int, b: int) -> tuple[int, int]:
-    """Without the pieces that the ends cut."""
-    while 0 < a < b and text[a - 1].isalnum() and text[a].isalnum():
+    """Without the pieces that the ends cut; these reach too far for any candidate."""
+    while 0 < a < b and (k := _kind(text[a])) and _kind(text[a - 1]) == k:
         a += 1
-    while b < len(text) and b > a and text[b - 1].isalnum() and text[b].isalnum():
+    while a < b < len(text) and (k := _kind(text[b - 1])) and _kind(text[b]) == k:
         b -= 1
     return a, b
 
@@ -293,8 +316,10 @@ def examples(seed: int = 3, count: int = 60) -> list[tuple[str, list[Span]]]:
         for f in formats:
             for _ in range(count if kind else count // 2):
                 before = " ".join(word() for _ in range(r.integers(0, 3))) + str(r.choice([" ", ". ", ", ", "\n", ": "]))
+                before = "" if r.random() < 0.15 else before
                 own = f()
-                text = f"{before}{own}{r.choice([' ', '. ', ', ', chr(10)])}{word()}"
+                after = "" if r.random() < 0.15 else f"{r.choice([' ', '. ', ', ', chr(10)])}{word()}"
+                text = f"{before}{own}{after}"
                 out.append((text, [(kind, len(before), len(before) + len(own))] if kind else []))
     return [out[i] for i in r.permutation(len(out))]
 
