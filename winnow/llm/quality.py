@@ -44,6 +44,8 @@ class Settings:
 BINS = 12
 #: Signs of a folded token that make one shape; a longer one has several.
 PIECE = 12
+#: Steps of a coordinate: products of two coordinates, and sums of such products, are exact in 64 bits.
+GRAIN = 1 << 22
 MEASURES = ("repeated words", "repeated lines", "share of the commonest word", "mean length of words", "signs", "upper case", "length")
 WEIGHTS = (0.4, 1.0, 1.0)
 _FOLD = str.maketrans({**{c: "0" for c in "0123456789"}})
@@ -141,18 +143,22 @@ def document_frequencies(docs: DataFrame, s: Settings, text_col: str = "text") -
     return total, seen
 
 
+def grained(v: np.ndarray) -> np.ndarray:
+    return np.rint(v * GRAIN) / GRAIN
+
+
 @dataclass
 class Model:
     settings: Settings
     weight: np.ndarray  # of each term: inverse document frequency
     space: np.ndarray  # (terms, rank)
-    vectors: np.ndarray  # (rank, labelled documents), unit columns
+    vectors: np.ndarray  # (rank, labelled documents), unit columns in steps of 1 / GRAIN
     labels: np.ndarray
 
     def vector(self, row: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         at, value = weighted(self, row)
-        v = value @ self.space[at]
-        return v / max(1e-9, float(np.sqrt(v @ v)))
+        v = (value @ self.space[at]).astype(np.float64)
+        return grained(v / max(1e-9, float(np.sqrt(v @ v))))
 
 
 def weighted(m: Model, row: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +173,7 @@ def weighted(m: Model, row: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray,
 
 def fit(sample: list[tuple[str, int]], total: int, seen: np.ndarray, s: Settings) -> Model:
     """The latent space of the labelled sample, and its vectors. Without a sample the space is empty."""
-    m = Model(s, np.log((1 + total) / (1 + seen)).astype(np.float32) + 0.1, np.zeros((len(seen), s.rank), np.float32), np.zeros((s.rank, 0), np.float32), np.zeros(0, np.float32))
+    m = Model(s, np.log((1 + total) / (1 + seen)).astype(np.float32) + 0.1, np.zeros((len(seen), s.rank), np.float32), np.zeros((s.rank, 0)), np.zeros(0, np.float32))
     if not sample:
         return m
     terms = Terms(s)
@@ -184,19 +190,28 @@ def fit(sample: list[tuple[str, int]], total: int, seen: np.ndarray, s: Settings
     r = min(s.rank, len(scale))
     m.space[:, :r] = right[:r].T
     m.labels = np.array([y for _, y in sample], dtype=np.float32)
-    v = dense @ m.space
-    m.vectors = np.ascontiguousarray((v / np.maximum(1e-9, np.sqrt((v * v).sum(axis=1, keepdims=True)))).T)
+    v = np.stack([value @ m.space[at] for at, value in rows]).astype(np.float64)
+    m.vectors = np.ascontiguousarray(grained(v / np.maximum(1e-9, np.sqrt((v * v).sum(axis=1, keepdims=True)))).T)
     return m
 
 
 def vote(m: Model, vectors: np.ndarray) -> np.ndarray:
-    """Scores of unit vectors: their nearest neighbours' labels, weighted by similarity; 0.5 without neighbours."""
+    """Scores of unit vectors: their nearest neighbours' labels, weighted by similarity; 0.5 without neighbours.
+
+    Vectors are multiples of 1 / GRAIN, so that products are exact in any order and equal texts get
+    equal votes. Of neighbours with equal cosines at the last place the first ones of the sample count.
+    """
     if not m.vectors.shape[1]:
         return np.full(len(vectors), 0.5)
     cosine = vectors @ m.vectors
     k = min(m.settings.neighbours, cosine.shape[1])
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(cosine, near, axis=1), 0.0).astype(np.float64) ** m.settings.power + 1e-9
+    last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1, None]
+    above, level = cosine > last, cosine == last
+    lack = k - above.sum(axis=1, keepdims=True)
+    if (level.sum(axis=1, keepdims=True) > lack).any():
+        level &= np.cumsum(level, axis=1) <= lack
+    near = np.nonzero(above | level)[1].reshape(len(vectors), k)
+    w = np.maximum(np.take_along_axis(cosine, near, axis=1), 0.0) ** m.settings.power + 1e-9
     return (w * m.labels[near]).sum(axis=1) / w.sum(axis=1)
 
 
@@ -205,8 +220,9 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.5, id_col:
 
     A null text is empty; an empty text has only the terms of its measures and is scored by these.
     Each row gives one row, repeated rows equal ones; a null id stays null; ties among neighbours
-    at the last place are broken by the order of the sample. One narrow pass without a shuffle. The
-    broadcast model's size is set by Settings: about 2 MB.
+    at the last place are broken by the order of the sample. An empty table gives an empty result,
+    further columns are ignored. One narrow pass without a shuffle. The broadcast model's size is
+    set by Settings: about 3 MB.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
