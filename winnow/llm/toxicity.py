@@ -1,19 +1,21 @@
-"""Toxicity: a bidirectional gated recurrent network with attention pooling over characters and words.
-
-A word's input is its own vector, if training has met it in several documents, beside the mean of
-the vectors of its character n-grams, so that forms never seen share what their parts have taught;
-a run of one word counts as one. The network reads overlapping windows of words in both
-directions, attention pools its states, and a logistic unit scores the window. A text's score is
-that of its worst window, in training and in use alike. The network is trained in numpy, on the
-driver, from a bounded sample of labelled documents.
+"""Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs.
+
+A token is a run of word characters or a run of signs; nothing but white space is passed over. Its
+characters are read as a sequence: at each place hashed n-grams that end there are the input of a
+small bidirectional gated recurrent network, whose states attention pools. That reading stands
+beside the token's own vector, if training has met it in several documents. A second network of
+the same kind reads windows of tokens, and a logistic unit scores its pooled states. A text's score
+is that of its worst window, in training and in use alike. The networks are trained in numpy, on
+the driver, from a bounded sample of labelled documents; a fifth of that sample is set aside and
+says when to stop.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,61 +27,72 @@ from .common import fold_of, small_batches, text_of
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of the network and of its training."""
-
-    window: int = 64  #: words of a window
-    stride: int = 48  #: words from one window's start to the next
-    hidden: int = 10
-    width: int = 8  #: of the word part and of the character part of an input
-    word_docs: int = 3  #: training documents in which a word must occur to have a vector of its own
+    """Parameters of the networks and of their training."""
+
+    window: int = 64  #: tokens of a window
+    stride: int = 48  #: tokens from one window's start to the next
+    hidden: int = 10  #: states of the network over tokens, in each direction
+    char_hidden: int = 4  #: states of the network over characters, in each direction
+    width: int = 8  #: of a token's own vector, and of an n-gram's
+    word_docs: int = 3  #: training documents in which a token or an n-gram must occur to have a vector
     gram_rows: int = 1 << 17
     sample: int = 1200  #: toxic documents that training reads, at most
     sample_clean: int = 2400  #: other labelled documents that it reads, at most
-    sample_chars: int = 20_000  #: longer labelled documents are left out of that sample
+    sample_chars: int = 20_000  #: longer labelled documents are not sampled
     epochs: int = 12
+    patience: int = 2  #: epochs without a better loss on the inner fold after which training stops
     steps: int = 100  #: batches that training takes at least: a small sample is gone through more often
     seed: int = 7
-    memo: int = 150_000  #: distinct words whose inputs a worker remembers
+    memo: int = 150_000  #: distinct tokens whose inputs a worker remembers
 
 
-#: A word; a longer run of word characters counts as several.
-WORD = re.compile(r"\w{1,48}")
-#: Words whose n-grams are held at a time.
-PART = 20_000
+#: A token; a longer run counts as several.
+TOKEN = re.compile(r"\w{1,48}|[^\w\s]{1,48}")
+#: Lengths of the n-grams that end at each character.
+SIZES = (1, 3, 4, 5)
+#: Every so many documents of each class of the sample form its inner fold.
+INNER = 5
+#: Tokens whose characters are read at a time, tokens of a text that are held at a time (a multiple of any stride), tokens of a block of texts.
+PART, PIECE, HELD = 20_000, 1 << 17, 1 << 19
 _M = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646C], dtype=np.uint32)
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+def tokens_of(text: str) -> list[str]:
+    return TOKEN.findall(text.lower())
 
 
 def _spread(h: np.ndarray, rows: int) -> np.ndarray:
     h = (h ^ (h >> np.uint32(15))) * _M[1]
-    return ((h ^ (h >> np.uint32(13))) % np.uint32(rows)).astype(np.int64)
+    return ((h ^ (h >> np.uint32(13))) % np.uint32(rows)).astype(np.int32)
+
 
+def places_of(words: list[str], gram_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the n-grams that end at each place of each word, word after word, and how many places each word has.
 
-def grams_of(words: list[str], gram_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of word number and row of each of its character n-grams of 3 to 5, ends of the word included."""
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    owners, grams = [], []
-    bands = [(0, 8), (8, 14), (14, 24), (24, 49)]
+    A word's places are its characters and its end.
+    """
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    starts = np.cumsum(lengths) - lengths
+    out = np.zeros((int(lengths.sum()), len(SIZES)), dtype=np.int32)
     with np.errstate(over="ignore"):
-        for low, high in bands:
-            own = np.flatnonzero((lengths > low) & (lengths <= high))
+        for low, high in ((0, 8), (8, 14), (14, 24), (24, 49)):
+            own = np.flatnonzero((lengths - 1 > low) & (lengths - 1 <= high))
             if not own.size:
                 continue
-            chars = np.zeros((len(own), high + 2), dtype=np.uint32)
-            chars[:, 1:-1] = np.array([words[i] for i in own.tolist()], dtype=f"U{high}").view(np.uint32).reshape(len(own), high)
+            lead = max(SIZES) - 1
+            chars = np.zeros((len(own), lead + high + 1), dtype=np.uint32)
+            chars[:, lead - 1] = 2
+            chars[:, lead : lead + high] = np.array([words[i] for i in own.tolist()], dtype=f"U{high}").view(np.uint32).reshape(len(own), high)
             n = lengths[own]
-            chars[:, 0], chars[np.arange(len(own)), n + 1] = 2, 3
-            for size in (3, 4, 5):
-                h = np.zeros((len(own), high + 3 - size), dtype=np.uint32)
+            chars[np.arange(len(own)), lead + n - 1] = 3
+            at, col = np.nonzero(np.arange(high + 1)[None, :] < n[:, None])
+            row = starts[own[at]] + col
+            for k, size in enumerate(SIZES):
+                h = np.zeros((len(own), high + 1), dtype=np.uint32)
                 for j in range(size):
-                    h = h * _M[2] + chars[:, j : j + h.shape[1]] * _M[3] + np.uint32(size)
-                at, col = np.nonzero(np.arange(h.shape[1])[None, :] <= (n + 2 - size)[:, None])
-                owners.append(own[at])
-                grams.append(_spread(h[at, col], gram_rows))
-    return np.concatenate(owners or [np.zeros(0, np.int64)]), np.concatenate(grams or [np.zeros(0, np.int64)])
+                    h = h * _M[2] + chars[:, lead + 1 - size + j : lead + 2 - size + j + high] * _M[3] + np.uint32(size)
+                out[row, k] = _spread(h[at, col], gram_rows)
+    return out, lengths
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -87,14 +100,98 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def window_starts(n: int, window: int, stride: int) -> range:
-    """Starts of the windows that cover n words; one, of no words, for an empty text."""
+    """Starts of the windows that cover n tokens; one, of no tokens, for an empty text."""
     return range(0, max(1, n - window + stride), stride)
 
 
+def read(d: dict[str, np.ndarray], k: str, p: np.ndarray, at: np.ndarray, n: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
+    """Pooled states of sequences, by the parameters of d whose names begin with k.
+
+    p: inputs by number; at: (steps, sequences) numbers; n: lengths, descending.
+    """
+    h = d[k + "Uf"].shape[0]
+    steps, count = at.shape
+    alive = [int(np.searchsorted(-n, -t, side="left")) for t in range(steps)]  # sequences longer than t
+    states = np.zeros((steps, count, 2 * h), dtype=p.dtype)
+    saved: dict = {"alive": alive}
+    for side, cols, order in (("f", slice(0, h), range(steps)), ("b", slice(h, 2 * h), range(steps - 1, -1, -1))):
+        u, base = d[f"{k}U{side}"], 0 if side == "f" else 3 * h
+        uzr, uh = np.ascontiguousarray(u[:, : 2 * h]), np.ascontiguousarray(u[:, 2 * h :])
+        prev = np.zeros((count, h), dtype=p.dtype)
+        for t in order:
+            m = alive[t]
+            if not m:
+                continue
+            before = prev[:m]
+            x = p[at[t, :m], base : base + 3 * h]
+            g = x[:, : 2 * h] + before @ uzr
+            g *= 0.5
+            np.tanh(g, out=g)
+            g += 1
+            g *= 0.5
+            z, r = g[:, :h], g[:, h:]
+            c = r * before
+            c = c @ uh
+            c += x[:, 2 * h :]
+            np.tanh(c, out=c)
+            now = c - before
+            now *= z
+            now += before
+            if keep:
+                saved[side, t] = (before.copy(), z.copy(), r.copy(), c)
+            prev[:m] = now
+            states[t, :m, cols] = now
+    e = states @ d[k + "v"]
+    e[np.arange(steps)[:, None] >= np.maximum(n, 1)[None, :]] = -np.inf
+    e -= e.max(axis=0)
+    a = np.exp(e)
+    a /= a.sum(axis=0)
+    return np.einsum("tb,tbh->bh", a, states), saved | {"states": states, "a": a}
+
+
+def read_back(d: dict[str, np.ndarray], k: str, p: np.ndarray, at: np.ndarray, saved: dict, d_pooled: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Gradients of the parameters of read, and of p, from that of what it pooled."""
+    h = d[k + "Uf"].shape[0]
+    states, a, alive = saved["states"], saved["a"], saved["alive"]
+    grad = {k + "Uf": np.zeros_like(d[k + "Uf"]), k + "Ub": np.zeros_like(d[k + "Ub"])}
+    d_a = np.einsum("tbh,bh->tb", states, d_pooled)
+    d_e = a * (d_a - (a * d_a).sum(axis=0))
+    grad[k + "v"] = np.einsum("tb,tbh->h", d_e, states)
+    d_states = a[:, :, None] * d_pooled[None] + d_e[:, :, None] * d[k + "v"]
+    d_p = np.zeros_like(p)
+    steps, count = at.shape
+    for side, cols, order in (("f", slice(0, h), range(steps - 1, -1, -1)), ("b", slice(h, 2 * h), range(steps))):
+        u, base = d[f"{k}U{side}"], 0 if side == "f" else 3 * h
+        own = grad[f"{k}U{side}"]
+        flow = np.zeros((count, h), dtype=p.dtype)
+        rows, gates = [], []
+        for t in order:
+            m = alive[t]
+            if not m:
+                continue
+            before, z, r, c = saved[side, t]
+            dh = flow[:m] + d_states[t, :m, cols]
+            dc = dh * z * (1 - c * c)
+            dz = dh * (c - before) * z * (1 - z)
+            drb = dc @ u[:, 2 * h :].T
+            dr = drb * before * r * (1 - r)
+            gate = np.concatenate([dz, dr, dc], axis=1)
+            own[:, : 2 * h] += before.T @ gate[:, : 2 * h]
+            own[:, 2 * h :] += (r * before).T @ dc
+            flow[:m] = dh * (1 - z) + drb * r + gate[:, : 2 * h] @ u[:, : 2 * h].T
+            rows.append(at[t, :m])
+            gates.append(gate)
+        if rows:
+            where, g = np.concatenate(rows), np.concatenate(gates)
+            for j in range(3 * h):
+                d_p[:, base + j] = np.bincount(where, g[:, j], minlength=len(p))
+    return grad, d_p
+
+
 @dataclass
 class Model:
     settings: Settings
-    known: dict[str, int]  # rows of the words that have one; row 0 is for all others
+    known: dict[str, int]  # rows of the tokens that have one; row 0 is for all others
     words: np.ndarray
     grams: np.ndarray  # rows of character n-grams
     dense: dict[str, np.ndarray] = field(default_factory=dict)
@@ -102,225 +199,196 @@ class Model:
     @staticmethod
     def new(s: Settings, known: list[str] = ()) -> Model:
         r = np.random.default_rng(s.seed)
-        h, d = s.hidden, 2 * s.width
         f = lambda *shape, scale: r.normal(0, scale, shape).astype(np.float32)
         dense = {}
-        for side in "fb":
-            dense |= {f"W{side}": f(d, 3 * h, scale=d**-0.5), f"U{side}": f(h, 3 * h, scale=0.5 * h**-0.5), f"c{side}": np.zeros(3 * h, np.float32)}
-        dense |= {"v": f(2 * h, scale=0.3), "o": f(2 * h, scale=0.3), "b": np.full(1, -1.0, np.float32)}
+        for k, h, d in (("c", s.char_hidden, s.width), ("w", s.hidden, s.width + 2 * s.char_hidden)):
+            for side in "fb":
+                dense |= {f"{k}W{side}": f(d, 3 * h, scale=d**-0.5), f"{k}U{side}": f(h, 3 * h, scale=0.5 * h**-0.5), f"{k}c{side}": np.zeros(3 * h, np.float32)}
+            dense[k + "v"] = f(2 * h, scale=0.3)
+        dense |= {"o": f(2 * s.hidden, scale=0.3), "b": np.full(1, -1.0, np.float32)}
         return Model(s, {w: i for i, w in enumerate(known, 1)}, f(len(known) + 1, s.width, scale=0.05), f(s.gram_rows, s.width, scale=0.05), dense)
 
-    def inputs(self, words: list[str]) -> tuple[np.ndarray, tuple]:
-        s = self.settings
-        rows = np.fromiter(map(self.known.get, words, repeat(0)), dtype=np.int64, count=len(words))
-        owner, gram = grams_of(words, s.gram_rows)
-        n = np.sqrt(np.maximum(1, np.bincount(owner, minlength=len(words)))).astype(np.float32)
-        chars = np.stack([np.bincount(owner, self.grams[gram, k], minlength=len(words)) for k in range(s.width)], axis=1) / n[:, None]
-        return np.concatenate([self.words[rows], chars], axis=1).astype(np.float32), (rows, owner, gram, n)
-
-    def projected(self, x: np.ndarray) -> np.ndarray:
+    def projected(self, k: str, x: np.ndarray) -> np.ndarray:
         d = self.dense
-        return np.concatenate([x @ d["Wf"] + d["cf"], x @ d["Wb"] + d["cb"]], axis=1)
-
-    def forward(self, p: np.ndarray, at: np.ndarray, n: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
-        """Logits of windows. p: inputs by word number; at: (steps, windows) word numbers; n: lengths, descending."""
-        h, d = self.settings.hidden, self.dense
-        steps, count = at.shape
-        alive = [int(np.searchsorted(-n, -t, side="left")) for t in range(steps)]  # windows longer than t
-        states = np.zeros((steps, count, 2 * h), dtype=np.float32)
-        saved: dict = {"alive": alive}
-        for side, cols, order in (("f", slice(0, h), range(steps)), ("b", slice(h, 2 * h), range(steps - 1, -1, -1))):
-            u, base = d[f"U{side}"], 0 if side == "f" else 3 * h
-            uzr, uh = np.ascontiguousarray(u[:, : 2 * h]), np.ascontiguousarray(u[:, 2 * h :])
-            prev = np.zeros((count, h), dtype=np.float32)
-            for t in order:
-                k = alive[t]
-                if not k:
-                    continue
-                before = prev[:k]
-                x = p[at[t, :k], base : base + 3 * h]
-                g = x[:, : 2 * h] + before @ uzr
-                g *= 0.5
-                np.tanh(g, out=g)
-                g += 1
-                g *= 0.5
-                z, r = g[:, :h], g[:, h:]
-                c = r * before
-                c = c @ uh
-                c += x[:, 2 * h :]
-                np.tanh(c, out=c)
-                now = c - before
-                now *= z
-                now += before
-                if keep:
-                    saved[side, t] = (before.copy(), z.copy(), r.copy(), c)
-                prev[:k] = now
-                states[t, :k, cols] = now
-        e = states @ d["v"]
-        e[np.arange(steps)[:, None] >= np.maximum(n, 1)[None, :]] = -np.inf
-        e -= e.max(axis=0)
-        a = np.exp(e)
-        a /= a.sum(axis=0)
-        pooled = np.einsum("tb,tbh->bh", a, states)
-        saved |= {"states": states, "a": a, "pooled": pooled}
-        return pooled @ d["o"] + d["b"][0], saved
-
-    def backward(self, p: np.ndarray, at: np.ndarray, saved: dict, d_logit: np.ndarray) -> tuple[dict, np.ndarray]:
-        """Gradients of the dense parameters and of p."""
-        h, d = self.settings.hidden, self.dense
-        states, a, pooled, alive = saved["states"], saved["a"], saved["pooled"], saved["alive"]
-        grad = {k: np.zeros_like(x) for k, x in d.items()}
-        grad["o"], grad["b"] = pooled.T @ d_logit, d_logit.sum(keepdims=True)
-        d_pooled = d_logit[:, None] * d["o"][None, :]
-        d_a = np.einsum("tbh,bh->tb", states, d_pooled)
-        d_e = a * (d_a - (a * d_a).sum(axis=0))
-        grad["v"] = np.einsum("tb,tbh->h", d_e, states)
-        d_states = a[:, :, None] * d_pooled[None] + d_e[:, :, None] * d["v"]
-        d_p = np.zeros_like(p)
-        steps, count = at.shape
-        for side, cols, order in (("f", slice(0, h), range(steps - 1, -1, -1)), ("b", slice(h, 2 * h), range(steps))):
-            u, base = d[f"U{side}"], 0 if side == "f" else 3 * h
-            flow = np.zeros((count, h), dtype=np.float32)
-            rows, gates = [], []
-            for t in order:
-                k = alive[t]
-                if not k:
-                    continue
-                before, z, r, c = saved[side, t]
-                dh = flow[:k] + d_states[t, :k, cols]
-                dc = dh * z * (1 - c * c)
-                dz = dh * (c - before) * z * (1 - z)
-                drb = dc @ u[:, 2 * h :].T
-                dr = drb * before * r * (1 - r)
-                gate = np.concatenate([dz, dr, dc], axis=1)
-                grad[f"U{side}"][:, : 2 * h] += before.T @ gate[:, : 2 * h]
-                grad[f"U{side}"][:, 2 * h :] += (r * before).T @ dc
-                flow[:k] = dh * (1 - z) + drb * r + gate[:, : 2 * h] @ u[:, : 2 * h].T
-                rows.append(at[t, :k])
-                gates.append(gate)
-            if rows:
-                where, g = np.concatenate(rows), np.concatenate(gates)
-                for j in range(3 * h):
-                    d_p[:, base + j] = np.bincount(where, g[:, j], minlength=len(p))
-        return grad, d_p
-
-
-def _once(x: np.ndarray) -> np.ndarray:
-    """A text's word numbers with each run of one word as a single word."""
-    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
-
-
-def _windows(numbers: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of texts given as word numbers: (steps, windows) numbers, lengths, and the text of each; longest first."""
-    at, n, owner = [], [], []
-    for k, x in enumerate(numbers):
-        for start in window_starts(len(x), s.window, s.stride):
-            piece = x[start : start + s.window]
-            at.append(piece)
-            n.append(len(piece))
-            owner.append(k)
-    n, owner = np.array(n, dtype=np.int64), np.array(owner, dtype=np.int64)
+        return np.concatenate([x @ d[k + "Wf"] + d[k + "cf"], x @ d[k + "Wb"] + d[k + "cb"]], axis=1)
+
+    def inputs(self, words: list[str], keep: bool = False) -> tuple[np.ndarray, dict]:
+        """Each token's own vector beside the reading of its characters."""
+        rows = np.fromiter(map(self.known.get, words, repeat(0)), dtype=np.int64, count=len(words))
+        grams, lengths = places_of(words, self.settings.gram_rows)
+        order = np.argsort(-lengths, kind="stable")
+        first, n = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        steps = np.arange(int(n[0]))[:, None]
+        at = np.where(steps < n[None, :], first[None, :] + steps, 0)
+        x = self.grams[grams].sum(axis=1)
+        p = self.projected("c", x)
+        pooled, saved = read(self.dense, "c", p, at, n, keep)
+        chars = np.empty_like(pooled)
+        chars[order] = pooled
+        return np.concatenate([self.words[rows], chars], axis=1), {"rows": rows, "grams": grams, "order": order, "at": at, "x": x, "p": p, "saved": saved}
+
+    def table(self, words: list[str]) -> np.ndarray:
+        """What the network over tokens takes in for each token; some tokens at a time."""
+        return np.concatenate([self.projected("w", self.inputs(words[k : k + PART])[0]) for k in range(0, len(words), PART)])
+
+    def logits(self, p: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return read(self.dense, "w", p, at, n)[0] @ self.dense["o"] + self.dense["b"][0]
+
+    def gradients(self, words: list[str], at: np.ndarray, n: np.ndarray, slope: Callable[[np.ndarray], np.ndarray]) -> tuple[dict, tuple, tuple]:
+        """Gradients of the dense parameters, of rows of words and of rows of grams (row numbers, gradients), given the loss's slope by the logits."""
+        d, s = self.dense, self.settings
+        x, own = self.inputs(words, keep=True)
+        p = self.projected("w", x)
+        pooled, saved = read(d, "w", p, at, n, keep=True)
+        d_logit = slope(pooled @ d["o"] + d["b"][0])
+        grad, d_p = read_back(d, "w", p, at, saved, d_logit[:, None] * d["o"][None, :])
+        grad |= {"o": pooled.T @ d_logit, "b": d_logit.sum(keepdims=True)}
+        d_x = self._unproject("w", x, d_p, grad)
+        more, d_cp = read_back(d, "c", own["p"], own["at"], own["saved"], d_x[own["order"], s.width :])
+        grad |= more
+        d_g = self._unproject("c", own["x"], d_cp, grad)
+        return grad, (own["rows"], d_x[:, : s.width]), (own["grams"].ravel(), np.repeat(d_g, len(SIZES), axis=0))
+
+    def _unproject(self, k: str, x: np.ndarray, d_p: np.ndarray, grad: dict) -> np.ndarray:
+        half = d_p.shape[1] // 2
+        for side, part in (("f", d_p[:, :half]), ("b", d_p[:, half:])):
+            grad |= {f"{k}W{side}": x.T @ part, f"{k}c{side}": part.sum(axis=0)}
+        return d_p[:, :half] @ self.dense[k + "Wf"].T + d_p[:, half:] @ self.dense[k + "Wb"].T
+
+
+def windows_of(lengths: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of texts of so many tokens, laid end to end: place of the first token, length and text of each; longest first."""
+    lengths = np.asarray(lengths, dtype=np.int64)
+    many = np.array([len(window_starts(int(x), s.window, s.stride)) for x in lengths], dtype=np.int64)
+    owner = np.repeat(np.arange(len(lengths)), many)
+    start = (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * s.stride
+    n = np.minimum(s.window, lengths[owner] - start)
+    first = (np.cumsum(lengths) - lengths)[owner] + start
     order = np.argsort(-n, kind="stable")
-    steps = max(1, int(n.max(initial=0)))
-    grid = np.zeros((steps, len(at)), dtype=np.int32)
-    for j, i in enumerate(order.tolist()):
-        grid[: n[i], j] = at[i]
-    return grid, n[order], owner[order]
+    return first[order], n[order], owner[order]
+
+
+def grid_of(flat: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(steps, windows) token numbers; 0 beyond a window's end."""
+    steps = np.arange(max(1, int(n.max(initial=0))))[:, None]
+    if not len(flat):
+        return np.zeros((len(steps), len(n)), dtype=np.int64)
+    return np.where(steps < n[None, :], flat[np.minimum(first[None, :] + steps, len(flat) - 1)], 0)
 
 
 def train(texts: list[str], labels: list[int], settings: Settings | None = None) -> Model:
-    """Fit the network to texts labelled 0 or 1. Without both classes it is left as it was made."""
+    """Fit the networks to texts labelled 0 or 1. Without both classes they are left as they were made.
+
+    In a sample with at least 2 * INNER texts of each class, every INNER-th text of a class is only
+    looked at after each epoch: training stops when their loss has not fallen for `patience` epochs,
+    and the parameters of the epoch with the least loss are kept.
+    """
     s = settings or Settings()
     y = np.array(labels, dtype=np.float32)
     if not len(y) or y.min() == y.max():
         return Model.new(s)
     number: dict[str, int] = {}
-    numbers = [_once(np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32)) for t in texts]
+    numbers = [np.array([number.setdefault(w, len(number)) for w in tokens_of(t)], dtype=np.int32) for t in texts]
     vocabulary = list(number)
     del number
     if not vocabulary:
         return Model.new(s)
+    inner = np.zeros(len(y), dtype=bool)
+    if min((y == 0).sum(), (y == 1).sum()) >= 2 * INNER:
+        for c in (0, 1):
+            inner[np.flatnonzero(y == c)[INNER - 1 :: INNER]] = True
+    learnt = np.flatnonzero(~inner)
     docs_of = np.zeros(len(vocabulary), dtype=np.int64)
-    for x in numbers:
-        docs_of[np.unique(x)] += 1
+    for i in learnt.tolist():
+        docs_of[np.unique(numbers[i])] += 1
     m = Model.new(s, [w for w, k in zip(vocabulary, docs_of.tolist(), strict=True) if k >= s.word_docs])
-    # the first coordinate of each row starts at how much likelier its documents are to be toxic
-    rows = np.array([m.known.get(w, 0) for w in vocabulary], dtype=np.int32)
-    grams, ends = [], [np.zeros(1, dtype=np.int64)]
-    for k in range(0, len(vocabulary), PART):
-        part = vocabulary[k : k + PART]
-        owner, gram = grams_of(part, s.gram_rows)
-        grams.append(gram[np.argsort(owner, kind="stable")].astype(np.int32))
-        ends.append(ends[-1][-1] + np.cumsum(np.bincount(owner, minlength=len(part))))
-    flat, ends = np.concatenate(grams), np.concatenate(ends)
-    of_word = lambda u: rows[u]
-    of_grams = lambda u: np.concatenate([flat[ends[i] : ends[i + 1]] for i in u.tolist()])
-    for table, keys in ((m.words, of_word), (m.grams, of_grams)):
-        seen = np.zeros((2, len(table)), dtype=np.float64)
-        for x, label in zip(numbers, labels, strict=True):
-            if len(x):
-                seen[int(label), np.unique(keys(np.unique(x)))] += 1
-        share = (seen + 0.5) / (np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1)
-        common = seen.sum(axis=0) >= s.word_docs
-        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * common * 0.25
-        table[~common] = 0  # what too few documents have stays without a vector, so nothing is learnt by heart
+    _begin(m, vocabulary, [numbers[i] for i in learnt.tolist()], y[learnt])
     fixed = [~m.words.any(axis=1), ~m.grams.any(axis=1)]
-    del flat, grams, ends
-    grid, n, text_of_window = _windows(numbers, s)
+    flat = np.concatenate(numbers)
+    first, n, owner = windows_of(np.array([len(x) for x in numbers]), s)
+    inside = inner[owner]
     r = np.random.default_rng(s.seed)
-    first = {k: np.zeros_like(x) for k, x in m.dense.items()}
-    second = {k: np.zeros_like(x) for k, x in m.dense.items()}
+    mean = {k: np.zeros_like(x) for k, x in m.dense.items()}
+    square = {k: np.zeros_like(x) for k, x in m.dense.items()}
     sums = [np.full(len(m.words), 1e-3, np.float32), np.full(s.gram_rows, 1e-3, np.float32)]
-    weight = np.sqrt(np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum())))  # halfway to equal classes
-    tick = 0
-    epochs = max(s.epochs, -(-s.steps * 256 // (2 * len(y))))
-    for _ in range(epochs):
-        p = np.concatenate([m.projected(m.inputs(vocabulary[k : k + PART])[0]) for k in range(0, len(vocabulary), PART)])
-        logits = np.concatenate([m.forward(p, grid[:, k : k + 2048], n[k : k + 2048])[0] for k in range(0, len(n), 2048)])
+    ones, zeros = (y[learnt] == 1).sum(), (y[learnt] == 0).sum()
+    weight = np.sqrt(np.where(y == 1, len(learnt) / (2 * ones), len(learnt) / (2 * zeros)))  # halfway to equal classes
+    tick, best, stale = 0, (np.inf, None), 0
+    epochs = max(s.epochs, -(-s.steps * 256 // (2 * len(learnt))))
+    for epoch in range(epochs + 1):
+        p = m.table(vocabulary)
+        logits = np.concatenate([m.logits(p, grid_of(flat, first[k : k + 2048], n[k : k + 2048]), n[k : k + 2048]) for k in range(0, len(n), 2048)])
+        del p
+        if inner.any() and epoch:
+            top = np.full(len(y), -np.inf)
+            np.maximum.at(top, owner, logits)
+            loss = float((weight * np.logaddexp(0, np.where(y == 1, -top, top)))[inner].mean())
+            if loss < best[0]:
+                best, stale = (loss, (m.words.copy(), m.grams.copy(), {k: x.copy() for k, x in m.dense.items()})), 0
+            else:
+                stale += 1
+        if epoch == epochs or stale >= s.patience:
+            break
         # the worst window of each text, and of texts without toxicity one more at random
-        order = np.lexsort((-logits, text_of_window))
-        worst = order[np.r_[True, np.diff(text_of_window[order]) > 0]]
-        other = np.flatnonzero((y[text_of_window] == 0) & (r.random(len(n)) < min(1.0, len(y) / max(1, len(n)))))
-        chosen = r.permutation(np.union1d(worst, other))
+        order = np.lexsort((-logits, owner))
+        worst = order[np.r_[True, np.diff(owner[order]) > 0]]
+        other = np.flatnonzero((y[owner] == 0) & (r.random(len(n)) < min(1.0, len(y) / max(1, len(n)))))
+        chosen = np.union1d(worst, other)
+        chosen = r.permutation(chosen[~inside[chosen]])
         for k in range(0, len(chosen), 256):
             own = np.sort(chosen[k : k + 256])  # keeps the longest first
-            used, inverse = np.unique(grid[:, own], return_inverse=True)
-            at = inverse.reshape(grid[:, own].shape)
-            x, (w_rows, owner, gram, root) = m.inputs([vocabulary[i] for i in used.tolist()])
-            p = m.projected(x)
-            logit, saved = m.forward(p, at, n[own], keep=True)
-            t = text_of_window[own]
-            d_logit = ((_sigmoid(logit) - y[t]) * weight[t] / len(own)).astype(np.float32)
-            grad, d_p = m.backward(p, at, saved, d_logit)
-            h3 = 3 * s.hidden
-            grad["Wf"], grad["cf"] = x.T @ d_p[:, :h3], d_p[:, :h3].sum(axis=0)
-            grad["Wb"], grad["cb"] = x.T @ d_p[:, h3:], d_p[:, h3:].sum(axis=0)
-            d_x = d_p[:, :h3] @ m.dense["Wf"].T + d_p[:, h3:] @ m.dense["Wb"].T
+            used, inverse = np.unique(grid_of(flat, first[own], n[own]), return_inverse=True)
+            t = owner[own]
+            grad, *sparse = m.gradients([vocabulary[i] for i in used.tolist()], inverse.reshape(-1, len(own)), n[own], lambda logit, t=t, own=own: ((_sigmoid(logit) - y[t]) * weight[t] / len(own)).astype(np.float32))
             tick += 1
             for key, g in grad.items():
-                first[key] = 0.9 * first[key] + 0.1 * g
-                second[key] = 0.99 * second[key] + 0.01 * g * g
-                m.dense[key] -= (0.01 * (first[key] / (1 - 0.9**tick)) / (np.sqrt(second[key] / (1 - 0.99**tick)) + 1e-6)).astype(np.float32)
-            for table, total, still, index, g in ((m.words, sums[0], fixed[0], w_rows, d_x[:, : s.width]), (m.grams, sums[1], fixed[1], gram, d_x[owner, s.width :] / root[owner, None])):
+                mean[key] = 0.9 * mean[key] + 0.1 * g
+                square[key] = 0.99 * square[key] + 0.01 * g * g
+                m.dense[key] -= (0.01 * (mean[key] / (1 - 0.9**tick)) / (np.sqrt(square[key] / (1 - 0.99**tick)) + 1e-6)).astype(np.float32)
+            for table, total, still, (index, g) in zip((m.words, m.grams), sums, fixed, sparse, strict=True):
                 g, index = g[~still[index]], index[~still[index]]
                 touched, inv = np.unique(index, return_inverse=True)
                 g = np.stack([np.bincount(inv, g[:, j], minlength=len(touched)) for j in range(s.width)], axis=1)
                 total[touched] += (g * g).mean(axis=1)
                 table[touched] -= (0.006 * g / np.sqrt(total[touched])[:, None]).astype(np.float32)
+    if best[1]:
+        m.words, m.grams, m.dense = best[1]
     return m
 
 
+def _begin(m: Model, vocabulary: list[str], numbers: list[np.ndarray], y: np.ndarray) -> None:
+    """Let the first coordinate of each row begin at how much likelier its documents are to be toxic; rows of too few documents stay 0."""
+    s = m.settings
+    rows = np.array([m.known.get(w, 0) for w in vocabulary], dtype=np.int32)
+    grams, ends = [], [np.zeros(1, dtype=np.int64)]
+    for k in range(0, len(vocabulary), PART):
+        found, lengths = places_of(vocabulary[k : k + PART], s.gram_rows)
+        grams.append(found)
+        ends.append(ends[-1][-1] + np.cumsum(lengths))
+    flat, ends = np.concatenate(grams), np.concatenate(ends)
+    of_word = lambda u: rows[u]
+    of_grams = lambda u: np.concatenate([flat[ends[i] : ends[i + 1]] for i in u.tolist()])
+    for table, keys in ((m.words, of_word), (m.grams, of_grams)):
+        seen = np.zeros((2, len(table)), dtype=np.float64)
+        for x, label in zip(numbers, y.tolist(), strict=True):
+            if len(x):
+                seen[int(label), np.unique(keys(np.unique(x)))] += 1
+        share = (seen + 0.5) / (np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1)
+        common = seen.sum(axis=0) >= s.word_docs
+        table[:, 0] += np.clip(np.log(share[1] / share[0]), -3, 3) * common * 0.25
+        table[~common] = 0  # what too few documents have stays without a vector, so nothing is learnt by heart
+
+
 class Scorer:
-    """Scores texts by a model; remembers the inputs of words."""
+    """Scores texts by a model; remembers the inputs of tokens."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.width = 6 * model.settings.hidden
         self.forget()
 
     def forget(self) -> None:
         self.memo: dict[str, int] = {}
-        self.table = np.zeros((1024, self.width), dtype=np.float32)
+        self.table = np.zeros((1024, 6 * self.model.settings.hidden), dtype=np.float32)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         out = np.fromiter(map(self.memo.get, words, repeat(-1)), dtype=np.int64, count=len(words))
@@ -330,46 +398,77 @@ class Scorer:
             used = len(self.memo)
             while used + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for k in range(0, len(new), PART):
-                part = new[k : k + PART]
-                self.table[used + k : used + k + len(part)] = self.model.projected(self.model.inputs(part)[0])
+            self.table[used : used + len(new)] = self.model.table(new)
             self.memo.update(zip(new, range(used, used + len(new)), strict=True))
             out[lack] = [self.memo[words[i]] for i in lack.tolist()]
         return out
 
+    def _pieces(self, text: str) -> Iterator[list[str]]:
+        """A text's tokens in pieces whose windows together are those of the text."""
+        s = self.model.settings
+        step, over = PIECE // s.stride * s.stride, s.window - s.stride
+        found, held, begun = (m[0] for m in TOKEN.finditer(text.lower())), [], False
+        while True:
+            held += islice(found, step + over - len(held))
+            if len(held) < step + over:
+                break
+            yield held
+            held, begun = held[step:], True
+        if not begun or len(held) > over:  # the windows so far have read what they share with the next
+            yield held
+
     def scores(self, texts: list[str], block: int = 1024) -> np.ndarray:
         """The score of each text's worst window."""
-        s = self.model.settings
-        if len(self.memo) > s.memo:
-            self.forget()
-        numbers = [_once(self._numbers(words_of(t))) for t in texts]
         best = np.full(len(texts), -np.inf)
-        grid, n, owner = _windows(numbers, s)
-        for k in range(0, len(n), block):
-            steps = max(1, int(n[k]))
-            logit, _ = self.model.forward(self.table, grid[:steps, k : k + block], n[k : k + block])
-            np.maximum.at(best, owner[k : k + block], logit)
+        words, lengths, owners = [], [], []
+
+        def flush() -> None:
+            if len(self.memo) > self.model.settings.memo:
+                self.forget()
+            flat = self._numbers(words)
+            first, n, owner = windows_of(np.array(lengths), self.model.settings)
+            of = np.array(owners)[owner]
+            for k in range(0, len(n), block):
+                at = grid_of(flat, first[k : k + block], n[k : k + block])
+                np.maximum.at(best, of[k : k + block], self.model.logits(self.table, at, n[k : k + block]))
+            words.clear(), lengths.clear(), owners.clear()
+
+        for i, text in enumerate(texts):
+            for piece in [tokens_of(text)] if len(text) < PIECE else self._pieces(text):
+                words.extend(piece)
+                lengths.append(len(piece))
+                owners.append(i)
+                if len(words) >= HELD:
+                    flush()
+        if owners:
+            flush()
         return _sigmoid(best)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_out: int, most: tuple[int, int], most_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """Texts and labels for training: of classes 1 and 0 the documents whose ids have the lowest hash, as many as `most` says.
 
-    Held-out documents and null labels give none; of repeated or conflicting labels the larger counts.
+    Only texts of at most most_chars are sampled. Held-out documents and null labels give none; of
+    repeated or conflicting labels the larger counts.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold_of(id_col, folds) != held_out))
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__label")).withColumn("__order", F.xxhash64("__id"))
-    chosen = known.filter("__label = 1").orderBy("__order", "__id").limit(most[0]).unionByName(known.filter("__label = 0").orderBy("__order", "__id").limit(most[1]))
-    rows = docs.select(F.col(id_col).alias("__id"), text_of(F.col(text_col)).alias("__text")).join(F.broadcast(chosen), "__id").filter(F.length("__text") <= most_chars)
+    short = docs.select(F.col(id_col).alias("__id"), text_of(F.col(text_col)).alias("__text")).filter(F.length("__text") <= most_chars)
+    there = known.join(short.select("__id").distinct(), "__id", "left_semi")
+    chosen = there.filter("__label = 1").orderBy("__order", "__id").limit(most[0]).unionByName(there.filter("__label = 0").orderBy("__order", "__id").limit(most[1]))
+    rows = short.join(F.broadcast(chosen), "__id")
     return [(r["__text"], r["__label"]) for r in sorted(rows.select("__order", "__id", "__text", "__label").collect(), key=lambda r: (r["__order"], r["__id"], r["__text"]))]
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score (0 to 1) and predicted (1 if score >= threshold) of each whole text.
 
-    A null or empty text is one window without words and gets that window's score. Each row gives
-    one row, repeated rows equal ones; a null id stays null. One narrow pass: nothing is shuffled,
-    and the broadcast model has a fixed size (about 3 MB).
+    A null or empty text is one window without tokens and gets that window's score. Each row gives
+    one row; scores of equal texts agree to six digits, as products of blocks of other heights
+    differ in the last ones. A null id stays null, an empty table gives an empty result, further
+    columns are ignored. One narrow pass: nothing is shuffled, the broadcast model has a fixed size
+    (about 5 MB), and a long text is read in pieces: memory is bounded by the text itself, some
+    hundred thousand tokens and what is remembered of them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -384,7 +483,12 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col
 
 
 def keep_below(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """docs, all columns, without the rows whose text scores at the threshold or above. One narrow pass."""
+    """docs, all columns, without the rows whose text scores at the threshold or above. One narrow pass.
+
+    A null text is scored as an empty one and stays null. Every row is judged on its own: repeated
+    rows and null ids all stay or all go. A score equal to the threshold goes. An empty table gives
+    an empty result; columns may have any names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
