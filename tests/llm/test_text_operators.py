@@ -67,13 +67,13 @@ def test_perfect_hash():
 
 def test_bpe_table(spark, codec):
     c, own = codec
-    got = bpe.bpe_digests(odd(spark), c.vocabulary, c.pattern, with_ids=True).collect()
+    got = bpe.bpe_digests(odd(spark), c, with_ids=True).collect()
     assert len(got) == len(ODD) + 3
     for r, t in zip(sorted((r for r in got if r["doc_id"] is not None and r["doc_id"] != 3), key=lambda r: r["doc_id"]), [t for i, t in enumerate(ODD) if i != 3], strict=True):
         assert r["ids"] == own.encode_ordinary(t or "") and r["n_tokens"] == len(r["ids"])
         assert r["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
         assert r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], dtype="<u4").tobytes()).hexdigest()
-    assert bpe.bpe_digests(odd(spark).limit(0), c.vocabulary, c.pattern).count() == 0
+    assert bpe.bpe_digests(odd(spark).limit(0), c).count() == 0
 
 
 def brute_spans(t):

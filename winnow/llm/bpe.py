@@ -90,6 +90,7 @@ class Codec:
 
     def __init__(self, vocabulary: list[bytes], pattern: str):
         self.vocabulary, self.pattern = vocabulary, pattern
+        self.end = len(vocabulary)  # an id beyond the vocabulary, for what ends a document
         self.whole = PerfectHash(vocabulary)
         self._ready()
 
@@ -104,7 +105,7 @@ class Codec:
         self.used = self.filled = 0
 
     def __getstate__(self) -> dict:
-        return {"vocabulary": self.vocabulary, "pattern": self.pattern, "whole": self.whole}
+        return {"vocabulary": self.vocabulary, "pattern": self.pattern, "end": self.end, "whole": self.whole}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -174,7 +175,7 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
-def bpe_digests(docs: DataFrame, vocabulary: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def bpe_digests(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array of long) of each text.
 
     A null text is empty: no ids, digests of nothing. Every row gives one row; repeated rows give
@@ -182,10 +183,10 @@ def bpe_digests(docs: DataFrame, vocabulary: list[bytes], pattern: str, id_col:
     pre-tokens. The work is one narrow pass: no shuffle, and memory is bounded by a batch of
     about 4 MB of text (or the largest text) and the memo of pre-tokens.
     """
-    codec = docs.sparkSession.sparkContext.broadcast(Codec(vocabulary, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec.value
+        c = shared.value
         for batch in small_batches(batches, "text"):
             n, ids_hex, text_hex, every = [], [], [], []
             for text in batch.column("text").to_pylist():

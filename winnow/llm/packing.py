@@ -1,33 +1,51 @@
-"""Best-fit packing into bins of several permitted capacities.
+"""Best-fit packing of token sequences into bins of several permitted capacities.
 
-Documents are packed by their numbers of tokens, longest first. A document goes into the open bin
-that it fills best; where none has room, a bin is opened, of the permitted size whose cost per token
-that it can expect to hold is least. When all are placed, each bin shrinks to the smallest
-permitted size that holds its contents. Longer documents than the largest bin are cut into pieces.
+Documents are encoded and packed by their numbers of tokens, longest first. A document goes into
+the open bin that it fills best; where none has room, a bin is opened, of the permitted size whose
+cost per token that it can expect to hold is least. When all are placed, each bin shrinks to the
+smallest permitted size that holds its contents. Longer documents than the largest bin are cut into
+pieces. A bin comes with its tokens, and with the documents that they are from.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left, insort
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import small_batches, text_of
 
 #: Permitted sequence lengths, in tokens.
 CAPACITIES = (2048, 4096, 8192, 16384)
-#: Documents that are packed together: shards of about so many are packed independently.
+#: Pieces that are packed together: shards of about so many are packed independently.
 SHARD = 2000
+#: Tokens that a task hands on at a time.
+BATCH = 1 << 21
 
 
-def byte_tokens(text: Column) -> Column:
-    """Tokens of a byte-level model: one for each byte of UTF-8, and one that ends the document."""
-    return F.octet_length(text_of(text)).cast("long") + 1
+class Codec(Protocol):
+    """What turns a text into token ids, at most one for a byte of UTF-8. It is sent to the workers."""
+
+    end: int  #: the token that ends a document
+
+    def encode(self, text: str) -> np.ndarray: ...
+
+
+class Bytes:
+    """A codec of bytes: one token for each byte of UTF-8."""
+
+    end = 256
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(text.encode(), dtype=np.uint8)
 
 
 def flat_cost(capacity: int) -> float:
@@ -72,53 +90,84 @@ def best_fit(sizes: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost:
     return placed, np.array([next(c for c in caps if c >= f) for f in filled], dtype=np.int64)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", tokens: Column | None = None, capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = flat_cost, shard_docs: int = SHARD) -> DataFrame:
-    """One row per piece of a document: id, piece, start, end (tokens of the document), bin_id, capacity, offset, n_tokens, bin_tokens.
+def pack(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = flat_cost, shard_pieces: int = SHARD) -> DataFrame:
+    """One row per bin: bin_id, capacity, n_tokens, doc_ids, pieces, starts, lengths, tokens.
+
+    doc_ids, pieces, starts (in the document's tokens) and lengths have an element for each piece
+    of a document in the bin, in the order in which they stand in tokens. A document is its tokens
+    and codec.end, whole in one piece unless it is longer than the largest capacity: then it is cut
+    into pieces of that capacity and a rest.
 
-    A document is one piece unless it has more tokens than the largest capacity: then it is cut
-    into pieces of that capacity and a rest. tokens is an expression over docs; by default the
-    bytes of text and one. A null text is empty (one token); a null count is 0 and is packed too.
-    Nothing is dropped: repeated rows are packed each on their own, a null id stays null, and an
-    empty table gives an empty result.
+    A null text is empty (one token, the end). Nothing is dropped or repeated: repeated rows are
+    packed each on their own, a null id stays null, and an empty table gives an empty result.
+    Further columns are ignored, whatever their names.
 
-    Only ids and counts are shuffled. Shards are dealt by a hash of id and piece and hold about
-    shard_docs pieces whatever the size of the table, so a task's memory and time are bounded and
-    the shards' last, half-empty bins stay a small share of all.
+    Texts are encoded in one narrow pass, and their tokens are shuffled once, to shards dealt by a
+    hash of id, text, piece and partition: a task that runs again deals its rows as before. A shard
+    holds about shard_pieces pieces of bounded size whatever the table's size, so a task's memory
+    and time are bounded; the shards' last, half-empty bins stay a small share of all.
     """
     most = max(capacities)
-    n = F.greatest(F.coalesce((byte_tokens(F.col("text")) if tokens is None else tokens).cast("long"), F.lit(0)), F.lit(0))
-    sized = docs.select(F.col(id_col).alias("id"), n.alias("n"))
-    pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / most).cast("int") - 1, F.lit(0)))))
-    pieces = pieces.select("id", "piece", (F.col("piece").cast("long") * most).alias("start"), F.least(F.col("n"), (F.col("piece").cast("long") + 1) * most).alias("end"))
-    shards = max(1, math.ceil(docs.count() / shard_docs))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)).cast("int"))
+    text = text_of(F.col(text_col))
+    bound = docs.select(F.sum(F.ceil((F.octet_length(text) + 1) / most)).alias("n")).first()["n"]  # no text has more pieces
+    shards = max(1, math.ceil((bound or 0) / shard_pieces))
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def one(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("id", "ascending"), ("piece", "ascending"), ("end", "ascending")])
-        start, end = rows.column("start").to_numpy(), rows.column("end").to_numpy()
-        size = end - start
+    shared = docs.sparkSession.sparkContext.broadcast(codec)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, own = shared.value, TaskContext.get().partitionId()
+        rows, parts, held = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            shard, at, key, piece, start = zip(*rows, strict=True)
+            ends = np.cumsum([0, *map(len, parts)])
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).astype(np.int32)))
+            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), ids.take(pa.array(at, pa.int64())), pa.array(key, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), tokens], names=["shard", "id", "key", "piece", "start", "tokens"])
+
+        for batch in small_batches(batches, "text"):
+            ids = batch.column("id")
+            for i, t in enumerate(batch.column("text").to_pylist()):
+                found = np.append(c.encode(t), c.end)
+                name = xxhash.xxh3_64_intdigest(t.encode(), seed=xxhash.xxh32_intdigest(f"{own} {ids[i].as_py()}"))
+                for piece, start in enumerate(range(0, len(found), most)):
+                    rows.append((xxhash.xxh32_intdigest(f"{name} {piece}") % shards, i, name - (1 << 63), piece, start))
+                    parts.append(found[start : start + most])
+                    held += len(parts[-1])
+                    if held >= BATCH:
+                        yield out()
+                        rows, parts, held = [], [], 0
+            if rows:
+                yield out()
+                rows, parts, held = [], [], 0
+
+    def packed(rows: pa.Table) -> pa.Table:
+        rows = rows.select(["shard", "id", "key", "piece", "start", "tokens"]).combine_chunks().sort_by([("key", "ascending"), ("piece", "ascending")])
+        size = rows.column("tokens").combine_chunks().value_lengths().to_numpy()
         placed, caps = best_fit(size, capacities, cost)
         order = np.lexsort((np.arange(len(size)), -size, placed))
-        running = np.cumsum(size[order])
-        first = np.r_[True, np.diff(placed[order]) > 0]
-        base = np.maximum.accumulate(np.where(first, running - size[order], 0))
-        offset = np.zeros(len(size), dtype=np.int64)
-        offset[order] = running - size[order] - base
-        held = np.bincount(placed, weights=size).astype(np.int64)
-        bins = (np.int64(rows.column("shard")[0].as_py()) << 32) + placed
-        return pa.table([rows.column("id"), rows.column("piece"), start, end, bins, caps[placed], offset, size, held[placed]], names=[id_col, "piece", "start", "end", "bin_id", "capacity", "offset", "n_tokens", "bin_tokens"])
-
-    return dealt.groupBy("shard").applyInArrow(one, f"`{id_col}` {kind}, piece int, start bigint, `end` bigint, bin_id bigint, capacity bigint, offset bigint, n_tokens bigint, bin_tokens bigint")
-
-
-def sequences(docs: DataFrame, packed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The packed byte sequences: bin_id, capacity, ids (ordered) and content, documents ended by a zero byte.
-
-    For documents with unique ids that were packed by byte_tokens. Texts are shuffled to their bins.
-    """
-    raw = docs.select(F.col(id_col).alias("__id"), F.concat(F.encode(text_of(F.col(text_col)), "UTF-8"), F.lit(b"\0")).alias("__raw"))
-    cut = packed.join(raw, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn("__part", F.expr("substring(__raw, cast(start as int) + 1, cast(n_tokens as int))"))
-    bins = cut.groupBy("bin_id", "capacity").agg(F.array_sort(F.collect_list(F.struct("offset", F.col(id_col).alias("id"), "__part"))).alias("__parts"))
-    whole = F.aggregate("__parts", F.lit(b""), lambda acc, x: F.concat(acc, x["__part"]))
-    return bins.select("bin_id", "capacity", F.transform("__parts", lambda x: x["id"]).alias("ids"), whole.alias("content"))
+        rows, size = rows.take(pa.array(order)), size[order]
+        many = np.bincount(placed, minlength=len(caps))
+        held = np.bincount(placed[order], weights=size, minlength=len(caps)).astype(np.int64)
+        ends = pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32())
+        listed = lambda x: pa.ListArray.from_arrays(ends, x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x)
+        flat = rows.column("tokens").combine_chunks().flatten()
+        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32()), flat)
+        bins = (np.int64(rows.column("shard")[0].as_py()) << 32) + np.arange(len(caps))
+        return pa.table([bins, caps, held, listed(rows.column("id")), listed(rows.column("piece")), listed(rows.column("start")), listed(pa.array(size, pa.int64())), tokens], names=names)
+
+    names = ["bin_id", "capacity", "n_tokens", "doc_ids", "pieces", "starts", "lengths", "tokens"]
+    dealt = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(encoded, f"shard int, id {kind}, key bigint, piece int, start bigint, tokens array<int>")
+    return dealt.groupBy("shard").applyInArrow(packed, f"bin_id bigint, capacity bigint, n_tokens bigint, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, lengths array<bigint>, tokens array<int>")
+
+
+def placements(bins: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per piece of a document in bins of pack: id, piece, start, n_tokens, bin_id, capacity, offset (in the bin)."""
+    each = F.arrays_zip(F.col("doc_ids").alias("id"), "pieces", "starts", "lengths")
+    rows = bins.select("bin_id", "capacity", "lengths", F.posexplode(each).alias("k", "p"))
+    offset = F.aggregate(F.slice("lengths", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda acc, n: acc + n)
+    return rows.select(F.col("p.id").alias(id_col), F.col("p.pieces").alias("piece"), F.col("p.starts").alias("start"), F.col("p.lengths").alias("n_tokens"), "bin_id", "capacity", offset.alias("offset"))
+
+
+def fill_rates(bins: DataFrame) -> DataFrame:
+    """For each capacity: bins, tokens, and the share of the bins' room that tokens fill."""
+    return bins.groupBy("capacity").agg(F.count(F.lit(1)).alias("bins"), F.sum("n_tokens").alias("tokens"), (F.sum("n_tokens") / F.sum("capacity")).alias("filled"))

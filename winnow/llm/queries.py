@@ -14,51 +14,65 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, by a model fitted to labelled documents outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
     return toxicity.score_toxicity(docs, model, 0.3).withColumn("held_out", fold_of("doc_id", 4) == 2)
 
 
-def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def public_codec(spark: SparkSession) -> bpe.Codec:
+    """The codec of the public vocabulary that op2 and op8 encode by."""
     import public_tokenizers
 
-    vocabulary = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.bpe_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return bpe.Codec(bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of tokens, and digests of its ids and of the bytes that they decode to."""
+    return bpe.bpe_digests(table(spark, sf_dir, "documents"), public_codec(spark))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, by a model fitted to labelled documents outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_tables(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
     return quality.score_quality(docs, model, 0.5).withColumn("held_out", fold_of("doc_id", 3) == 1)
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near copies, and its number of links."""
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts; of each group the largest id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """All documents, encoded and packed: a row for each bin, with its tokens and the documents that they are from."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_codec(spark))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
     own = spark.createDataFrame([(-7, n, role, r"\### Assistant: </turn> ok") for n, role in enumerate(("user", "assistant"))], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat.format_conversations(rows)
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and their likeness."""
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
 
