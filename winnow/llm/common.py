@@ -19,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder. Without one a local session, as in tests, gets a temporary folder; any other is refused."""
     sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="winnow-checkpoint-")
-        sc.setCheckpointDir(found)
-    elif not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
     return found
 
@@ -42,6 +43,14 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text with null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
@@ -68,21 +77,23 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int
             yield batch.slice(at, step)
 
 
-#: Buckets of 32,768 bits in a bitmap of keys: 256 of them are 1 MB.
-BITMAP_BUCKETS = 256
+#: Bits of a bitmap for each key that may be in it, and its buckets of 32,768 bits (4 KB): at most 256 MB.
+BITS, LEAST_BUCKETS, MOST_BUCKETS = 16, 16, 1 << 16
 
 
 def _bit(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets * 32768)) + 1
 
 
-def maybe_among(rows: DataFrame, key: str, keys: DataFrame, buckets: int = BITMAP_BUCKETS) -> DataFrame:
+def maybe_among(rows: DataFrame, key: str, keys: DataFrame, most: int) -> DataFrame:
     """The rows whose key is among the keys (a table of one column), and a few others.
 
-    A bitmap of the keys' hashes, of fixed size and therefore safe to broadcast, is probed while
-    the rows are scanned, so that an exact join afterwards shuffles few other rows. With very many
-    keys the bitmap fills up and spares less; the result of that join stays the same.
+    A bitmap of the keys' hashes is probed while the rows are scanned, so that an exact join
+    afterwards shuffles few other rows. most is an upper bound of the number of keys, by which the
+    bitmap is sized; its size has a bound of its own, so it is safe to broadcast. Beyond some
+    hundred million keys it fills up and spares less; the result of that join stays the same.
     """
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-most * BITS // 32768)))
     bits = keys.toDF("__k").select(_bit(F.col("__k"), buckets).alias("__b")).groupBy(F.expr("bitmap_bucket_number(__b)").alias("__bucket"))
     bitmap = bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(__b))").alias("__bitmap"))
     probe = rows.withColumn("__b", _bit(F.col(key), buckets)).withColumn("__bucket", F.expr("bitmap_bucket_number(__b)")).withColumn("__at", F.expr("bitmap_bit_position(__b)"))

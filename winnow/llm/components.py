@@ -11,15 +11,31 @@ from .common import durable, sweep
 
 #: Edges that a task writes.
 EDGES_PER_TASK = 250_000
+#: Parts that a node's neighbours are dealt to, so that those of a hot node are spread over tasks.
+PARTS = 64
+
+
+def with_least(edges: DataFrame, node: str, other: str) -> DataFrame:
+    """edges with m, the least `other` of all edges of their node.
+
+    A node's edges are dealt to PARTS parts. The least of each part is found where the part lies,
+    the least of these is one more aggregate, and it goes back to the parts: no task gets all edges
+    of a node, only one row for each of its parts.
+    """
+    dealt = edges.withColumn("__part", F.pmod(F.xxhash64(other), F.lit(PARTS)))
+    parts = dealt.groupBy(node, "__part").agg(F.min(other).alias("__least"))
+    whole = parts.groupBy(node).agg(F.min("__least").alias("m"))
+    return dealt.join(parts.select(node, "__part").join(whole, node), [node, "__part"]).drop("__part")
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, component) for every node of the edges' columns a and b; component is the least node.
 
     Each step joins a node's neighbours to the least of them, so stars form in few rounds whatever
-    the diameter. A hot node's neighbours are only ever aggregated (least one, combined before the
-    shuffle) and joined. The edges are written to the shared folder each round.
+    the diameter. A hot node's neighbours are aggregated and joined in parts. The edges are written
+    to the shared folder each round.
     """
+
     def state(df: DataFrame) -> tuple[int, int]:
         r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         return r["n"], r["h"]
@@ -30,12 +46,10 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: larger neighbours of a node are joined to the least of the node and its neighbours
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a < b")
+        large = with_least(both, "a", "b").filter("b > a").select(F.least("a", "m").alias("a"), "b").filter("a < b")
         # small star: smaller neighbours of a node, and the node, are joined to the least of them
-        small_least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(small_least, "b")
-        small = small.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(small_least.select(F.col("m").alias("a"), "b")).filter("a < b").distinct()
+        small = with_least(large, "b", "a")
+        small = small.select("m", F.explode(F.array("a", "b")).alias("b")).select(F.col("m").alias("a"), "b").filter("a < b").distinct()
         now = durable(small.coalesce(tasks))
         sweep(now.sparkSession)
         after = state(now)

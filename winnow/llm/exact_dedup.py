@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_among, text_of
+from .common import free_name, maybe_among, text_of
+
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", content_hash: Callable[[Column], Column] = F.md5) -> DataFrame:
     """One row per document: id, keep_id, group_size (long), kept, text_sha256, by the bytes of the text.
@@ -31,7 +32,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = keyed.select("__id", "__h", "__sha")
     best = F.min if keep == "min" else F.max
     repeated = slim.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__h")
-    same = maybe_among(keyed, "__h", repeated).groupBy("__h", "__sha", "__t").agg(best("__id").alias("__keep"), F.count(F.lit(1)).alias("__size"))
+    same = maybe_among(keyed, "__h", repeated, docs.count() // 2).groupBy("__h", "__sha", "__t").agg(best("__id").alias("__keep"), F.count(F.lit(1)).alias("__size"))
     classes = same.select("__h", "__sha", "__keep", "__size").groupBy("__h", "__sha").agg(best("__keep").alias("__keep"), F.sum("__size").alias("__size"), F.count(F.lit(1)).alias("__texts"))
     classes = classes.filter("__size > 1").withColumn("__size", F.when(F.col("__texts") == 1, F.col("__size")).otherwise(F.raise_error(F.lit("two texts share both digests")).cast("long"))).drop("__texts")
     rows = slim.distinct().join(classes, ["__h", "__sha"], "left")
@@ -49,9 +50,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs, all columns, without the rows that exact_groups drops and without rows that repeat id and text."""
     groups = exact_groups(docs, id_col, text_col, keep, **options)
     lost = groups.filter(~F.col("kept")).select(F.col(id_col).alias("__lost_id"), F.col("text_sha256").alias("__lost_sha"))
-    marked = docs.withColumn("__sha", F.sha2(text_of(F.col(text_col)), 256))
-    stay = marked.join(lost, F.col(id_col).eqNullSafe(F.col("__lost_id")) & (F.col("__sha") == F.col("__lost_sha")), "left_anti")
-    return stay.dropDuplicates([id_col, "__sha"]).drop("__sha")
+    sha = free_name(docs, "__sha")
+    marked = docs.withColumn(sha, F.sha2(text_of(F.col(text_col)), 256))
+    stay = marked.join(lost, F.col(id_col).eqNullSafe(F.col("__lost_id")) & (F.col(sha) == F.col("__lost_sha")), "left_anti")
+    return stay.dropDuplicates([id_col, sha]).drop(sha)
 
 
 ORACLE_SQL = """

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, maybe_among, small_batches, sweep, text_of
+from .common import durable, free_name, maybe_among, small_batches, sweep, text_of
 from .components import components
 
 N, THRESHOLD, RECALL = 5, "0.8", 0.99999
@@ -190,7 +190,8 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), lists], names=["id", "sha", "digest", "size", "bands"])
 
     signed = durable(keyed.mapInArrow(sign, "id bigint, sha string, digest binary, size bigint, bands array<bigint>"))
-    nodes = durable(signed.filter("id is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.min(F.struct("id", "sha")).alias("best"), F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"), F.first("bands").alias("bands")).withColumn("node", F.xxhash64("digest")))
+    # numbers, given once and written, are each node's own; no hash of them could be
+    nodes = durable(signed.filter("id is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.min(F.struct("id", "sha")).alias("best"), F.count(F.lit(1)).alias("copies"), F.min("size").alias("size"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
 
     # buckets of several nodes, as stars around the least node
     hashed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", "band", "hash")
@@ -208,7 +209,7 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
             sets = [s.grams(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["first_id", "digest", "grams"])
 
-    sets = maybe_among(source, "id", facts.select("first_id")).mapInArrow(gather, "first_id bigint, digest binary, grams binary")
+    sets = maybe_among(source, "id", facts.select("first_id"), facts.count()).mapInArrow(gather, "first_id bigint, digest binary, grams binary")
     # a repeated id can come with several texts, and repeated rows with one: the digest names the text, the least copy suffices
     whole = facts.join(sets.dropDuplicates(["first_id", "digest"]), ["first_id", "digest"])
 
@@ -275,6 +276,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """docs, all columns, with one row of each class, that of the least id; documents without an id stay."""
     lost = jaccard_classes(docs, id_col=id_col, text_col=text_col, with_kept=True, **options).filter(~F.col("kept"))
     lost = lost.select(F.col(id_col).alias("__lost_id"), F.col("text_sha256").alias("__lost_sha")).distinct()
-    marked = docs.withColumn("__sha", F.sha2(text_of(F.col(text_col)), 256)).withColumn("__row", F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
-    stay = marked.join(lost, (F.col(id_col) == F.col("__lost_id")) & (F.col("__sha") == F.col("__lost_sha")), "left_anti")
-    return stay.dropDuplicates([id_col, "__sha", "__row"]).drop("__sha", "__row")
+    sha, row = free_name(docs, "__sha"), free_name(docs, "__row")
+    marked = docs.withColumn(sha, F.sha2(text_of(F.col(text_col)), 256)).withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
+    stay = marked.join(lost, (F.col(id_col) == F.col("__lost_id")) & (F.col(sha) == F.col("__lost_sha")), "left_anti")
+    return stay.dropDuplicates([id_col, sha, row]).drop(sha, row)
