@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from winnow.llm import exact_dedup, jaccard, packing, pii, toxicity
 from winnow.llm.common import ensure_checkpoint_dir, table, text_of
+from winnow.llm.queries import public_codec
 
 #: The last stage's rows depend on trained models and on packing, which SQL does not express.
 ORACLE_SQL = None
@@ -42,8 +43,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of each document's pieces in bins of the permitted lengths."""
-    return packing.pack(docs)
+    """Bins of the permitted lengths with the tokens of all documents, by the vocabulary that op2 encodes by."""
+    return packing.pack(docs, public_codec(spark))
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("pii", redact_personal_data), ("packing", pack_sequences)]
