@@ -49,6 +49,8 @@ GRAIN = 1 << 22
 MEASURES = ("repeated words", "repeated lines", "share of the commonest word", "mean length of words", "signs", "upper case", "length")
 WEIGHTS = (0.4, 1.0, 1.0)
 _FOLD = str.maketrans({**{c: "0" for c in "0123456789"}})
+#: Signs at a word's ends that aren't part of it.
+ENDS = ".,;:!?"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -68,6 +70,7 @@ class Terms:
 
     def forget(self) -> None:
         self.memo: dict[str, int] = {}
+        self.forms: dict[str, int] = {}  # shape term of each shape
         self.more: dict[int, list[int]] = {}  # shape terms after the first, of tokens with several
         self.facts = np.zeros((5, 1024), dtype=np.int32)  # by token: word term, shape term, signs, upper case, letters
 
@@ -75,20 +78,27 @@ class Terms:
         s, used = self.s, len(self.memo)
         while used + len(tokens) > self.facts.shape[1]:
             self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)], axis=1)
-        forms: dict[str, int] = {}
-        rows = []
-        for t in tokens:
-            if t.isalpha():
-                letters, own = len(t), ["A" if len(t) > 1 and t.isupper() else "a"]
+        forms, digest, words, first = self.forms, xxhash.xxh32_intdigest, s.word_terms, s.word_terms
+        rows: list[int] = []
+        for k, t in enumerate(tokens, used):
+            core = t.rstrip(ENDS)
+            own = None
+            if core.isalpha():  # a word and the signs at its end; up to two of them are their own shape
+                letters, word = len(core), core.lower()
+                form = ("A" if letters > 1 and core.isupper() else "a") + t[letters:]
+                if len(form) > 3:
+                    own = shapes(t)
             else:
-                letters, own = sum(map(str.isalnum, t)), shapes(t)
-            for form in own:
-                if form not in forms:
-                    forms[form] = s.word_terms + xxhash.xxh32_intdigest(form) % s.shape_terms
-            if len(own) > 1:
-                self.more[used + len(rows)] = [forms[form] for form in own[1:]]
-            rows.append((xxhash.xxh32_intdigest(t.lower().strip(".,;:!?")) % s.word_terms, forms[own[0]], len(t) - letters, len(t) > 1 and t.isupper(), letters))
-        self.facts[:, used : used + len(tokens)] = np.array(rows, dtype=np.int32).T
+                letters, word, own = sum(map(str.isalnum, t)), t.lower().strip(ENDS), shapes(t)
+            if own:
+                form = own[0]
+                if len(own) > 1:
+                    self.more[k] = [first + digest(x) % s.shape_terms for x in own[1:]]
+            number = forms.get(form)
+            if number is None:
+                number = forms[form] = first + digest(form) % s.shape_terms
+            rows += digest(word) % words, number, len(t) - letters, len(t) > 1 and core.isupper(), letters
+        self.facts[:, used : used + len(tokens)] = np.fromiter(rows, dtype=np.int32, count=len(rows)).reshape(-1, 5).T
         self.memo.update(zip(tokens, range(used, used + len(tokens)), strict=True))
 
     def rows(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
