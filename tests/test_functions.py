@@ -1,3 +1,6 @@
+import random
+from urllib.parse import urljoin
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,7 +92,13 @@ def test_urls(spark):
     assert value(spark, web.resolve_url("u", base), u="/a") == "https://x.org/a"
     assert value(spark, web.resolve_url("u", base), u="a") == "https://x.org/f/a"
     assert value(spark, web.resolve_url("u", base), u="") == ""
-    assert spark.createDataFrame([("../a",)], "u string").select(web.join_url(base)("u")).first()[0] == "https://x.org/a"
+    r, refs = random.Random(1), ["../a", ".", "..", "./", "a/./b/../c", "/x//y/", "?q=1", "#top", "a?b=/../c", "../../..", "mailto:a@b", "a//b/", "/"]
+    refs += ["".join(r.choices(["a", "b", "/", ".", "..", "?", "#", "-1"], k=r.randint(1, 7))) for _ in range(300)]
+    refs = [x for x in refs if not x.startswith("//") and "?#" not in x]
+    got = spark.createDataFrame([(x,) for x in refs], "u string").select("u", web.resolve_url("u", "https://x.org/f/g").alias("v")).collect()
+    tidy = lambda x: x.removesuffix("#").removesuffix("?").removesuffix("#")
+    for x in got:
+        assert tidy(x["v"]) == tidy(urljoin("https://x.org/f/g/", x["u"])), x["u"]
     assert value(spark, web.id_from_url("u"), u="https://x.org/threads/12345-a-title") == "12345"
     assert value(spark, web.id_from_url("u"), u="/forum/s14/faqs/no-start") == "no-start"
     assert value(spark, web.id_from_url("u", allow_slug=False), u="/forum/faqs") == ""

@@ -1,13 +1,14 @@
 import json
 import random
 import struct
+import time
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from winnow.functions.dom import parse
-from winnow.operators import crawl, dedup, emit, generate, html, index, media, order, rules, similarity, split, stats, validate
+from winnow.operators import crawl, dedup, emit, fetch, forum, generate, html, index, media, order, rules, similarity, split, stats, validate
 from winnow.plans import reports, stages
 from winnow.sources import config, readers, sinks
 
@@ -121,6 +122,75 @@ def test_leaders_match_the_sequential_ones(spark):
         assert got == want
 
 
+def slow_leaders(near, ids):
+    leader, score = {}, {}
+    for i in ids:
+        if i not in leader:
+            leader[i], score[i] = i, 1.0
+            for j in ids:
+                if j > i and j not in leader and (i, j) in near:
+                    leader[j], score[j] = i, near[i, j]
+    return {(i, leader[i], score[i]) for i in ids}
+
+
+@pytest.mark.parametrize("in_turn", [0, 10, 10_000])
+def test_leaders_of_chains_stars_and_dense_graphs(spark, in_turn):
+    r = random.Random(4)
+    chain = {(i, i + 1): 0.9 for i in range(150 if in_turn else 12)}
+    star = {(1000, 1000 + k): 0.8 for k in range(1, 30)} | {(1001, 1040): 0.7}
+    dense = {(2000 + a, 2000 + b): round(r.random(), 6) for a in range(30) for b in range(a + 1, 30) if r.random() < 0.3}
+    near = chain | star | dense
+    ids = sorted({i for pair in near for i in pair} | {5000})
+    rows = spark.createDataFrame([(i, i) for i in ids], "id bigint, ord bigint")
+    pairs = spark.createDataFrame([(a, b, s) if r.random() < 0.5 else (b, a, s) for (a, b), s in near.items()], "a bigint, b bigint, similarity double")
+    got = {(x["id"], x["leader"], x["similarity"]) for x in similarity.lead(rows, pairs, in_turn=in_turn).collect()}
+    assert got == slow_leaders(near, ids)
+    assert similarity.lead(rows.limit(0), pairs.limit(0), in_turn=in_turn).count() == 0
+
+
+def test_pages_of_any_size_are_compared_alike(spark):
+    r = random.Random(6)
+    words = [f"w{k}" for k in range(12)]
+    rows = spark.createDataFrame([(f"p{k % 3}" if k < 40 else "large", k, f"q{k}", " ".join(r.choices(words, k=4))) for k in range(120)], "page_id string, pair_ord bigint, qa_id string, question string")
+    a, b = (sorted((x["qa_id"], x["similar_to"], x["similarity"]) for x in rules.diverse_any(rows, threshold=0.5, folded=n).collect()) for n in (1000, 20))
+    assert a == b and any(x[1] for x in a)
+
+
+def test_similar_groups_keep_to_their_page(spark):
+    rows = spark.createDataFrame([("a", "a-1", "What is it?", "x", 0, 0), ("b", "b-1", "What was it?", "xx", 1, 0), ("b", "b-2", "What is that?", "x", 1, 1)], "page_id string, qa_id string, question string, answer string, doc_ord int, pair_ord int")
+    vectors = spark.createDataFrame([("a-1", [1.0, 0.0]), ("b-1", [1.0, 0.1]), ("b-2", [1.0, 0.05])], "qa_id string, embedding array<double>")
+    stay = lambda **k: sorted(r["qa_id"] for r in dedup.deduplicate(rows, vectors, **k)[0].collect())
+    assert stay() == ["b-1"] and stay(cross_page=False) == ["a-1", "b-1"]
+    twice = rows.unionByName(rows.filter("qa_id = 'a-1'").withColumn("qa_id", F.lit("a-2")))
+    kept = lambda **k: sorted(r["qa_id"] for r in dedup.deduplicate(twice, **k)[0].collect())
+    assert kept() == ["a-1", "b-1", "b-2"] and kept(exact=False) == ["a-1", "a-2", "b-1", "b-2"]
+
+
+def test_pairs_of_equal_sets(spark):
+    sets = spark.createDataFrame([(i, list("abcde") if i % 2 else list("abcdf")) for i in range(6)] + [(9, list("xyz")), (None, list("xyz")), (10, []), (11, None)], "id bigint, words array<string>")
+    got = {(r["a"], r["b"]): round(r["similarity"], 6) for r in similarity.jaccard_pairs(sets, 0.6).collect()}
+    assert got == {(i, j): 1.0 if (i - j) % 2 == 0 else round(4 / 6, 6) for i in range(6) for j in range(i + 1, 6)}
+    assert [(r["a"], r["b"]) for r in similarity.jaccard_pairs(sets, 0.6, expand=False).collect()] == [(0, 1)]
+    assert {(r["id"], r["rep"]) for r in similarity.class_of(sets).collect()} == {(i, i % 2) for i in range(6)} | {(9, 9)}
+
+
+def test_fetching(spark):
+    def turned_away(url, proxy):
+        if proxy == "bad" or url == "never":
+            raise OSError(f"no {proxy}")
+        return url + "!"
+
+    urls = spark.createDataFrame([("a",), ("never",), (None,)], "url string")
+    got = {r["url"]: (r["html"], r["error"]) for r in fetch.fetch(urls, turned_away, 1e6, retries=2, pause=0.0, proxies=("bad", "good")).collect()}
+    assert got["a"] == ("a!", None) and got["never"][0] is None and got["never"][1].startswith("OSError") and got[None] == (None, "no url")
+    began = time.monotonic()
+    assert fetch.fetch(spark.range(4).selectExpr("cast(id as string) as url"), lambda u, p: u, 10.0).count() == 4 and time.monotonic() - began >= 0.3
+    pages = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "")], "url string, next_url string")
+    walk = {(r["start"], r["n"], r["url"]) for r in fetch.follow(pages.filter("url in ('a', 'x')"), lambda u: u.join(pages, "url")).collect()}
+    assert walk == {("a", 1, "a"), ("a", 2, "b"), ("a", 3, "c"), ("x", 1, "x")}
+    assert fetch.follow(pages.filter("url = 'a'"), lambda u: u.join(pages, "url"), most=2).count() == 2
+
+
 def test_pair_joins_match_brute_force(spark):
     r = random.Random(5)
     sets = [(i, "ab"[i % 2], r.sample("abcdefgh", r.randint(0, 6))) for i in range(60)]
@@ -230,7 +300,7 @@ def test_generation(spark):
     assert [(r["qa_id"], r["answer"]) for r in generate.parse_answers(answers).orderBy("qa_id").collect()] == [("p-q01", "b"), ("p-q02", "d")]
     one = spark.createDataFrame([("procedure", ["1", "2"], ["A", "B"]), ("specification", [], []), ("text", [], [])], "t string, c array<string>, n array<string>")
     blocks = [r[0] for r in one.select(generate.context_block("t", "c", "n")).collect()]
-    assert blocks[0].endswith("- 1: A\n- 2: B") and blocks[1].startswith("This page contains") and blocks[2] == ""
+    assert blocks[0].endswith("- 1: A\n- 2: B") and blocks[1].startswith("Read the values") and blocks[2] == ""
     assert [r[0] for r in one.select(generate.questions_for("t")).collect()] == [12, 10, 6]
     p = one.select(generate.prompt(F.lit("service_manual"), "t", F.lit("Clutch"), F.lit(3), F.lit("ctx"))).first()[0]
     assert "3 question" in p and "Clutch" in p and p.endswith("ctx")
@@ -238,6 +308,14 @@ def test_generation(spark):
     assert generate.embed(pages, "filename", lambda t: [[float(len(x))] for x in t], "filename").count() == 3
     assert generate.embed(pages, "filename", None, "filename").count() == 0
 
+    def breaks_once(texts):
+        if any("b" in t for t in texts):
+            raise OSError("out of memory")
+        return [[1.0] for _ in texts]
+
+    with pytest.warns(UserWarning, match="out of memory"):
+        assert generate.embed(spark.createDataFrame([("a",), ("b",), ("c",)], "filename string"), "filename", breaks_once, "filename", batch=1).count() == 0
+
 
 SPEC = """<table><tr><th>Category</th><th>Spec</th><th>Value</th></tr><tr><td>Engine</td><td>Displacement</td><td>2302</td><td>cc</td></tr><tr><td>Engine</td><td>Empty</td><td> </td></tr>
 <tr><td>x</td></tr></table><table><tr><td>Weight</td><td>1200 <b>kg</b></td></tr><tr><td>Item</td><td>skip</td></tr></table><table><tr><td>lone</td><td>row</td></tr></table>"""
@@ -246,9 +324,9 @@ SPEC = """<table><tr><th>Category</th><th>Spec</th><th>Value</th></tr><tr><td>En
 def test_spec_tables(spark):
     assert html.spec_rows(SPEC) == [{"category": "Engine", "spec_name": "Displacement", "spec_value": "2302 cc"}, {"category": "", "spec_name": "Weight", "spec_value": "1200kg"}]
     assert html.spec_rows(None) == [] and html.spec_rows("<table><tr") == []
-    d = html.html_documents(spark.createDataFrame([("x/M3-techspec.html", SPEC)], "path string, html string")).first()
+    d = html.html_documents(spark.createDataFrame([("x/M3-techspec.html", SPEC)], "path string, html string"), "Test Car").first()
     assert d["page_id"] == "html-m3-techspec" and d["model_detected"] == "M3" and [p["id"] for p in d["qa_pairs"]] == [f"html-m3-techspec-q{i:02d}" for i in range(1, 6)]
-    assert d["qa_pairs"][1]["answer"] == "The displacement for the BMW E30 M3 is 2302 cc."
+    assert d["qa_pairs"][1]["answer"] == "The displacement for the Test Car M3 is 2302 cc."
 
 
 FORUM = """<html><head><link rel="next" href="/forum/5-general/page3"><link rel="prev" href="/forum/5-general"></head><body>
@@ -259,21 +337,41 @@ FORUM = """<html><head><link rel="next" href="/forum/5-general/page3"><link rel=
 THREAD = """<article class="post" data-post-id="77"><span class="username">Bob</span><time datetime="2020-01-01T00:00:00">x</time><div class="post-content">Hi <img src="/a.jpg"><img src="/smilies/x.png"><blockquote>quoted</blockquote></div></article>"""
 
 
+def forum_rows(spark, parse, text, **more):
+    """What a parser of pages makes of one page."""
+    page = spark.createDataFrame([{"html": text, **more}], "html string" + "".join(f", {k} string" for k in more))
+    return [r.asDict(recursive=True) for r in parse(page, "https://x.org/").collect()]
+
+
 def test_forum_pages(spark):
-    f = html.ForumPages("https://x.org/")
-    assert [(r["forum_id"], r["title"], r["parent_id"]) for r in f.subforums(FORUM, "5")] == [("7", "Sub", "5")]
-    (t,) = f.threads(FORUM, "5")
-    assert (t["thread_id"], t["title"], t["author"], t["is_sticky"], t["reply_count"]) == ("5", "First thread", "Ann", True, 0)
-    p = f.pagination(FORUM)
-    assert p["next_url"] == "https://x.org/forum/5-general/page3" and p["total_pages"] == 9 and p["has_prev"] and p["current_page"] == 2
-    (post,) = f.posts(THREAD, "9")
+    assert [(r["forum_id"], r["title"], r["parent_id"]) for r in forum_rows(spark, forum.subforums_of, FORUM, forum_id="5")] == [("7", "Sub", "5")]
+    (t,) = forum_rows(spark, forum.threads_of, FORUM, forum_id="5")
+    assert (t["thread_id"], t["title"], t["author"], t["is_sticky"], t["reply_count"], t["forum_id"]) == ("5", "First thread", "Ann", True, 0, "5")
+    (p,) = forum_rows(spark, forum.pagination_of, FORUM)
+    assert p == {"current_page": 2, "total_pages": 9, "has_next": True, "has_prev": True, "next_url": "https://x.org/forum/5-general/page3", "prev_url": "https://x.org/forum/5-general"}
+    (post,) = forum_rows(spark, forum.posts_of, THREAD, thread_id="9")
     assert post["post_id"] == "77" and post["images"] == ["https://x.org/a.jpg"] and post["quotes"] == ["quoted"] and post["created_at"] == "2020-01-01T00:00:00" and post["is_first_post"]
-    assert f.index("<div><a href='/forum/3-a'> </a><a href='/forum/3-a'>Late</a><a href='/forum/b'>B</a></div>") == [{"forum_id": "b", "title": "B", "url": "https://x.org/forum/b", "description": "", "parent_id": None}]
-    assert f.threads("<a href='/threads/12-abcd'>Long title</a><a href='/threads/13-x'>abc</a>", "1")[0]["thread_id"] == "12"
+    assert post["content_html"] == '<div class="post-content">Hi <img src="/a.jpg"/><img src="/smilies/x.png"/><blockquote>quoted</blockquote></div>'
+    assert forum_rows(spark, forum.forums_of, "<div><a href='/forum/3-a'> </a><a href='/forum/3-a'>Late</a><a href='/forum/b'>B</a></div>") == [{"forum_id": "b", "title": "B", "url": "https://x.org/forum/b", "description": "", "parent_id": None}]
+    assert [r["thread_id"] for r in forum_rows(spark, forum.threads_of, "<a href='/threads/12-abcd'>Long title</a><a href='/threads/13-x'>abc</a><a href='/threads/12-abcd'>Again</a>", forum_id="1")] == ["12"]
     pages = spark.createDataFrame([(1, FORUM, "5"), (2, None, "6"), (3, "<li class='topic-item'", "7")], "n int, html string, forum_id string")
-    assert html.threads_of(pages, "https://x.org", keep=["n"]).count() == 1
-    assert html.pagination_of(pages, "https://x.org", keep=["n"]).count() == 3
-    assert html.posts_of(pages.select("n", F.lit(THREAD).alias("html"), F.lit("9").alias("thread_id")), "https://x.org").count() == 3
+    assert forum.threads_of(pages, "https://x.org", keep=["n"]).count() == 1
+    assert forum.pagination_of(pages, "https://x.org", keep=["n"]).count() == 3
+    assert forum.posts_of(pages.select("n", F.lit(THREAD).alias("html"), F.lit("9").alias("thread_id")), "https://x.org").count() == 3
+
+
+def test_forum_fallbacks(spark):
+    posts = forum_rows(spark, forum.posts_of, "<div class='b-post' id='post_8'><p class='date'> Jan 5, 2001 </p></div><div class='b-post'><i id='post12'></i></div><div class='b-post'><span class='date'>long ago</span></div>", thread_id="t")
+    assert [(p["post_id"], p["created_at"], p["post_number"]) for p in posts] == [("8", "2001-01-05T00:00:00", 1), ("12", "", 2), ("t_2", "long ago", 3)]
+    for text, want in (
+        ("<div class='pager'><input name='page' value='3'><a href='x'>2</a><a href='x'>7</a><span class='last'><a href='/f?page=11'>end</a></span></div>", (3, 11, True, False, "", "")),
+        ("<div class='pager'><input name='page'><a class='prev' href='/p1'>1</a></div>", (1, 1, False, True, "", "https://x.org/p1")),
+        ("<link rel='next' href='/f/page4'><p>none</p>", (3, 4, True, False, "https://x.org/f/page4", "")),
+        ("<div class='pager'><a class='next h-disabled' href='/n'>n</a><strong>x</strong></div>", (1, 1, False, False, "", "")),
+        ("", (1, 1, False, False, "", "")),
+    ):
+        (p,) = forum_rows(spark, forum.pagination_of, text)
+        assert tuple(p[k] for k in ("current_page", "total_pages", "has_next", "has_prev", "next_url", "prev_url")) == want, text
 
 
 def test_dom():
@@ -282,9 +380,22 @@ def test_dom():
     assert root.first(".b").get("class") == "a b" and root.first("[id='x']") is not None and root.first("p:not(.c)") is not None
 
 
+def test_dom_writes_what_it_read():
+    text = "<div title='a\"b'><b>&lt;i&gt; &amp; x</b><br><p class=\"c d\">1 &lt; 2</p><script>if (a < b) {}</script></div>"
+    once = parse(text).first("div").html()
+    assert once == "<div title='a\"b'><b>&lt;i&gt; &amp; x</b><br/><p class=\"c d\">1 &lt; 2</p><script>if (a < b) {}</script></div>"
+    assert parse(once).first("div").html() == once
+    deep = "<p><i>" * 30_000 + "x"
+    assert parse(deep).first("p").html().count("<i>") == 30_000 and parse(deep).first("p").text() == "x"
+
+
 def test_crawl(spark):
     forums = spark.createDataFrame([("1", None, "u1"), ("2", "1", "u2"), ("3", "2", "u3")], "forum_id string, parent_id string, url string")
     assert {r["forum_id"]: (r["depth"], r["root_id"]) for r in crawl.flatten_forums(forums).collect()} == {"1": (0, "1"), "2": (1, "1"), "3": (2, "1")}
+    deep = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(9)] + [("a", "b"), ("b", "a"), ("c", "a"), ("d", "gone"), ("e", None)], "forum_id string, parent_id string")
+    want = {str(i): (i, "0") for i in range(9)} | dict.fromkeys("abcd", (None, None)) | {"e": (0, "e")}
+    assert {r["forum_id"]: (r["depth"], r["root_id"]) for r in crawl.flatten_forums(deep).collect()} == want
+    assert crawl.flatten_forums(deep.limit(0)).count() == 0
     assert {r["url"] for r in crawl.forum_urls(spark.createDataFrame([("2",), ("9",)], "forum_id string"), forums, "b").collect()} == {"u2", "b/forum/9"}
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("b", "a")], "src string, dst string")
     assert {r["url"]: r["depth"] for r in crawl.reachable(spark.createDataFrame([("a",)], "url string"), links, 3).collect()} == {"a": 0, "b": 1, "c": 2, "d": 3}

@@ -5,11 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from html import escape
 from html.parser import HTMLParser
 
+RAW = frozenset(("script", "style"))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
+def _quoted(value: str) -> str:
+    """An attribute's value between the quotes that it doesn't have."""
+    v = escape(value, quote=False)
+    return f"'{v}'" if '"' in v and "'" not in v else '"' + v.replace('"', "&quot;") + '"'
+
+
 class Node:
     __slots__ = ("attrs", "children", "parent", "tag")
 
@@ -51,9 +59,23 @@ class Node:
             node = node.parent
 
     def html(self) -> str:
-        inner = "".join([c if isinstance(c, str) else c.html() for c in self.children])
-        attrs = "".join([f' {k}="{v}"' for k, v in self.attrs.items()])
-        return f"<{self.tag}{attrs}/>" if self.tag in VOID else f"<{self.tag}{attrs}>{inner}</{self.tag}>"
+        """The element as markup, with what stands for a sign escaped."""
+        out: list[str] = []
+        stack: list[Node | str] = [self]
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                out.append(item)
+                continue
+            attrs = "".join([f" {k}={_quoted(v)}" for k, v in item.attrs.items()])
+            if item.tag in VOID:
+                out.append(f"<{item.tag}{attrs}/>")
+                continue
+            out.append(f"<{item.tag}{attrs}>")
+            stack.append(f"</{item.tag}>")
+            raw = item.tag in RAW
+            stack.extend(c if isinstance(c, Node) else c if raw else escape(c, quote=False) for c in reversed(item.children))
+        return "".join(out)
 
     def all(self, selector: str) -> list[Node]:
         match = matcher(selector)

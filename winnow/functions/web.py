@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from urllib.parse import urljoin
+from urllib.parse import urlsplit
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,30 +26,30 @@ def path_parts(url: Column | str) -> Column:
     return F.filter(F.split(url_path(url), "/"), lambda p: p != "")
 
 
-def resolve_url(url: Column | str, base: str) -> Column:
-    """Absolute URL: // gets https, http stays, a relative path is put under the base; empty stays empty.
-
-    Covers paths without . and .. parts; join_url follows them too.
-    """
-    u, host = as_col(url), "/".join(base.split("/")[:3])
-    return (
-        F.when(F.coalesce(u, F.lit("")) == "", "")
-        .when(u.startswith("//"), F.concat(F.lit("https:"), u))
-        .when(u.startswith("http"), u)
-        .when(u.startswith("/"), F.concat(F.lit(host), u))
-        .otherwise(F.concat(F.lit(base.rstrip("/") + "/"), u))
-    )
+def _plain_path(path: Column, tidy: bool = False) -> Column:
+    """An absolute path without . and .. parts; tidy drops empty parts too, save that of a slash at its end."""
+    own = F.slice(F.split(path, "/"), F.lit(2), F.lit(1 << 20))
+    if tidy:
+        own = F.concat(F.filter(own, lambda p: p != ""), F.when(path.endswith("/"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+    walked = F.aggregate(own, F.array(F.lit("")), lambda acc, p: F.when(p == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).when(p == ".", acc).otherwise(F.concat(acc, F.array(p))))
+    plain = F.concat(F.array_join(walked, "/"), F.when(path.rlike(r"/\.{1,2}$"), "/").otherwise(""))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)|//"), F.when(plain == "", "/").otherwise(plain)).otherwise(path)
 
 
-def join_url(base: str):
-    """A pandas UDF that resolves any relative reference against the base."""
+def resolve_url(url: Column | str, base: str) -> Column:
+    """Absolute URL: // gets https, an address with a scheme stays, any other is followed from the base as a folder; empty stays empty."""
+    u, parts = F.coalesce(as_col(url), F.lit("")), urlsplit(base.rstrip("/") + "/")
+    host, folder = f"{parts.scheme}://{parts.netloc}", parts.path
+    path, rest = F.regexp_extract(u, r"^([^?#]*)", 1), F.regexp_extract(u, r"^[^?#]*(.*)$", 1)
+    whole = F.when(path == "", F.lit(folder)).when(path.startswith("/"), _plain_path(path)).otherwise(_plain_path(F.concat(F.lit(folder), path), tidy=True))
+    return F.when(u == "", "").when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(u.rlike(r"^(http|[A-Za-z][A-Za-z0-9+.-]*:)"), u).otherwise(F.concat(F.lit(host), whole, rest))
 
-    @F.pandas_udf("string")
-    def joined(urls: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for u in urls:
-            yield u.map(lambda x: "" if not x else "https:" + x if x.startswith("//") else x if x.startswith("http") else urljoin(base.rstrip("/") + "/", x))
 
-    return joined
+def page_in_url(url: Column | str) -> Column:
+    """The number after /page or in the parameter page; null without one."""
+    u = as_col(url)
+    found = lambda k: F.regexp_extract(u, r"/page([0-9]+)|[?&]page=([0-9]+)", k)
+    return F.concat(found(1), found(2)).try_cast("int")
 
 
 def id_from_url(url: Column | str, allow_slug: bool = True) -> Column:

@@ -9,15 +9,22 @@ from ..functions.web import image_filename
 from ..session import durable
 
 
-def flatten_forums(forums: DataFrame, depth: int = 4) -> DataFrame:
-    """forums with depth (0 at the top) and root_id, from (forum_id, parent_id) rows; deeper rows and cycles are left out."""
-    level = forums.filter("parent_id is null").withColumn("depth", F.lit(0)).withColumn("root_id", F.col("forum_id"))
-    out = level
-    for d in range(1, depth + 1):
-        up = level.select(F.col("forum_id").alias("parent_id"), "root_id")
-        level = forums.join(up, "parent_id").withColumn("depth", F.lit(d)).select(*out.columns)
+def flatten_forums(forums: DataFrame) -> DataFrame:
+    """forums with depth (0 at the top) and root_id, from (forum_id, parent_id) rows, however deep the tree.
+
+    Rows that no top leads to (in a cycle, or below a forum that isn't there) stay, with null depth
+    and root_id. One join a level, against the level above; levels are written to the shared folder.
+    """
+    level = durable(forums.filter("parent_id is null").withColumn("depth", F.lit(0)).withColumn("root_id", F.col("forum_id")))
+    out, rest, d = level, durable(forums.filter("parent_id is not null")), 0
+    while True:
+        d += 1
+        up = level.groupBy(F.col("forum_id").alias("parent_id")).agg(F.min("root_id").alias("root_id"))
+        level = durable(rest.join(up, "parent_id").withColumn("depth", F.lit(d)).select(*out.columns))
+        if level.isEmpty():
+            return out.unionByName(rest.withColumns({"depth": F.lit(None).cast("int"), "root_id": F.lit(None).cast(out.schema["root_id"].dataType)}))
         out = out.unionByName(level)
-    return out
+        rest = durable(rest.join(up.select("parent_id"), "parent_id", "left_anti").select(*forums.columns))
 
 
 def forum_urls(ids: DataFrame, forums: DataFrame, base_url: str) -> DataFrame:

@@ -57,31 +57,39 @@ def drop_ids(rows: DataFrame, groups: DataFrame, keys: tuple[str, ...] = ("page_
     return rows.join(lost.distinct(), list(keys), "left_anti")
 
 
-def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, threshold: float = 0.9, qa_id: str = "qa_id", order: tuple[str, ...] = ("doc_ord", "pair_ord")) -> DataFrame:
+def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, threshold: float = 0.9, qa_id: str = "qa_id", order: tuple[str, ...] = ("doc_ord", "pair_ord"), scope: tuple[str, ...] = ()) -> DataFrame:
     """Groups by cosine among rows in no exact group: leaders with the later rows near them, numbered semantic-001 and on.
 
-    All members of exact groups are left out, the kept ones too. vectors holds (qa_id, embedding).
-    A group's similarity_score is the mean of its members' cosines with the leader.
+    All members of exact groups are left out, the kept ones too. vectors holds (qa_id, embedding);
+    rows without a vector are in no group. A group's similarity_score is the mean of its members'
+    cosines with the leader. Scope columns confine groups, and numbers begin anew in each scope.
     """
-    free = rows.join(exact.select(qa_id).distinct(), qa_id, "left_anti")
-    ordered = free.join(vectors, qa_id).withColumn("__ord", F.struct(*order, F.col(qa_id)))
-    lead = leaders(ordered.select(F.col(qa_id).alias("id"), F.col("__ord").alias("ord"), "embedding"), threshold)
+    key = [qa_id, *[c for c in scope if c != qa_id]]
+    free = rows.join(exact.select(*key).distinct(), key, "left_anti")
+    placed = free.join(vectors.select(qa_id, "embedding"), qa_id).withColumn("__id", F.to_json(F.struct(*key)))
+    lead = leaders(placed.select(*scope, F.col("__id").alias("id"), F.struct(*order, F.col(qa_id)).alias("ord"), "embedding"), threshold, scope)
     scored = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("__n"), F.avg(F.when(F.col("id") != F.col("leader"), F.col("similarity"))).alias("similarity_score"), F.min("ord").alias("__first")).filter("__n > 1")
-    numbered = with_rank(scored, ["__first"], "__g").withColumn("group_id", F.format_string("semantic-%03d", "__g"))
-    members = lead.select(F.col("id").alias(qa_id), "leader").join(numbered.select("leader", "group_id", "similarity_score"), "leader").drop("leader")
-    return free.join(members, qa_id).withColumn("match_type", F.lit("semantic")).select(*rows.columns, "group_id", "match_type", "similarity_score")
+    if scope:
+        scored = scored.join(placed.select(F.col("__id").alias("leader"), *scope), "leader")
+        numbered = scored.withColumn("__g", F.row_number().over(Window.partitionBy(*scope).orderBy("__first")))
+    else:
+        numbered = with_rank(scored, ["__first"], "__g")
+    numbered = numbered.withColumn("group_id", F.format_string("semantic-%03d", "__g")).select("leader", "group_id", "similarity_score")
+    members = lead.select(F.col("id").alias("__id"), "leader").join(numbered, "leader").drop("leader")
+    return placed.join(members, "__id").withColumn("match_type", F.lit("semantic")).select(*rows.columns, "group_id", "match_type", "similarity_score")
 
 
-def deduplicate(rows: DataFrame, vectors: DataFrame | None = None, strategy: str = "longer_answer", threshold: float = 0.9, cross_page: bool = True, compatible: bool = False) -> tuple[DataFrame, DataFrame]:
+def deduplicate(rows: DataFrame, vectors: DataFrame | None = None, strategy: str = "longer_answer", threshold: float = 0.9, cross_page: bool = True, compatible: bool = False, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows that stay, rows of all groups with kept and kept_qa_id): exact groups first, then similar ones.
 
-    Without vectors there are no similar groups. cross_page=False confines exact groups to a page.
-    compatible=True drops by id alone, on whatever page.
+    exact=False leaves the exact groups out, no vectors the similar ones. cross_page=False confines
+    both kinds of groups to a page. compatible=True drops by id alone, on whatever page.
     """
-    exact = exact_groups(rows, scope=() if cross_page else ("page_id",))
+    scope = () if cross_page else ("page_id",)
+    equal = exact_groups(rows if exact else rows.limit(0), scope=scope)
+    groups = equal if vectors is None else equal.unionByName(semantic_groups(rows, vectors, equal, threshold, scope=scope))
     if not cross_page:
-        exact = exact.withColumn("group_id", F.concat_ws("/", "page_id", "group_id"))
-    groups = exact if vectors is None else exact.unionByName(semantic_groups(rows, vectors, exact, threshold))
+        groups = groups.withColumn("group_id", F.concat_ws("/", "page_id", "group_id"))
     marked = pick_survivors(groups, strategy)
     return drop_ids(rows, marked, ("qa_id",) if compatible else ("page_id", "qa_id")), marked
 

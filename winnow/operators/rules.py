@@ -20,6 +20,10 @@ HEDGES = ("I cannot see", "I can't determine", "not visible", "image doesn't sho
 GENERATED_SELF_REFERENCES = ("on this page", "in this image", "as shown", "the manual states", "according to the page")
 
 
+#: Questions of a page that are compared in one expression.
+FOLDED = 200
+
+
 @dataclass(frozen=True)
 class Rules:
     min_answer: int = 10
@@ -109,15 +113,25 @@ def diverse_by_pairs(rows: DataFrame, page: str = "page_id", order: str = "pair_
     return keyed.join(mark, "__id").select(*rows.columns, F.col("__m.n").alias("similar_to"), F.col("__m.s").alias("similarity"))
 
 
+def diverse_any(rows: DataFrame, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id", question: str = "question", threshold: float = 0.80, folded: int = FOLDED) -> DataFrame:
+    """What diverse returns: pages of at most `folded` questions in one fold each, larger ones by pairs. Both ways give the same rows."""
+    sizes = rows.groupBy(F.col(page).alias("__page")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > folded)
+    if sizes.isEmpty():
+        return diverse(rows, page, order, qa_id, question, threshold)
+    same = F.col(page).eqNullSafe(F.col("__page"))
+    large = diverse_by_pairs(rows.join(sizes, same, "left_semi"), page, order, qa_id, question, threshold)
+    return diverse(rows.join(sizes, same, "left_anti"), page, order, qa_id, question, threshold).unionByName(large)
+
+
 def apply_rules(rows: DataFrame, rules: Rules | None = None, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id") -> DataFrame:
     """rows with filter_name and reason (null for pairs that pass), similar_to and similarity.
 
     The rules of a single pair come first; the questions that pass them are then compared within
-    their page. (page, order) must be unique.
+    their page, however many it has. (page, order) must be unique.
     """
     r = rules or Rules()
     marked = rows.withColumn("__f", first_failure(rules=r))
-    passed = diverse(marked.filter("__f is null"), page, order, qa_id, threshold=r.max_similarity)
+    passed = diverse_any(marked.filter("__f is null"), page, order, qa_id, threshold=r.max_similarity)
     failed = marked.filter("__f is not null").withColumns({"similar_to": F.lit(None).cast("string"), "similarity": F.lit(None).cast("double")})
     near = F.when(F.col("similar_to").isNotNull(), F.struct(F.lit("question_similarity").alias("filter_name"), F.lit("question_similarity").alias("reason")))
     out = failed.unionByName(passed.withColumn("__f", near))

@@ -26,17 +26,24 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """(a, b, similarity) of all pairs a < b whose cosine reaches the threshold.
-
-    Exact. Vectors are dealt to blocks; a task gets two blocks and multiplies them as matrices, so
-    work is even, no task holds more than two blocks, and only pairs at the threshold leave it.
-    The number of blocks follows from a count of the table.
+def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vector: str = "embedding", block: int = BLOCK, scope: tuple[str, ...] = ()) -> DataFrame:
+    """(scope, a, b, similarity) of all pairs a < b within a scope whose cosine reaches the threshold.
+
+    Exact. The vectors of a scope are dealt to blocks; a task gets two blocks and multiplies them as
+    matrices, so work is even, no task holds more than two blocks, and only pairs at the threshold
+    leave it. The number of blocks follows from the number of vectors. Rows with a null id or a null
+    vector have no pairs; vectors of one scope must be of one length, others raise. A zero vector is
+    at right angles to all. Work grows with the square of a scope: see candidate_pairs.
     """
-    n = max(1, -(-vectors.count() // block))
-    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).select(F.col(id_col).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
-    own = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select("id", "v", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).select(*scope, F.col(id_col).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    if scope:
+        sizes = rows.groupBy(*scope).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
+        rows = rows.join(sizes, [*scope])
+    else:
+        rows = rows.withColumn("n", F.lit(max(1, -(-vectors.count() // block))))
+    own = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(*scope, "id", "v", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in scope]
     kind = rows.schema["id"].dataType.simpleString()
 
     def meet(t: pa.Table) -> pa.Table:
@@ -51,19 +58,24 @@ def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vecto
             good &= own[:, None] != own[None, :]
         i, j = np.nonzero(good)
         ids = t.column("id")
-        return pa.table([ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(s[i, j])], names=["a", "b", "similarity"])
+        return pa.table([*(t.column(c).take(pa.array(i)) for c in scope), ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(s[i, j])], names=[*scope, "a", "b", "similarity"])
 
-    return dealt.groupBy("x", "y").applyInArrow(meet, f"a {kind}, b {kind}, similarity double")
+    return dealt.groupBy(*scope, "x", "y").applyInArrow(meet, ", ".join([*kinds, f"a {kind}, b {kind}, similarity double"]))
 
 
-def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words") -> DataFrame:
+def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words", expand: bool = True) -> DataFrame:
     """(scope, a, b, similarity) of the pairs a < b within a scope whose item sets' Jaccard similarity reaches the threshold.
 
+    Equal sets are one, by the name of their least id; expand=False returns the pairs between those
+    alone, and class_of says which rows they stand for. expand=True names every pair of rows.
+
     Exact, by prefixes: items are ranked from the rarest; two sets that reach the threshold share
     one of the first size - ceil(threshold * size) + 1 items of each. Only those are joined, as
-    hashes and with a filter on sizes, and the candidates are verified on the whole sets.
+    hashes and with a filter on sizes, and the candidates are verified on the whole sets. Rows with
+    a null id, a null or an empty set have no pairs.
     """
-    rows = sets.select(*scope, F.col(id_col).alias("id"), F.array_distinct(items).alias("items")).filter((F.size("items") > 0) & F.col("id").isNotNull())
+    member = class_of(sets, scope, id_col, items)
+    rows = member.groupBy(*scope, "rep").agg(F.first("items").alias("items")).withColumnRenamed("rep", "id")
     each = rows.select(*scope, "id", F.size("items").alias("n"), F.explode(F.transform("items", lambda x: F.xxhash64(x))).alias("item"))
     rarity = each.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(rarity, "item").groupBy(*scope, "id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("r"))
@@ -74,43 +86,91 @@ def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = ()
     whole = met.join(rows.toDF(*scope, "a", "__x"), [*scope, "a"]).join(rows.toDF(*scope, "b", "__y"), [*scope, "b"])
     both = F.size(F.array_intersect("__x", "__y"))
     s = both / (F.size("__x") + F.size("__y") - both)
-    return whole.select(*scope, "a", "b", s.alias("similarity")).filter(F.col("similarity") >= threshold)
+    near = whole.select(*scope, "a", "b", s.alias("similarity")).filter(F.col("similarity") >= threshold)
+    if not expand:
+        return near
+    own = member.select(*scope, "rep", "id")
+    apart = near.join(own.toDF(*scope, "a", "__a"), [*scope, "a"]).join(own.toDF(*scope, "b", "__b"), [*scope, "b"])
+    alike = own.toDF(*scope, "rep", "__a").join(own.toDF(*scope, "rep", "__b"), [*scope, "rep"]).filter("__a < __b").withColumn("similarity", F.lit(1.0))
+    return apart.select(*scope, F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), "similarity").unionByName(alike.select(*scope, F.col("__a").alias("a"), F.col("__b").alias("b"), "similarity"))
+
+
+def class_of(sets: DataFrame, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words") -> DataFrame:
+    """(scope, id, rep, items): the least id of the rows of a scope with an equal set of items, for each row with items.
+
+    A set is known by 128 bits of two hashes, which its items' order doesn't change.
+    """
+    rows = sets.select(*scope, F.col(id_col).alias("id"), F.array_distinct(items).alias("items")).filter((F.size("items") > 0) & F.col("id").isNotNull())
+    ordered = F.array_sort("items")
+    keyed = rows.withColumns({"__h": F.xxhash64(ordered), "__k": F.xxhash64(ordered, F.lit(1)), "__n": F.size("items")})
+    least = keyed.groupBy(*scope, "__h", "__k", "__n").agg(F.min("id").alias("rep"))
+    return keyed.join(least, [*scope, "__h", "__k", "__n"]).select(*scope, "id", "rep", "items")
 
 
-def leaders(vectors: DataFrame, threshold: float, rounds: int = 60) -> DataFrame:
+def leaders(vectors: DataFrame, threshold: float, scope: tuple[str, ...] = ()) -> DataFrame:
     """(id, ord, leader, similarity): greedy leader clustering of (id, ord, embedding) by cosine, in the order of ord.
 
-    A row becomes a leader unless an earlier leader is near it; the earliest such leader claims it.
-    A leader's own similarity is 1. See lead.
+    A row becomes a leader unless an earlier leader of its scope is near it; the earliest such
+    leader claims it. A leader's own similarity is 1. See lead.
     """
-    near = cosine_pairs(vectors.select("id", "embedding"), threshold)
-    return lead(vectors.select("id", "ord"), near, rounds)
+    near = cosine_pairs(vectors.select(*scope, "id", "embedding"), threshold, scope=scope)
+    return lead(vectors.select("id", "ord"), near.select("a", "b", "similarity"))
+
+
+def _in_turn(edges: pa.Table) -> pa.Table:
+    """The leaders among the nodes of a graph of (src, dst) edges from earlier to later rows, one row after the other."""
+    src, dst = edges.column("src").to_numpy(), edges.column("dst").to_numpy()
+    names, flat = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    src, dst = flat[: len(src)], flat[len(src) :]
+    order = np.argsort(src, kind="stable")
+    after, ends = dst[order], np.searchsorted(src[order], np.arange(len(names) + 1))
+    waits = np.bincount(dst, minlength=len(names))
+    covered = np.zeros(len(names), dtype=bool)
+    ready = np.flatnonzero(waits == 0).tolist()
+    for k in ready:  # grows: a row is ready when all its earlier neighbours are decided
+        for j in after[ends[k] : ends[k + 1]].tolist():
+            covered[j] |= not covered[k]
+            waits[j] -= 1
+            if not waits[j]:
+                ready.append(j)
+    return pa.table([names[~covered]], names=["id"])
 
 
-def lead(rows: DataFrame, near: DataFrame, rounds: int = 60) -> DataFrame:
-    """Greedy leaders of (id, ord) rows, given their near pairs (a, b, similarity).
+#: Edges between undecided rows that one task walks through in turn; more are decided in rounds.
+IN_TURN = 500_000
+
+
+def lead(rows: DataFrame, near: DataFrame, in_turn: int = IN_TURN) -> DataFrame:
+    """(id, ord, leader, similarity): greedy leaders of (id, ord) rows, given their near pairs (a, b, similarity).
 
     In each round the undecided rows without an undecided earlier neighbour become leaders and
-    cover their later neighbours; this reproduces the sequential result in few rounds. Only rows
-    with neighbours take part in the rounds.
+    cover their later neighbours; this reproduces the sequential result in few rounds. When few
+    edges between undecided rows are left, as in a long chain, one task walks through them in
+    turn. Only rows with neighbours take part. ord must order the rows: of two near rows with equal
+    ord neither is the earlier one, and both may lead.
     """
     o = rows.select(F.col("id").alias("a"), F.col("ord").alias("oa")), rows.select(F.col("id").alias("b"), F.col("ord").alias("ob"))
-    both = near.join(o[0], "a").join(o[1], "b")
+    both = near.join(o[0], "a").join(o[1], "b").filter("oa <> ob")
     early = F.col("oa") < F.col("ob")
-    edges = durable(both.select(F.when(early, F.col("a")).otherwise(F.col("b")).alias("src"), F.when(early, F.col("b")).otherwise(F.col("a")).alias("dst"), "similarity"))
-    open_ = durable(edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct())
-    chosen = open_.limit(0)
-    for _ in range(rounds):
-        if open_.isEmpty():
+    named = durable(both.select(F.when(early, F.col("a")).otherwise(F.col("b")).alias("__src"), F.when(early, F.col("b")).otherwise(F.col("a")).alias("__dst"), "similarity"))
+    number = durable(named.select(F.col("__src").alias("__id")).union(named.select(F.col("__dst").alias("__id"))).distinct().withColumn("n", F.monotonically_increasing_id()))
+    edges = durable(named.join(number.toDF("__src", "src"), "__src").join(number.toDF("__dst", "dst"), "__dst").select("src", "dst", "similarity"))
+    open_, chosen = number.select(F.col("n").alias("id")), number.select(F.col("n").alias("id")).limit(0)
+    live = edges.select("src", "dst")
+    while True:
+        left = live.count()
+        if left <= in_turn:
+            alone = open_.join(live.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "id", "left_anti")
+            chosen = chosen.union(alone).union(live.withColumn("__all", F.lit("all")).groupBy("__all").applyInArrow(_in_turn, "id bigint"))
             break
-        live = edges.join(open_.select(F.col("id").alias("src")), "src", "left_semi").join(open_.select(F.col("id").alias("dst")), "dst", "left_semi")
         new = durable(open_.join(live.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"))
-        covered = edges.join(new.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
+        covered = live.join(new.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
         chosen = durable(chosen.union(new))
         open_ = durable(open_.join(new, "id", "left_anti").join(covered, "id", "left_anti"))
-    else:
-        raise RuntimeError("the leaders did not settle")
+        live = durable(live.join(open_.select(F.col("id").alias("src")), "src", "left_semi").join(open_.select(F.col("id").alias("dst")), "dst", "left_semi"))
+    chosen = durable(chosen)
     claims = edges.join(chosen.select(F.col("id").alias("src")), "src", "left_semi").join(chosen.select(F.col("id").alias("dst")), "dst", "left_anti")
-    claims = claims.join(rows.select(F.col("id").alias("src"), F.col("ord").alias("__o")), "src")
-    first = claims.groupBy("dst").agg(F.min_by(F.struct("src", "similarity"), "__o").alias("c")).select(F.col("dst").alias("id"), F.col("c.src").alias("leader"), F.col("c.similarity").alias("similarity"))
+    told = claims.join(number.toDF("__src", "src"), "src").join(rows.select(F.col("id").alias("__src"), F.col("ord").alias("__o")), "__src")
+    first = told.groupBy("dst").agg(F.min_by(F.struct("__src", "similarity"), "__o").alias("c")).join(number.toDF("__dst", "dst"), "dst")
+    first = first.select(F.col("__dst").alias("id"), F.col("c.__src").alias("leader"), F.col("c.similarity").alias("similarity"))
     return rows.join(first, "id", "left").select("id", "ord", F.coalesce("leader", "id").alias("leader"), F.coalesce("similarity", F.lit(1.0)).alias("similarity"))

@@ -7,39 +7,21 @@ a cost, lineitem and part for an index.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths, text, web
 from ..operators import crawl, dedup, emit, generate, html, index, rules, similarity, split, stats, validate
-from ..operators.rules import GENERIC_ANSWERS, Rules
-from ..workers import reach
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+from ..operators.rules import Rules
+from .registry import QUERIES, SQL, Query, query, table
 
 #: No user turn of conversations ends in a question mark.
 RULES = Rules(question_mark=False)
 SEED = 42
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return reach(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit.pair_turns(table(spark, sf_dir, "conversations"))
 
@@ -62,12 +44,16 @@ def _phrases(column: str, phrases: tuple[str, ...]) -> str:
     return "CASE " + " ".join(f"WHEN contains(lower({column}), '{p.lower()}') THEN '{p}'" for p in escaped) + " END"
 
 
+#: The phrases as they are configured, written out.
+_GENERIC = ("cannot determine", "not visible", "unclear from", "I don't see", "I cannot see", "I can't determine", "the image doesn't show", "not specified", "please refer to", "typically", "usually", "generally")
+_SELF = ("on this page", "in this image", "as shown here", "the manual states", "according to the page", "depicted in")
+
 VERDICT = f"""
 marked AS (
-  SELECT *, CASE WHEN {_A} < 10 OR {_A} > 500 THEN 'answer_length' WHEN {_Q} < 15 THEN 'question_length' WHEN {_phrases("answer", GENERIC_ANSWERS)} IS NOT NULL THEN 'generic_answer'
-                 WHEN {_phrases("question", rules.SELF_REFERENCES)} IS NOT NULL THEN 'self_referential' END AS filter_name,
-            CASE WHEN {_A} < 10 THEN 'answer_too_short' WHEN {_A} > 500 THEN 'answer_too_long' WHEN {_Q} < 15 THEN 'question_too_short' WHEN {_phrases("answer", GENERIC_ANSWERS)} IS NOT NULL THEN 'generic_answer: ' || {_phrases("answer", GENERIC_ANSWERS)}
-                 WHEN {_phrases("question", rules.SELF_REFERENCES)} IS NOT NULL THEN 'self_referential: ' || {_phrases("question", rules.SELF_REFERENCES)} END AS reason
+  SELECT *, CASE WHEN {_A} < 10 OR {_A} > 500 THEN 'answer_length' WHEN {_Q} < 15 THEN 'question_length' WHEN {_phrases("answer", _GENERIC)} IS NOT NULL THEN 'generic_answer'
+                 WHEN {_phrases("question", _SELF)} IS NOT NULL THEN 'self_referential' END AS filter_name,
+            CASE WHEN {_A} < 10 THEN 'answer_too_short' WHEN {_A} > 500 THEN 'answer_too_long' WHEN {_Q} < 15 THEN 'question_too_short' WHEN {_phrases("answer", _GENERIC)} IS NOT NULL THEN 'generic_answer: ' || {_phrases("answer", _GENERIC)}
+                 WHEN {_phrases("question", _SELF)} IS NOT NULL THEN 'self_referential: ' || {_phrases("question", _SELF)} END AS reason
   FROM pairs
 )"""
 
@@ -134,9 +120,10 @@ def norm_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.match_key("text")).alias("key_md5"))
 
 
-@query("SELECT doc_id, CAST(len(" + WORDS.format("text") + ") AS BIGINT) AS n_words FROM documents")
+@query("SELECT doc_id, CAST(len(" + WORDS.format("text") + ") AS BIGINT) AS n_words, md5(array_to_string(list_sort(" + WORDS.format("text") + "), ' ')) AS words_md5 FROM documents")
 def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.word_set("text")).cast("long").alias("n_words"))
+    words = text.word_set("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(words).cast("long").alias("n_words"), F.md5(F.array_join(F.array_sort(words), " ")).alias("words_md5"))
 
 
 @query("SELECT doc_id, length(" + STRIP.format("text") + ") AS stripped, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS collapsed_md5, substr(text, 1, 50) AS head FROM documents")
@@ -210,10 +197,20 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.jaccard_pairs(sets, 0.05, ("page_id",), "qa_id").withColumn("similarity", F.round("similarity", 9))
 
 
-@query("WITH w AS (SELECT source, doc_id, " + WORDS.format("text") + " AS s FROM documents), j AS (SELECT x.source, x.doc_id AS a, y.doc_id AS b, len(list_intersect(x.s, y.s)) AS i, len(x.s) + len(y.s) AS n FROM w x JOIN w y ON x.source = y.source AND x.doc_id < y.doc_id AND least(len(x.s), len(y.s)) >= 0.8 * greatest(len(x.s), len(y.s))) SELECT source, a, b, round(i * 1.0 / (n - i), 9) AS similarity FROM j WHERE i * 1.0 / (n - i) >= 0.8")
+_SETS = "w AS (SELECT source, doc_id, list_sort(" + WORDS.format("text") + ") AS s FROM documents), c AS (SELECT *, min(doc_id) OVER (PARTITION BY source, s) AS rep FROM w)"
+
+
+@query("WITH " + _SETS + ", r AS (SELECT source, doc_id, s FROM c WHERE rep = doc_id), j AS (SELECT x.source, x.doc_id AS a, y.doc_id AS b, len(list_intersect(x.s, y.s)) AS i, len(x.s) + len(y.s) AS n FROM r x JOIN r y ON x.source = y.source AND x.doc_id < y.doc_id AND least(len(x.s), len(y.s)) >= 0.8 * greatest(len(x.s), len(y.s))) SELECT source, a, b, round(i * 1.0 / (n - i), 9) AS similarity FROM j WHERE i * 1.0 / (n - i) >= 0.8")
 def jaccard_pairs_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different sets of words, by the least id that has each; sets_by_source says which documents these stand for."""
+    sets = table(spark, sf_dir, "documents").select("source", "doc_id", text.word_set("text").alias("words"))
+    return similarity.jaccard_pairs(sets, 0.8, ("source",), "doc_id", expand=False).withColumn("similarity", F.round("similarity", 9))
+
+
+@query("WITH " + _SETS + " SELECT source, doc_id, rep FROM c WHERE len(s) > 0")
+def sets_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = table(spark, sf_dir, "documents").select("source", "doc_id", text.word_set("text").alias("words"))
-    return similarity.jaccard_pairs(sets, 0.8, ("source",), "doc_id").withColumn("similarity", F.round("similarity", 9))
+    return similarity.class_of(sets, ("source",), "doc_id").select("source", F.col("id").alias("doc_id"), "rep")
 
 
 @query(f"""WITH RECURSIVE {PAIRS}, w AS (SELECT page_id, pair_ord, qa_id, {WORDS.format("question")} AS s FROM pairs),
@@ -246,10 +243,10 @@ def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.leaders(v, 0.3).select("id", "leader", F.round("similarity", 6).alias("similarity"))
 
 
-@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm, 1.0 AS unit_norm FROM embeddings")
+@query("WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM u) SELECT vec_id, round(norm, 6) AS norm, round(v[1] / norm, 6) AS first, round(v[2] / norm, 6) AS second FROM n")
 def unit_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return v.select("vec_id", F.round(F.sqrt(similarity.dot(F.col("v"), F.col("v"))), 6).alias("norm"), F.round(F.sqrt(similarity.dot(similarity.unit("v"), similarity.unit("v"))), 6).alias("unit_norm"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"), similarity.unit("embedding").alias("u"))
+    return v.select("vec_id", F.round(F.sqrt(similarity.dot(F.col("v"), F.col("v"))), 6).alias("norm"), F.round(F.col("u")[0], 6).alias("first"), F.round(F.col("u")[1], 6).alias("second"))
 
 
 _SPLIT = "r AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY md5('42' || {id}), {id}) AS rn, count(*) OVER (PARTITION BY {by}) AS n FROM {t}), s AS (SELECT *, CASE WHEN rn <= floor(n * CAST(0.9 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM r)"
@@ -388,12 +385,13 @@ def url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", web.id_from_url("url").alias("id"))
 
 
-@query("SELECT page_id, 'https://forum.example.org' || regexp_extract(url, '^(?:[a-z]+:)?(?://[^/?#]*)?(/[^?#]*)', 1) AS resolved FROM pages")
+@query("SELECT page_id, 'https://forum.example.org' || CASE WHEN regexp_extract(url, '^[a-z]+://[^/?#]*(.*)', 1) LIKE '/%' THEN '' ELSE '/sub/' END || regexp_extract(url, '^[a-z]+://[^/?#]*(.*)', 1) AS resolved FROM pages WHERE regexp_extract(url, '^[a-z]+://[^/?#]*(.*)', 1) <> ''")
 def resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", web.resolve_url(F.regexp_extract("url", r"^(?:[a-z]+:)?(?://[^/?#]*)?(/[^?#]*)", 1), "https://forum.example.org/sub").alias("resolved")).withColumn("resolved", F.when(F.col("resolved") == "", "https://forum.example.org").otherwise(F.col("resolved")))
+    rest = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://[^/?#]*(.*)", 1).alias("rest")).filter("rest <> ''")
+    return rest.select("page_id", web.resolve_url("rest", "https://forum.example.org/sub").alias("resolved"))
 
 
-@query()
+@query("""SELECT page_id, CAST(i - 1 AS INTEGER) AS n, hrefs[i] AS href, trim(regexp_replace(replace(titles[i], '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM (SELECT page_id, hrefs, titles, unnest(range(1, len(hrefs) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href=["'']?([^"''>]*)["'']?[^>]*>([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a [^>]*href=["'']?([^"''>]*)["'']?[^>]*>([^<]*)</a>', 2) AS titles FROM pages))""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.links_of(table(spark, sf_dir, "pages"), keep=["page_id"])
 
@@ -403,21 +401,6 @@ def page_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.links_of(table(spark, sf_dir, "pages"), keep=["page_id"]).select("page_id", "n", "href")
 
 
-@query()
-def page_forums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.forums_of(table(spark, sf_dir, "pages"), "https://forum.example.org", keep=["page_id"])
-
-
-@query()
-def page_pagination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.pagination_of(table(spark, sf_dir, "pages"), "https://forum.example.org", keep=["page_id"])
-
-
-@query("SELECT page_id FROM pages WHERE contains(lower(substr(html, 1, 10000)), '<title')")
-def html_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").filter(F.lower(F.substring("html", 1, 10000)).contains("<title")).select("page_id")
-
-
 @query("WITH f AS (SELECT page_id, url, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM pages) SELECT page_id, url FROM f WHERE rn = 1")
 def distinct_urls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_by(table(spark, sf_dir, "pages"), "url", ["page_id"]).select("page_id", "url")
@@ -464,12 +447,6 @@ def number_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.number_pairs(rows, "page_id", "turn").select("conv_id", "turn", "qa_id")
 
 
-@query("SELECT n.n_name, count(*) AS n_customers FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1")
-def lookup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"))
-
-
 @query("SELECT doc_id, CASE WHEN lang LIKE 'e%' THEN 'Matches skip pattern: e*' WHEN source IN ('src0', 'src1') THEN 'Content type ''' || source || ''' is in skip list' END AS reason FROM documents")
 def skip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", rules.skip_reason(F.lit(False), "lang", "source", ("e*",), ("src0", "src1")).alias("reason"))
@@ -480,20 +457,18 @@ def generation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.route_generated(_pairs(spark, sf_dir)).select("qa_id", "valid")
 
 
-@query("SELECT doc_id, CASE WHEN text IS NULL THEN 'Missing required field: text' WHEN text = '' THEN 'Empty required field: text' END AS finding FROM documents")
-def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = validate.field_findings(table(spark, sf_dir, "documents"), ["text"])
-    return f.select("doc_id", F.coalesce(F.get("errors", F.lit(0)), F.get("warnings", F.lit(0))).alias("finding"))
-
-
 @query("SELECT lang AS forum_id, count(*) AS n FROM documents GROUP BY 1")
 def threads_per_forum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl.threads_per_forum(table(spark, sf_dir, "documents").withColumn("forum_id", F.col("lang")))
 
 
 def queries() -> dict[str, Query]:
+    """All queries of the library: those of this module and of those that register theirs beside it."""
+    for module in ("curation_queries", "file_queries", "web_queries"):
+        import_module(f"{__package__}.{module}")
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

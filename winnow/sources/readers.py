@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +54,29 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^[a-z0-9]+:(//[^/]*)?", "")
 
 
+def bare_root(root: str) -> str:
+    """A folder's path without its scheme and without a slash at its end."""
+    return re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", root).rstrip("/")
+
+
+def files_below(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """(path, length, content) of the files under root whose names match a pattern, empty ones too; paths are without a scheme.
+
+    Spark's readers pass over empty files. These are the names in the listing that a reader keeps
+    anyway, without those that it reads.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(need(spark, root))
+    some = files.select(plain_path(F.col("path")).alias("path"), "length", "content")
+    names = spark.createDataFrame([(unquote(name),) for name in files.inputFiles()], "path string").select(plain_path(F.col("path")).alias("path"))
+    empty = names.join(some.select("path"), "path", "left_anti")
+    return some.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
+
+
 def scan_inventory(spark: SparkSession, root: str, section: str | None = None) -> DataFrame:
     """Files of known types under root, in order of path, with their section (the folder; empty at the root). Contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(need(spark, root)).select(plain_path(F.col("path")).alias("p"))
-    bare = root.split("://", 1)[-1].rstrip("/")
+    files = files_below(spark, root).select(F.col("path").alias("p"))
+    bare = bare_root(root)
     rows = files.withColumn("file_type", file_type("p")).filter("file_type is not null")
     rows = rows.select(F.substring(F.col("p"), len(bare) + 2, 1 << 20).alias("file_path"), "file_type")
     out = rows.select("file_path", "file_type", parent_name("file_path").alias("section_dir"), basename("file_path").alias("filename"), needs_conversion("file_type").alias("needs_conversion"))
@@ -72,8 +94,9 @@ def read_image_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_classification(rows: DataFrame) -> DataFrame:
     """Booleans and confidence of classified pages from their text; a confidence that is no number is 0."""
-    out = rows.withColumns({"is_index": F.lower("is_index") == "true", "confidence": F.coalesce(F.col("confidence").try_cast("double"), F.lit(0.0))})
-    return out.withColumn("needs_review", F.lower("needs_review") == "true") if "needs_review" in rows.columns else out
+    true = lambda c: F.coalesce(F.lower(c) == "true", F.lit(False))
+    out = rows.withColumns({"is_index": true("is_index"), "confidence": F.coalesce(F.col("confidence").try_cast("double"), F.lit(0.0))})
+    return out.withColumn("needs_review", true("needs_review")) if "needs_review" in rows.columns else out
 
 
 def read_classified(spark: SparkSession, path: str) -> DataFrame:
@@ -81,17 +104,23 @@ def read_classified(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Classified pages kept from before, the last row of each page; none if there is no such file."""
+    """Classified pages kept from before, the last row of each page; none if there is no such file.
+
+    Of several files the one written last counts as the later one, ties by name; within a file
+    rows count in their order.
+    """
     if not exists(spark, path):
         return typed_classification(spark.createDataFrame([], CLASSIFIED))
-    rows = typed_classification(spark.read.schema(CLASSIFIED).option("header", True).option("escape", '"').csv(path)).withColumn("__o", F.monotonically_increasing_id())
-    return last_per_key(rows.filter("page_id is not null"), "page_id", "__o").drop("__o")
+    rows = typed_classification(spark.read.schema(CLASSIFIED).option("header", True).option("escape", '"').csv(path))
+    place = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return last_per_key(rows.withColumn("__o", place).filter("page_id is not null"), "page_id", "__o").drop("__o")
 
 
 def read_documents(spark: SparkSession, folder: str, schema: str = QA_DOCUMENT, strict: bool = False) -> DataFrame:
     """JSON documents of a folder (not below it) with file_name and doc_ord, their place in order of name.
 
-    A missing folder is an error, files that are no JSON are skipped; strict=True makes an empty
+    A missing folder is an error, files that are no JSON are skipped (skipped_documents names
+    them); strict=True makes an empty
     folder an error too. doc_ord orders by name; it is a rank of names, not a scan order.
     """
     files = [p for p in matching(spark, need(spark, folder).rstrip("/") + "/*.json")]
@@ -104,6 +133,12 @@ def read_documents(spark: SparkSession, folder: str, schema: str = QA_DOCUMENT,
     return rows.join(names, "file_name").withColumn("doc_ord", F.col("__r") - 1).select(*[f.name for f in rows.schema if f.name != "file_name"], "file_name", "doc_ord")
 
 
+def skipped_documents(spark: SparkSession, folder: str, schema: str = QA_DOCUMENT) -> DataFrame:
+    """(file_name): the files of a folder that read_documents skips because they are no JSON documents."""
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(need(spark, folder)).select(basename("path").alias("file_name"))
+    return there.join(read_documents(spark, folder, schema).select("file_name").distinct(), "file_name", "left_anti")
+
+
 def read_keyed_documents(spark: SparkSession, folder: str, schema: str = INDEX) -> DataFrame:
     """JSON documents with key, the file's name without its extension."""
     return read_documents(spark, folder, schema).withColumn("key", stem("file_name"))

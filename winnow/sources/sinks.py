@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import shutil
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,16 +29,60 @@ def write_jsonl(rows: DataFrame, path: str, append: bool = False) -> int:
     return rows.sparkSession.read.text(path).count()
 
 
-def write_documents(docs: DataFrame, folder: str, key: str | Column = "page_id", sanitise: bool = False) -> None:
-    """One folder of JSON per document, named by its key: key=.../part. Written by the tasks, none goes through the driver."""
-    name = F.col(key) if isinstance(key, str) else key
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a folder lies on, and its path there; workers open it themselves."""
+    local = folder.removeprefix("file://").removeprefix("file:")
+    return fs.FileSystem.from_uri(folder) if "://" in local else (fs.LocalFileSystem(), os.path.abspath(local))
+
+
+def write_named(rows: DataFrame, folder: str) -> int:
+    """Write each (name, value) row to a file of that name below the folder, and return how many rows there were.
+
+    Tasks write the files, under another name first, so that one that is lost leaves no half of a
+    file; nothing goes through the driver. value is text or bytes, null for nothing; a name may
+    have folders, but none that lead up. Files of other names stay. Rows of one name overwrite
+    each other: see name_clashes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = file_system(folder)
+        for batch in batches:
+            for name, value in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if not name or name.startswith("/") or ".." in name.split("/"):
+                    raise ValueError(f"no name of a file below a folder: {name!r}")
+                place, _, last = f"{base}/{name}".rpartition("/")
+                store.create_dir(place, recursive=True)
+                half = f"{place}/.{last}.{uuid.uuid4().hex}"
+                with store.open_output_stream(half) as out:
+                    out.write(value.encode() if isinstance(value, str) else value or b"")
+                store.move(half, f"{place}/{last}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    written = rows.select("name", "value").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    file_system(folder)[0].create_dir(file_system(folder)[1], recursive=True)
+    return written
+
+
+def name_clashes(rows: DataFrame) -> DataFrame:
+    """(name, n): names that several rows would be written under."""
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def named_documents(docs: DataFrame, key: str | Column = "page_id", sanitise: bool = False) -> DataFrame:
+    """(name, value): each document as JSON, nulls kept, under its key with .json."""
+    name = F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("null"))
     body = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
-    docs.select((safe_filename(name) if sanitise else name).alias("key"), body.alias("value")).write.mode("overwrite").partitionBy("key").text(folder)
+    return docs.select(F.concat(safe_filename(name) if sanitise else name, F.lit(".json")).alias("name"), body.alias("value"))
+
+
+def write_documents(docs: DataFrame, folder: str, key: str | Column = "page_id", sanitise: bool = False) -> int:
+    """One JSON file for each document, named by its key; returns how many. See write_named."""
+    return write_named(named_documents(docs, key, sanitise), folder)
 
 
-def write_raw(rows: DataFrame, folder: str, key: str, text: str) -> None:
-    """Raw texts such as HTML, one folder each."""
-    rows.select(F.col(key).alias("key"), F.col(text).alias("value")).write.mode("append").partitionBy("key").text(folder)
+def write_raw(rows: DataFrame, folder: str, key: str, text: str, suffix: str = ".html") -> int:
+    """Raw texts such as HTML, one file each, named by the key; returns how many. See write_named."""
+    return write_named(rows.select(F.concat(F.coalesce(F.col(key), F.lit("null")), F.lit(suffix)).alias("name"), F.col(text).alias("value")), folder)
 
 
 def review_queue(pages: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import first_by
 from ..sources.readers import exists
 
 CHECKPOINT = "stage string, item_id string, status string, at timestamp"
@@ -27,19 +26,21 @@ def new_files(spark: SparkSession, folder: str, schema: str, files_per_batch: in
 def append_new(stream: DataFrame, key: str, target: str, checkpoint: str, process: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Append each key's first row to a Parquet table, in micro-batches, and stop when the input is used up.
 
-    Rows whose key the table already has are dropped, so a batch that is run again after a failure,
-    or a restart without the checkpoint, adds nothing twice. Within a batch the first row of a key
-    in order of all its columns stays.
+    Which keys came before is the stream's state, so the work of a batch grows with the batch and
+    not with the table. A batch that is run again after a failure overwrites what it wrote: each
+    has a folder of its own, by the stream's id and the batch's number (columns stream and batch of
+    the table). A stream that starts without its checkpoint beside a table that has rows looks its
+    keys up there, until it ends. Within a batch any row of a key may be the one that stays.
     """
+    spark = stream.sparkSession
+    known = spark.read.parquet(target).select(key).distinct() if exists(spark, target) and not exists(spark, checkpoint) else None
 
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = first_by(batch, key, [F.to_json(F.struct(*batch.columns))])
-        if exists(spark, target):
-            rows = rows.join(spark.read.parquet(target).select(key).distinct(), key, "left_anti")
-        (process(rows) if process else rows).write.mode("append").parquet(target)
+    def write(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch if known is None else batch.join(known, key, "left_anti")
+        (process(rows) if process else rows).write.mode("overwrite").parquet(f"{target}/stream={own}/batch={number}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.dropDuplicates([key]).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def distinct_stream(stream: DataFrame, key: str, time: str | None = None, late: str = "1 day") -> DataFrame:
