@@ -1,5 +1,29 @@
 """Licence notices to scan for: fixed values."""
 
+_GPL_TERMS = "This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+_GPL_TERMS_2 = "This {what} is free software; you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+_BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_THREE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, "
+    "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+)
+_ISC_GRANT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_ISC_END = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. '
+    "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+
 TEMPLATES = {
     "mit-notice": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
@@ -7,28 +31,53 @@ TEMPLATES = {
     "gpl-3.0-work": "This work is licensed under the GNU General Public License, version 3.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "cc-by-4.0-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-4.0-work": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-sa-4.0-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    "mit-grant": _MIT_GRANT,
     "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, "
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+        _MIT_GRANT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
     "apache-2.0": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at '
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
-        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
     ),
-    "gpl-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
-        "either version 3 of the License, or (at your option) any later version."
+    "gpl-3.0": _GPL_TERMS.format(name="GNU General Public License", version="3"),
+    "agpl-3.0": _GPL_TERMS.format(name="GNU Affero General Public License", version="3"),
+    "lgpl-3.0": _GPL_TERMS.format(name="GNU Lesser General Public License", version="3"),
+    "gpl-2.0": _GPL_TERMS_2.format(what="program", name="GNU General Public License", version="2"),
+    "lgpl-2.1": _GPL_TERMS_2.format(what="library", name="GNU Lesser General Public License", version="2.1"),
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "bsd-2-clause": _BSD_TWO + _BSD_END,
+    "bsd-3-clause": _BSD_TWO + _BSD_THREE + _BSD_END,
+    "bsd-conditions": _BSD_TWO,
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1. This license is copied below, and is also available with a FAQ at",
+    "isc-grant": _ISC_GRANT + ", provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc": _ISC_GRANT + ", provided that the above copyright notice and this permission notice appear in all copies." + _ISC_END,
+    "0bsd": _ISC_GRANT + "." + _ISC_END,
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
     ),
-    "bsd-clauses": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    "bsl-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, "
+        "and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following"
     ),
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "unlicense-terms": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "wtfpl": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "postgresql": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies.",
 }
 
 #: Notices of fewer than five words, which are found word for word.

@@ -11,14 +11,15 @@ for the windows around these places; all other windows meet no template in any b
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .common import text_of
 from .license_templates import SHORT_TEMPLATES, TEMPLATES
 
@@ -36,11 +37,6 @@ class Plan:
     bands: int
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once for each row, however often and deep inside lambdas body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words_of(text: Column) -> Column:
     """Runs of letters and digits in lower case."""
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
@@ -56,23 +52,23 @@ def shingles(words: Column, n: int = N) -> Column:
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def permuted(band: int) -> Callable[[Column], Column]:
+def permuted(band: Column) -> Callable[[Column], Column]:
     """The band's permutation of shingle hashes. (A lambda of two arguments would be given the index too.)"""
-    return lambda h: F.xxhash64(h, F.lit(band))
+    return lambda h: F.xxhash64(h, band)
 
 
-def band_values(hashes: Column, bands: int) -> Column:
+def band_values(hashes: Column, bands: Column) -> Column:
     """For each band the least value of its permutation over an array of shingle hashes."""
-    return F.array(*[F.array_min(F.transform(hashes, permuted(k))) for k in range(bands)])
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda k: F.array_min(F.transform(hashes, permuted(k))))
 
 
-def band_minima(hashes: Column, bands: int) -> Column:
+def band_minima(hashes: Column, bands: Column) -> Column:
     """For each band the shingle hash whose permuted value is least."""
 
-    def beside(k: int) -> Callable[[Column], Column]:
+    def beside(k: Column) -> Callable[[Column], Column]:
         return lambda h: F.struct(permuted(k)(h).alias("v"), h.alias("h"))
 
-    return F.array(*[F.array_min(F.transform(hashes, beside(k)))["h"] for k in range(bands)])
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda k: F.array_min(F.transform(hashes, beside(k)))["h"])
 
 
 def _hashed(words: Column, n: int = N) -> Column:
@@ -86,85 +82,113 @@ def _by_length(n: Column, lengths: list[int], value: Callable[[int], Column]) ->
     return F.coalesce(*[F.when(n == k, value(k)) for k in lengths])
 
 
-def plan_templates(spark: SparkSession, templates: dict[str, str], containment: float = CONTAINMENT, recall: float = RECALL) -> tuple[list[Plan], DataFrame, dict[int, list[int]]]:
-    """The plans, a table (plan, band, value, template, shingles) and for each plan the hashes that are a minimum in a band.
+def families(shingles_of: dict[str, set[str]]) -> dict[str, int]:
+    """Templates of one family have at least half of the larger one's shingles in common: one notice can look like several of them."""
+    names = sorted(shingles_of)
+    of = {name: k for k, name in enumerate(names)}
+    for k, a in enumerate(names):
+        for b in names[k + 1 :]:
+            x, y = shingles_of[a], shingles_of[b]
+            if 2 * len(x & y) >= max(len(x), len(y)) and of[a] != of[b]:
+                old, new = max(of[a], of[b]), min(of[a], of[b])
+                of = {name: new if f == old else f for name, f in of.items()}
+    return of
+
+
+def plan_templates(spark: SparkSession, templates: dict[str, str], containment: float = CONTAINMENT, recall: float = RECALL) -> tuple[DataFrame, dict[int, dict[int, list[Plan]]]]:
+    """A table (plan, band, value, template, family, own) of the templates' bands, and by shingle length the plans of each hash that is a minimum in a band.
 
-    The table has a row for each band of each template: its size is that of the template list.
-    A template of fewer than N words is one shingle of its own length.
+    The table has a row for each band of each template, own being the template's shingles: its size
+    is that of the template list. A template of fewer than N words is one shingle of its own length.
     """
     given = F.array(*[F.struct(F.lit(name).alias("template"), F.lit(text).alias("text")) for name, text in sorted(templates.items())])
     rows = spark.range(1).select(F.explode(given).alias("t")).select("t.*").withColumn("words", words_of(F.col("text")))
     rows, lengths = rows.withColumn("n", F.least(F.size("words"), F.lit(N))), list(range(1, N + 1))
     own, hashes = (_by_length(F.col("n"), lengths, lambda k, f=f: f(F.col("words"), k)) for f in (shingles, _hashed))
     rows = rows.select("template", "n", F.array_distinct(own).alias("own"), hashes.alias("hashes"))
-    facts = rows.select("template", "n", F.size("hashes").alias("places"), F.size("own").alias("m")).collect()
+    facts = rows.select("template", "n", F.size("hashes").alias("places"), "own").collect()
     if empty := [r["template"] for r in facts if not r["n"]]:
         raise ValueError(f"templates without words: {empty}")
+    family = families({r["template"]: set(r["own"]) for r in facts})
     made: dict[tuple[int, int, int, int], Plan] = {}
-    of: dict[str, Plan] = {}
+    of: list[tuple[str, int, int, int]] = []
     for r in sorted(facts, key=lambda r: (r["places"], r["template"])):
-        need, stride = math.ceil(containment * r["m"]), max(1, r["places"] // 5)
+        m = len(r["own"])
+        need, stride = math.ceil(containment * m), max(1, r["places"] // 5)
         window = r["places"] + stride - 1
-        least = need / (window + r["m"] - need)
+        least = need / (window + m - need)
         bands = 1 if least >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - least))
-        of[r["template"]] = made.setdefault((r["n"], window, stride, bands), Plan(len(made), r["n"], window, stride, bands))
-    parts, minima = [], []
-    for p in made.values():
-        own = rows.filter(F.col("template").isin([t for t, q in of.items() if q is p]))
-        parts.append(own.select(F.lit(p.number).alias("plan"), F.posexplode(band_values(F.col("hashes"), p.bands)).alias("band", "value"), "template", "own"))
-        minima.append(own.select(F.lit(p.number).alias("plan"), F.explode(band_minima(F.col("hashes"), p.bands)).alias("h")))
-    tables = reduce(DataFrame.unionByName, parts)
-    anchors: dict[int, list[int]] = {p.number: [] for p in made.values()}
-    for r in reduce(DataFrame.unionByName, minima).distinct().collect():  # as many rows as the templates have bands
-        anchors[r["plan"]].append(r["h"])
-    return list(made.values()), tables, anchors
+        plan = made.setdefault((r["n"], window, stride, bands), Plan(len(made), r["n"], window, stride, bands))
+        of.append((r["template"], plan.number, bands, family[r["template"]]))
+    rows = rows.join(F.broadcast(spark.createDataFrame(of, "template string, plan int, bands int, family int")), "template")
+    tables = rows.select("plan", F.posexplode(band_values(F.col("hashes"), F.col("bands"))).alias("band", "value"), "template", "family", "own")
+    anchors: dict[int, dict[int, list[Plan]]] = {p.n: {} for p in made.values()}
+    plans = {p.number: p for p in made.values()}
+    for r in rows.select("plan", F.explode(band_minima(F.col("hashes"), F.col("bands"))).alias("h")).distinct().collect():  # as many rows as the templates have bands
+        p = plans[r["plan"]]
+        anchors[p.n].setdefault(r["h"], []).append(p)
+    return tables, anchors
+
+
+#: Notices of a family beside one another that are compared: a place can look like all templates of a family.
+BESIDE = 8
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per licence notice found: id, template, first_word, last_word, containment, n_windows.
 
     A notice is a stretch of overlapping windows each of which holds at least the given share of
-    the template's five-word shingles, or all words of a template of fewer; its bounds are those of the windows (words counted from 0),
-    its containment is the best window's. A template that differs from its occurrence by longer
-    insertions than a window's slack is judged by the part that a window holds.
+    the template's five-word shingles, or all words of a template of fewer; its bounds are those of
+    the windows (words counted from 0), its containment is the best window's. Templates that differ
+    in few words find each other's notices: of those that cover more than half of a notice, the one
+    of the highest containment is kept, all that tie for it. A template that differs from its
+    occurrence by longer insertions than a window's slack is judged by the part that a window holds.
 
     A null, empty or short text has no notices. Rows that repeat an id and a text are read once; a
     null id stays null. An empty table gives an empty result, and further columns are ignored. Only
-    windows around a template's minima leave the scan; texts are never shuffled.
+    windows around a template's minima leave the scan; texts are never shuffled. What the scan looks
+    for is data, so the plan is the same for any number of templates.
     """
-    plans, bands, anchors = plan_templates(docs.sparkSession, {**TEMPLATES, **SHORT_TEMPLATES} if templates is None else templates, containment, recall)
+    spark = docs.sparkSession
+    bands, anchors = plan_templates(spark, {**TEMPLATES, **SHORT_TEMPLATES} if templates is None else templates, containment, recall)
     text = text_of(F.col(text_col))
-    lengths = sorted({p.n for p in plans})
-    n_of = F.coalesce(*[F.when(F.col("plan") == p.number, F.lit(p.n)) for p in plans])
+    lengths = sorted(anchors)
+    kind = "struct<plan: int, n: int, window: int, stride: int, bands: int>"
+
+    def plans_of(n: int, h: Column) -> Column:
+        listed = {str(a): [{"plan": p.number, "n": p.n, "window": p.window, "stride": p.stride, "bands": p.bands} for p in plans] for a, plans in anchors[n].items()}
+        return F.try_element_at(F.from_json(F.lit(json.dumps(listed)), f"map<string, array<{kind}>>"), h.cast("string"))
 
-    def windows(p: Plan, words: Column, at: Column) -> Column:
-        mine = F.filter(at, lambda x: x["h"].isin(anchors[p.number]))
-        low = lambda x: F.greatest(F.lit(0), F.ceil((x["i"] - (p.window - 1)) / F.lit(p.stride)).cast("int"))
-        starts = F.array_distinct(F.flatten(F.transform(mine, lambda x: F.sequence(low(x), F.floor(x["i"] / F.lit(p.stride)).cast("int")))))
-        return F.transform(starts, lambda k: F.struct(F.lit(p.number).alias("plan"), (k * p.stride).alias("start"), F.slice(words, k * p.stride + 1, p.window + p.n - 1).alias("part")))
+    def starts(i: Column, p: Column) -> Column:
+        """The windows of a plan that hold place i: multiples of the stride."""
+        low = F.greatest(F.lit(0), F.ceil((i - (p["window"] - 1)) / p["stride"]).cast("int"))
+        return F.transform(F.sequence(low, F.floor(i / p["stride"]).cast("int")), lambda k: F.struct(p.alias("p"), (k * p["stride"]).alias("start")))
 
     def around(words: Column) -> Column:
         def of(n: int, own: Column) -> Column:
-            mine = [p for p in plans if p.n == n]
-            every = sorted({h for p in mine for h in anchors[p.number]})
+            every = sorted(anchors[n])
             places = F.filter(F.transform(F.sequence(F.lit(0), F.size(own) - n), lambda i: F.struct(i.alias("i"), shingle_hash(own, i, n).alias("h"))), lambda x: x["h"].isin(every))
             places = F.when(F.size(own) >= n, places).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
-            return let(places, lambda at: F.concat(*[windows(p, words, at) for p in mine]))
+            return F.array_distinct(F.flatten(F.transform(places, lambda x: F.flatten(F.transform(plans_of(n, x["h"]), lambda p: starts(x["i"], p))))))
 
-        return let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.concat(*[of(n, own) for n in lengths]))
+        met = let(F.transform(words, lambda w: F.xxhash64(w)), lambda own: F.concat(*[of(n, own) for n in lengths]))
+        return F.transform(met, lambda x: F.struct(x["p"].alias("p"), x["start"].alias("start"), F.slice(words, x["start"] + 1, x["p"]["window"] + x["p"]["n"] - 1).alias("part")))
 
     # explode_outer, and the filter behind it: a filter before it would compute the windows twice
-    seen = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), F.explode_outer(let(words_of(text), around)).alias("w")).filter("w is not null").select("id", "key", "w.plan", "w.start", "w.part")
-    seen = seen.withColumn("n", n_of).withColumn("hashes", _by_length(F.col("n"), lengths, lambda n: _hashed(F.col("part"), n)))
-    values = F.coalesce(*[F.when(F.col("plan") == p.number, band_values(F.col("hashes"), p.bands)) for p in plans])
-    met = seen.select("id", "key", "plan", "n", "start", "part", F.posexplode(values).alias("band", "value")).join(F.broadcast(bands), ["plan", "band", "value"])
-    met = met.select("id", "key", "n", "start", "part", "template", "own").dropDuplicates(["id", "key", "start", "template"])
+    seen = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), F.explode_outer(let(words_of(text), around)).alias("w")).filter("w is not null").select("id", "key", "w.p.plan", "w.p.n", "w.p.bands", "w.start", "w.part")
+    seen = seen.withColumn("hashes", _by_length(F.col("n"), lengths, lambda n: _hashed(F.col("part"), n)))
+    met = seen.select("id", "key", "plan", "n", "start", "part", F.posexplode(band_values(F.col("hashes"), F.col("bands"))).alias("band", "value")).join(F.broadcast(bands), ["plan", "band", "value"])
+    met = met.select("id", "key", "n", "start", "part", "template", "family", "own").dropDuplicates(["id", "key", "start", "template"])
     share = F.size(F.array_intersect("own", _by_length(F.col("n"), lengths, lambda n: shingles(F.col("part"), n)))) / F.size("own")
-    found = met.select("id", "key", "template", F.col("start").alias("first"), (F.col("start") + F.size("part") - 1).alias("last"), share.alias("share")).filter(F.col("share") >= containment)
+    found = met.select("id", "key", "template", "family", F.col("start").alias("first"), (F.col("start") + F.size("part") - 1).alias("last"), share.alias("share")).filter(F.col("share") >= containment)
     # overlapping windows of a template in a text are one notice
     order = Window.partitionBy("id", "key", "template").orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum((F.col("first") > F.coalesce(reach, F.lit(-1))).cast("int")).over(order)
-    merged = found.withColumn("island", island).groupBy("id", "key", "template", "island")
-    out = merged.agg(F.min("first").alias("first_word"), F.max("last").alias("last_word"), F.max("share").alias("containment"), F.count(F.lit(1)).alias("n_windows"))
-    return out.select(F.col("id").alias(id_col), "template", F.col("first_word").cast("long").alias("first_word"), F.col("last_word").cast("long").alias("last_word"), "containment", "n_windows")
+    merged = found.withColumn("island", island).groupBy("id", "key", "template", "family", "island")
+    notices = merged.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("share").alias("share"), F.count(F.lit(1)).alias("n_windows"))
+    beside = F.collect_list(F.struct("template", "first", "last", "share")).over(Window.partitionBy("id", "key", "family").orderBy("first", "last", "template").rowsBetween(-BESIDE, BESIDE))
+    common = lambda x: F.least(x["last"], F.col("last")) - F.greatest(x["first"], F.col("first")) + 1
+    better = F.exists("beside", lambda x: (x["template"] != F.col("template")) & (x["share"] > F.col("share")) & (common(x) * 2 > F.col("last") - F.col("first") + 1))
+    out = notices.withColumn("beside", beside).filter(~better)
+    return out.select(F.col("id").alias(id_col), "template", F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"), F.col("share").alias("containment"), "n_windows")
