@@ -175,6 +175,44 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
+class LibraryCodec:
+    """The ids that Codec gives, by the tiktoken library, in a fraction of the time.
+
+    The library's time grows with the square of a pre-token's length: a text with a run of over
+    LONG characters, blank or not, is left to Codec.
+    """
+
+    LONG = 2000
+
+    def __init__(self, vocabulary: list[bytes], pattern: str):
+        self.vocabulary, self.pattern, self.end = vocabulary, pattern, len(vocabulary)
+        self._ready()
+
+    def _ready(self) -> None:
+        import tiktoken
+
+        self.library = tiktoken.Encoding("vocabulary", pat_str=self.pattern, mergeable_ranks={s: i for i, s in enumerate(self.vocabulary)}, special_tokens={})
+        self.careful: Codec | None = None
+
+    def __getstate__(self) -> dict:
+        return {"vocabulary": self.vocabulary, "pattern": self.pattern, "end": self.end}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._ready()
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text as unsigned 32-bit integers."""
+        words = text.split()
+        if max(map(len, words), default=0) > self.LONG or len(text) - sum(map(len, words)) > len(words) + self.LONG:
+            self.careful = self.careful or Codec(self.vocabulary, self.pattern)
+            return self.careful.encode(text)
+        return np.array(self.library.encode_ordinary(text), dtype=np.uint32)
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.vocabulary.__getitem__, ids))
+
+
 def bpe_digests(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array of long) of each text.
 

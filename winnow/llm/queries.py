@@ -20,11 +20,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model, 0.3).withColumn("held_out", fold_of("doc_id", 4) == 2)
 
 
-def public_codec(spark: SparkSession) -> bpe.Codec:
-    """The codec of the public vocabulary that op2 and op8 encode by."""
+def public_codec(spark: SparkSession, kind: type[bpe.Codec] | type[bpe.LibraryCodec] = bpe.Codec) -> bpe.Codec | bpe.LibraryCodec:
+    """A codec of the public vocabulary. Both kinds give the same ids."""
     import public_tokenizers
 
-    return bpe.Codec(bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    return kind(bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, encoded and packed: a row for each bin, with its tokens and the documents that they are from."""
-    return packing.pack(table(spark, sf_dir, "documents"), public_codec(spark))
+    return packing.pack(table(spark, sf_dir, "documents"), public_codec(spark, bpe.LibraryCodec))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
