@@ -4,6 +4,7 @@ import struct
 import time
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,23 @@ def test_leaders_of_chains_stars_and_dense_graphs(spark, in_turn):
     assert similarity.lead(rows.limit(0), pairs.limit(0), in_turn=in_turn).count() == 0
 
 
+def test_candidate_pairs_find_what_all_pairs_show(spark):
+    r = np.random.default_rng(5)
+    base = r.normal(size=(60, 24))
+    made = [(int(i * 10 + k), f"s{i % 2}", (base[i] + r.normal(size=24) * 0.2 * k).tolist()) for i in range(60) for k in range(6)]
+    made += [(9000 + k, "s0", base[0].tolist()) for k in range(4)] + [(9100 + k, "s1", [0.0] * 24) for k in range(3)] + [(9200, "s0", None), (None, "s0", base[0].tolist())]
+    table = spark.createDataFrame(made, "id bigint, page string, embedding array<double>")
+    for scope in ((), ("page",)):
+        pairs = lambda f, **k: {(x["a"], x["b"]): x["similarity"] for x in f(table, 0.9, scope=scope, **k).collect()}  # noqa: E731, B023
+        want, got = pairs(similarity.cosine_pairs), pairs(similarity.candidate_pairs)
+        assert len(want) > 150 and set(got) <= set(want) and len(got) >= 0.98 * len(want)
+        assert all(got[p] == pytest.approx(want[p]) for p in got)
+    assert similarity.tables_for(0.9, 0.99) == 53 and similarity.tables_for(1.0, 0.99) == 1
+    assert similarity.candidate_pairs(table.limit(0), 0.9).count() == 0
+    lead = similarity.leaders(table.filter("embedding is not null and id is not null").withColumn("ord", F.col("id")), 0.9, recall=0.999)
+    assert lead.count() == 60 * 6 + 4 + 3
+
+
 def test_pages_of_any_size_are_compared_alike(spark):
     r = random.Random(6)
     words = [f"w{k}" for k in range(12)]

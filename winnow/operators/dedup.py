@@ -57,17 +57,19 @@ def drop_ids(rows: DataFrame, groups: DataFrame, keys: tuple[str, ...] = ("page_
     return rows.join(lost.distinct(), list(keys), "left_anti")
 
 
-def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, threshold: float = 0.9, qa_id: str = "qa_id", order: tuple[str, ...] = ("doc_ord", "pair_ord"), scope: tuple[str, ...] = ()) -> DataFrame:
+def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, threshold: float = 0.9, qa_id: str = "qa_id", order: tuple[str, ...] = ("doc_ord", "pair_ord"), scope: tuple[str, ...] = (), recall: float | None = None) -> DataFrame:
     """Groups by cosine among rows in no exact group: leaders with the later rows near them, numbered semantic-001 and on.
 
     All members of exact groups are left out, the kept ones too. vectors holds (qa_id, embedding);
     rows without a vector are in no group. A group's similarity_score is the mean of its members'
     cosines with the leader. Scope columns confine groups, and numbers begin anew in each scope.
+    Without a recall all pairs of rows are compared; with one, as for very many rows, near pairs are
+    found with that probability.
     """
     key = [qa_id, *[c for c in scope if c != qa_id]]
     free = rows.join(exact.select(*key).distinct(), key, "left_anti")
     placed = free.join(vectors.select(qa_id, "embedding"), qa_id).withColumn("__id", F.to_json(F.struct(*key)))
-    lead = leaders(placed.select(*scope, F.col("__id").alias("id"), F.struct(*order, F.col(qa_id)).alias("ord"), "embedding"), threshold, scope)
+    lead = leaders(placed.select(*scope, F.col("__id").alias("id"), F.struct(*order, F.col(qa_id)).alias("ord"), "embedding"), threshold, scope, recall)
     scored = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("__n"), F.avg(F.when(F.col("id") != F.col("leader"), F.col("similarity"))).alias("similarity_score"), F.min("ord").alias("__first")).filter("__n > 1")
     if scope:
         scored = scored.join(placed.select(F.col("__id").alias("leader"), *scope), "leader")
@@ -79,15 +81,16 @@ def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, thres
     return placed.join(members, "__id").withColumn("match_type", F.lit("semantic")).select(*rows.columns, "group_id", "match_type", "similarity_score")
 
 
-def deduplicate(rows: DataFrame, vectors: DataFrame | None = None, strategy: str = "longer_answer", threshold: float = 0.9, cross_page: bool = True, compatible: bool = False, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+def deduplicate(rows: DataFrame, vectors: DataFrame | None = None, strategy: str = "longer_answer", threshold: float = 0.9, cross_page: bool = True, compatible: bool = False, exact: bool = True, recall: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows that stay, rows of all groups with kept and kept_qa_id): exact groups first, then similar ones.
 
     exact=False leaves the exact groups out, no vectors the similar ones. cross_page=False confines
-    both kinds of groups to a page. compatible=True drops by id alone, on whatever page.
+    both kinds of groups to a page. compatible=True drops by id alone, on whatever page. recall is
+    that of semantic_groups.
     """
     scope = () if cross_page else ("page_id",)
     equal = exact_groups(rows if exact else rows.limit(0), scope=scope)
-    groups = equal if vectors is None else equal.unionByName(semantic_groups(rows, vectors, equal, threshold, scope=scope))
+    groups = equal if vectors is None else equal.unionByName(semantic_groups(rows, vectors, equal, threshold, scope=scope, recall=recall))
     if not cross_page:
         groups = groups.withColumn("group_id", F.concat_ws("/", "page_id", "group_id"))
     marked = pick_survivors(groups, strategy)

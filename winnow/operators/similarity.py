@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,6 +64,55 @@ def cosine_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vecto
     return dealt.groupBy(*scope, "x", "y").applyInArrow(meet, ", ".join([*kinds, f"a {kind}, b {kind}, similarity double"]))
 
 
+#: Planes whose sides make one key of candidate_pairs.
+PLANES = 16
+
+
+def tables_for(threshold: float, recall: float, planes: int = PLANES) -> int:
+    """The fewest tables of keys by which a pair at the threshold shares a key with the target probability."""
+    same = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** planes
+    return 1 if same >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - same))
+
+
+def candidate_pairs(vectors: DataFrame, threshold: float, id_col: str = "id", vector: str = "embedding", recall: float = 0.99, planes: int = PLANES, scope: tuple[str, ...] = ()) -> DataFrame:
+    """What cosine_pairs returns, for tables too large to compare all with all: a pair at the threshold is found with a probability of `recall` at least, more similar ones with more.
+
+    Random planes give each vector a key in each of several tables; vectors that share a key are
+    compared exactly, so no pair below the threshold is returned. Vectors travel once for each pair
+    that they are a candidate of. Equal vectors are one until the end. Meant for thresholds of
+    about 0.8 and more: the number of tables grows fast below. Null ids and vectors have no pairs.
+    """
+    rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).select(*scope, F.col(id_col).alias("id"), unit(F.col(vector)).alias("v"))
+    keyed = rows.withColumns({"__h": F.xxhash64("v"), "__k": F.xxhash64("v", F.lit(1))})
+    least = keyed.groupBy(*scope, "__h", "__k").agg(F.min("id").alias("rep"), F.first("v").alias("v"))
+    member = durable(keyed.drop("v").join(least.drop("v"), [*scope, "__h", "__k"]).select(*scope, "id", "rep"))
+    own = durable(least.select(*scope, F.col("rep").alias("id"), "v"))
+    tables = tables_for(threshold, recall, planes)
+    kinds = ", ".join([*[f"`{c}` {own.schema[c].dataType.simpleString()}" for c in scope], f"id {own.schema['id'].dataType.simpleString()}", "keys array<bigint>"])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides: np.ndarray | None = None
+        for b in batches:
+            v = np.array(b.column("v").to_pylist(), dtype=np.float64).reshape(b.num_rows, -1)
+            if sides is None or sides.shape[0] != v.shape[1]:
+                sides = np.random.default_rng(17).normal(size=(v.shape[1], tables * planes))
+            bits = (v @ sides >= 0).reshape(b.num_rows, tables, planes)
+            found = (bits * (1 << np.arange(planes))).sum(axis=2) + (np.arange(tables) << planes)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * tables, pa.int32()), pa.array(found.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in scope), b.column("id"), lists], names=[*scope, "id", "keys"])
+
+    each = own.mapInArrow(keys, kinds).select(*scope, "id", F.explode("keys").alias("key"))
+    met = each.toDF(*scope, "a", "key").join(each.toDF(*scope, "b", "key"), [*scope, "key"]).filter("a < b").select(*scope, "a", "b").distinct()
+    pairs = met.join(own.toDF(*scope, "a", "__x"), [*scope, "a"]).join(own.toDF(*scope, "b", "__y"), [*scope, "b"])
+    near = pairs.select(*scope, "a", "b", dot(F.col("__x"), F.col("__y")).alias("similarity")).filter(F.col("similarity") >= threshold)
+    apart = near.join(member.toDF(*scope, "__a", "a"), [*scope, "a"]).join(member.toDF(*scope, "__b", "b"), [*scope, "b"])
+    zero = own.filter(dot(F.col("v"), F.col("v")) == 0).select(*scope, F.col("id").alias("rep"))  # at right angles to themselves
+    alike = member.join(zero, [*scope, "rep"], "left_anti")
+    alike = alike.select(*scope, "rep", F.col("id").alias("__a")).join(alike.select(*scope, "rep", F.col("id").alias("__b")), [*scope, "rep"]).filter("__a < __b")
+    both = apart.select(*scope, F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), "similarity")
+    return both.unionByName(alike.select(*scope, F.col("__a").alias("a"), F.col("__b").alias("b"), F.lit(1.0).alias("similarity")))
+
+
 def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words", expand: bool = True) -> DataFrame:
     """(scope, a, b, similarity) of the pairs a < b within a scope whose item sets' Jaccard similarity reaches the threshold.
 
@@ -107,13 +157,15 @@ def class_of(sets: DataFrame, scope: tuple[str, ...] = (), id_col: str = "id", i
     return keyed.join(least, [*scope, "__h", "__k", "__n"]).select(*scope, "id", "rep", "items")
 
 
-def leaders(vectors: DataFrame, threshold: float, scope: tuple[str, ...] = ()) -> DataFrame:
+def leaders(vectors: DataFrame, threshold: float, scope: tuple[str, ...] = (), recall: float | None = None) -> DataFrame:
     """(id, ord, leader, similarity): greedy leader clustering of (id, ord, embedding) by cosine, in the order of ord.
 
     A row becomes a leader unless an earlier leader of its scope is near it; the earliest such
-    leader claims it. A leader's own similarity is 1. See lead.
+    leader claims it. A leader's own similarity is 1. See lead. All near pairs are found, or with a
+    recall those of candidate_pairs.
     """
-    near = cosine_pairs(vectors.select(*scope, "id", "embedding"), threshold, scope=scope)
+    every = vectors.select(*scope, "id", "embedding")
+    near = cosine_pairs(every, threshold, scope=scope) if recall is None else candidate_pairs(every, threshold, recall=recall, scope=scope)
     return lead(vectors.select("id", "ord"), near.select("a", "b", "similarity"))
 
 
