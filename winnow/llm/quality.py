@@ -4,7 +4,7 @@ A document's terms are hashed words, the shapes of its tokens (letters and digit
 signs kept) and bucketed measures of the whole text (repetition of words and lines, length of
 words, case). Document frequencies are counted over all documents. A truncated singular value
 decomposition of the labelled sample's weighted term matrix gives the space; the labelled vectors
-are broadcast, every document's cosines with all of them are computed in blocks, and its nearest
+are broadcast, every document's exact cosines with all of them are computed in blocks, and its nearest
 neighbours vote with weights that grow with similarity.
 """
 
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_of
+from .common import durable, small_batches, text_of
 from .toxicity import labelled_sample
 
 
@@ -130,21 +130,49 @@ class Terms:
         return np.concatenate([at, own]), np.concatenate([counts[at], np.ones(len(own))])
 
 
-def document_frequencies(docs: DataFrame, s: Settings, text_col: str = "text") -> tuple[int, np.ndarray]:
-    """The number of documents, and for each term that of the documents with it, over all rows."""
+def term_rows(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_chars, terms, counts) of each whole text: its terms as 16-bit numbers, how often each occurs in 8, 16 or 32 bits.
+
+    The one pass that reads texts. A null text is empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(s)
-        seen, n = np.zeros(terms.size, dtype=np.int64), 0
         for batch in small_batches(batches, "text"):
-            for at, _ in terms.rows(batch.column("text").to_pylist()):
-                seen[at] += 1
-                n += 1
+            texts, at, counts = batch.column("text").to_pylist(), [], []
+            for own, n in terms.rows(texts):
+                at.append(own.astype(np.uint16).tobytes())
+                most = n.max()
+                counts.append(n.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(list(map(len, texts)), pa.int64()), pa.array(at, pa.binary()), pa.array(counts, pa.binary())], names=["id", "n_chars", "terms", "counts"])
+
+    if Terms(s).size > 1 << 16:
+        raise ValueError("more terms than 16 bits can number")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).mapInArrow(run, f"id {kind}, n_chars bigint, terms binary, counts binary")
+
+
+def opened(terms: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and counts of a row of term_rows."""
+    at = np.frombuffer(terms, dtype=np.uint16)
+    return at.astype(np.int64), np.frombuffer(counts, dtype={1: np.uint8, 2: np.uint16, 4: np.uint32}[len(counts) // len(at)]).astype(np.float64)
+
+
+def document_frequencies(rows: DataFrame, s: Settings) -> tuple[int, np.ndarray]:
+    """The number of documents, and for each term that of the documents with it, over all rows of term_rows."""
+    size = Terms(s).size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = np.zeros(size, dtype=np.int64), 0
+        for batch in batches:
+            terms = batch.column("terms").to_pylist()
+            n += len(terms)
+            seen += np.bincount(np.frombuffer(b"".join(terms), dtype=np.uint16), minlength=size)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(seen[at], n), pa.int64())], names=["term", "n"])
 
-    counted = docs.select(text_of(F.col(text_col)).alias("text")).mapInArrow(run, "term int, n bigint")
-    total, seen = 0, np.zeros(Terms(s).size)
+    total, seen = 0, np.zeros(size)
+    counted = rows.select("terms").mapInArrow(run, "term int, n bigint")
     for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():  # as many rows as terms, which are fixed
         if r["term"] < 0:
             total = r["n"]
@@ -181,25 +209,24 @@ def weighted(m: Model, row: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray,
     return at, value
 
 
-def fit(sample: list[tuple[str, int]], total: int, seen: np.ndarray, s: Settings) -> Model:
-    """The latent space of the labelled sample, and its vectors. Without a sample the space is empty."""
+def fit(sample: list[tuple[bytes, bytes, int]], total: int, seen: np.ndarray, s: Settings) -> Model:
+    """The latent space of a labelled sample of term rows, and its vectors. Without a sample the space is empty."""
     m = Model(s, np.log((1 + total) / (1 + seen)).astype(np.float32) + 0.1, np.zeros((len(seen), s.rank), np.float32), np.zeros((s.rank, 0)), np.zeros(0, np.float32))
     if not sample:
         return m
-    terms = Terms(s)
-    rows = [weighted(m, row) for row in terms.rows([t for t, _ in sample])]
-    dense = np.zeros((len(rows), terms.size), dtype=np.float32)
+    rows = [weighted(m, opened(at, n)) for at, n, _ in sample]
+    dense = np.zeros((len(rows), len(seen)), dtype=np.float32)
     for x, (at, value) in zip(dense, rows, strict=True):
         x[at] = value
     # randomised range finder with two power steps, then an exact decomposition of the small matrix
     k = min(s.rank + 16, len(rows))
-    q = np.linalg.qr(dense @ np.random.default_rng(5).normal(size=(terms.size, k)).astype(np.float32))[0]
+    q = np.linalg.qr(dense @ np.random.default_rng(5).normal(size=(len(seen), k)).astype(np.float32))[0]
     for _ in range(2):
         q = np.linalg.qr(dense @ (dense.T @ q))[0]
     _, scale, right = np.linalg.svd(q.T @ dense, full_matrices=False)
     r = min(s.rank, len(scale))
     m.space[:, :r] = right[:r].T
-    m.labels = np.array([y for _, y in sample], dtype=np.float32)
+    m.labels = np.array([y for _, _, y in sample], dtype=np.float32)
     v = np.stack([value @ m.space[at] for at, value in rows]).astype(np.float64)
     m.vectors = np.ascontiguousarray(grained(v / np.maximum(1e-9, np.sqrt((v * v).sum(axis=1, keepdims=True)))).T)
     return m
@@ -225,34 +252,48 @@ def vote(m: Model, vectors: np.ndarray) -> np.ndarray:
     return (w * m.labels[near]).sum(axis=1) / w.sum(axis=1)
 
 
+def score_rows(rows: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id") -> DataFrame:
+    """id, score (0 to 1) and predicted (1 if score >= threshold) of each row of term_rows. One narrow pass; see score_quality."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for k in range(0, batch.num_rows, m.settings.block):
+                part = batch.slice(k, m.settings.block)
+                vectors = np.stack([m.vector(opened(at, n)) for at, n in zip(part.column("terms").to_pylist(), part.column("counts").to_pylist(), strict=True)])
+                score = np.clip(vote(m, vectors), 0.0, 1.0)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())], names=[id_col, "score", "predicted"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "terms", "counts").mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+
+
 def score_quality(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score (0 to 1) and predicted (1 if score >= threshold) of each whole text.
 
     A null text is empty; an empty text has only the terms of its measures and is scored by these.
     Each row gives one row, repeated rows equal ones; a null id stays null; ties among neighbours
     at the last place are broken by the order of the sample. An empty table gives an empty result,
-    further columns are ignored. One narrow pass without a shuffle. The broadcast model's size is
-    set by Settings: about 3 MB.
+    further columns are ignored. Narrow passes without a shuffle. The broadcast model's size is set
+    by Settings: about 3 MB.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return score_rows(term_rows(docs, model.settings, id_col, text_col), model, threshold, id_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        terms = Terms(m.settings)
-        for batch in small_batches(batches, "text"):
-            texts, scores = batch.column("text").to_pylist(), []
-            for k in range(0, len(texts), m.settings.block):
-                scores.append(vote(m, np.stack([m.vector(row) for row in terms.rows(texts[k : k + m.settings.block])])))
-            score = np.clip(np.concatenate(scores), 0.0, 1.0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())], names=[id_col, "score", "predicted"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+def fit_rows(rows: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, settings: Settings | None = None) -> Model:
+    """Document frequencies over all rows of term_rows; the space from the labelled ones that are not held out."""
+    s = settings or Settings()
+    total, seen = document_frequencies(rows, s)
+    sample = labelled_sample(rows.withColumnRenamed("id", "doc_id"), labels, "quality", folds, held_out, (s.sample_good, s.sample), F.col("n_chars") <= s.sample_chars, ["terms", "counts"])
+    return fit([(bytes(at), bytes(n), y) for at, n, y in sample], total, seen, s)
 
 
-def fit_tables(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, settings: Settings | None = None) -> Model:
-    """Document frequencies over all documents; the space from the labelled ones that are not held out."""
+def fitted_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds: int = 3, held_out: int = 1, settings: Settings | None = None) -> DataFrame:
+    """score_quality of docs by a model fitted to the labelled ones among them; the texts are read once.
+
+    Their term rows, about a third of the texts' size, are written to the shared folder.
+    """
     s = settings or Settings()
-    total, seen = document_frequencies(docs, s)
-    sample = labelled_sample(docs, labels, "quality", folds, held_out, (s.sample_good, s.sample), s.sample_chars)
-    return fit(sample, total, seen, s)
+    rows = durable(term_rows(docs, s))
+    return score_rows(rows, fit_rows(rows, labels, folds, held_out, s), threshold)

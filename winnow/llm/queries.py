@@ -35,8 +35,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, by a model fitted to labelled documents outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
-    model = quality.fit_tables(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
-    return quality.score_quality(docs, model, 0.5).withColumn("held_out", fold_of("doc_id", 3) == 1)
+    return quality.fitted_scores(docs, table(spark, sf_dir, "labels"), 0.5, folds=3, held_out=1).withColumn("held_out", fold_of("doc_id", 3) == 1)
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_of, small_batches, text_of
@@ -445,19 +445,19 @@ class Scorer:
         return _sigmoid(best)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_out: int, most: tuple[int, int], most_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """Texts and labels for training: of classes 1 and 0 the documents whose ids have the lowest hash, as many as `most` says.
+def labelled_sample(rows: DataFrame, labels: DataFrame, label_col: str, folds: int, held_out: int, most: tuple[int, int], fits: Column, values: list[str], id_col: str = "doc_id") -> list[tuple]:
+    """Values of rows, and their labels, for training: of classes 1 and 0 the documents whose ids have the lowest hash, as many as `most` says.
 
-    Only texts of at most most_chars are sampled. Held-out documents and null labels give none; of
-    repeated or conflicting labels the larger counts.
+    Only rows that fit are sampled. Held-out documents and null labels give none; of repeated or
+    conflicting labels the larger counts.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold_of(id_col, folds) != held_out))
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__label")).withColumn("__order", F.xxhash64("__id"))
-    short = docs.select(F.col(id_col).alias("__id"), text_of(F.col(text_col)).alias("__text")).filter(F.length("__text") <= most_chars)
+    short = rows.filter(fits).select(F.col(id_col).alias("__id"), *values)
     there = known.join(short.select("__id").distinct(), "__id", "left_semi")
     chosen = there.filter("__label = 1").orderBy("__order", "__id").limit(most[0]).unionByName(there.filter("__label = 0").orderBy("__order", "__id").limit(most[1]))
-    rows = short.join(F.broadcast(chosen), "__id")
-    return [(r["__text"], r["__label"]) for r in sorted(rows.select("__order", "__id", "__text", "__label").collect(), key=lambda r: (r["__order"], r["__id"], r["__text"]))]
+    found = short.join(F.broadcast(chosen), "__id").select("__order", "__id", *values, "__label").collect()
+    return [tuple(r)[2:] for r in sorted(found, key=lambda r: tuple(r)[:-1])]
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -503,5 +503,6 @@ def keep_below(docs: DataFrame, model: Model, threshold: float = 0.3, text_col:
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, settings: Settings | None = None) -> Model:
     """Train on the labelled documents that are not held out; see labelled_sample and Settings for the bounds."""
     s = settings or Settings()
-    sample = labelled_sample(docs, labels, "toxic", folds, held_out, (s.sample, s.sample_clean), s.sample_chars)
+    texts = docs.select("doc_id", text_of().alias("text"))
+    sample = labelled_sample(texts, labels, "toxic", folds, held_out, (s.sample, s.sample_clean), F.length("text") <= s.sample_chars, ["text"])
     return train([t for t, _ in sample], [y for _, y in sample], s)
