@@ -6,8 +6,7 @@ small bidirectional gated recurrent network, whose states attention pools. That
 beside the token's own vector, if training has met it in several documents. A second network of
 the same kind reads windows of tokens, and a logistic unit scores its pooled states. A text's score
 is that of its worst window, in training and in use alike. The networks are trained in numpy, on
-the driver, from a bounded sample of labelled documents; a fifth of that sample is set aside and
-says when to stop.
+the driver, from a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -40,7 +39,6 @@ class Settings:
     sample_clean: int = 2400  #: other labelled documents that it reads, at most
     sample_chars: int = 20_000  #: longer labelled documents are not sampled
     epochs: int = 12
-    patience: int = 2  #: epochs without a better loss on the inner fold after which training stops
     steps: int = 100  #: batches that training takes at least: a small sample is gone through more often
     seed: int = 7
     memo: int = 150_000  #: distinct tokens whose inputs a worker remembers
@@ -50,8 +48,6 @@ class Settings:
 TOKEN = re.compile(r"\w{1,48}|[^\w\s]{1,48}")
 #: Lengths of the n-grams that end at each character.
 SIZES = (1, 3, 4, 5)
-#: Every so many documents of each class of the sample form its inner fold.
-INNER = 5
 #: Tokens whose characters are read at a time, tokens of a text that are held at a time (a multiple of any stride), tokens of a block of texts.
 PART, PIECE, HELD = 20_000, 1 << 17, 1 << 19
 _M = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646C], dtype=np.uint32)
@@ -229,7 +225,10 @@ class Model:
 
     def table(self, words: list[str]) -> np.ndarray:
         """What the network over tokens takes in for each token; some tokens at a time."""
-        return np.concatenate([self.projected("w", self.inputs(words[k : k + PART])[0]) for k in range(0, len(words), PART)])
+        out = np.empty((len(words), 6 * self.settings.hidden), dtype=np.float32)
+        for k in range(0, len(words), PART):
+            out[k : k + PART] = self.projected("w", self.inputs(words[k : k + PART])[0])
+        return out
 
     def logits(self, p: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         return read(self.dense, "w", p, at, n)[0] @ self.dense["o"] + self.dense["b"][0]
@@ -277,12 +276,7 @@ def grid_of(flat: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], labels: list[int], settings: Settings | None = None) -> Model:
-    """Fit the networks to texts labelled 0 or 1. Without both classes they are left as they were made.
-
-    In a sample with at least 2 * INNER texts of each class, every INNER-th text of a class is only
-    looked at after each epoch: training stops when their loss has not fallen for `patience` epochs,
-    and the parameters of the epoch with the least loss are kept.
-    """
+    """Fit the networks to texts labelled 0 or 1. Without both classes they are left as they were made."""
     s = settings or Settings()
     y = np.array(labels, dtype=np.float32)
     if not len(y) or y.min() == y.max():
@@ -293,48 +287,29 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     del number
     if not vocabulary:
         return Model.new(s)
-    inner = np.zeros(len(y), dtype=bool)
-    if min((y == 0).sum(), (y == 1).sum()) >= 2 * INNER:
-        for c in (0, 1):
-            inner[np.flatnonzero(y == c)[INNER - 1 :: INNER]] = True
-    learnt = np.flatnonzero(~inner)
     docs_of = np.zeros(len(vocabulary), dtype=np.int64)
-    for i in learnt.tolist():
-        docs_of[np.unique(numbers[i])] += 1
+    for x in numbers:
+        docs_of[np.unique(x)] += 1
     m = Model.new(s, [w for w, k in zip(vocabulary, docs_of.tolist(), strict=True) if k >= s.word_docs])
-    _begin(m, vocabulary, [numbers[i] for i in learnt.tolist()], y[learnt])
+    _begin(m, vocabulary, numbers, y)
     fixed = [~m.words.any(axis=1), ~m.grams.any(axis=1)]
     flat = np.concatenate(numbers)
     first, n, owner = windows_of(np.array([len(x) for x in numbers]), s)
-    inside = inner[owner]
     r = np.random.default_rng(s.seed)
     mean = {k: np.zeros_like(x) for k, x in m.dense.items()}
     square = {k: np.zeros_like(x) for k, x in m.dense.items()}
     sums = [np.full(len(m.words), 1e-3, np.float32), np.full(s.gram_rows, 1e-3, np.float32)]
-    ones, zeros = (y[learnt] == 1).sum(), (y[learnt] == 0).sum()
-    weight = np.sqrt(np.where(y == 1, len(learnt) / (2 * ones), len(learnt) / (2 * zeros)))  # halfway to equal classes
-    tick, best, stale = 0, (np.inf, None), 0
-    epochs = max(s.epochs, -(-s.steps * 256 // (2 * len(learnt))))
-    for epoch in range(epochs + 1):
+    weight = np.sqrt(np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum())))  # halfway to equal classes
+    tick = 0
+    for _ in range(max(s.epochs, -(-s.steps * 256 // (2 * len(y))))):
         p = m.table(vocabulary)
         logits = np.concatenate([m.logits(p, grid_of(flat, first[k : k + 2048], n[k : k + 2048]), n[k : k + 2048]) for k in range(0, len(n), 2048)])
         del p
-        if inner.any() and epoch:
-            top = np.full(len(y), -np.inf)
-            np.maximum.at(top, owner, logits)
-            loss = float((weight * np.logaddexp(0, np.where(y == 1, -top, top)))[inner].mean())
-            if loss < best[0]:
-                best, stale = (loss, (m.words.copy(), m.grams.copy(), {k: x.copy() for k, x in m.dense.items()})), 0
-            else:
-                stale += 1
-        if epoch == epochs or stale >= s.patience:
-            break
         # the worst window of each text, and of texts without toxicity one more at random
         order = np.lexsort((-logits, owner))
         worst = order[np.r_[True, np.diff(owner[order]) > 0]]
         other = np.flatnonzero((y[owner] == 0) & (r.random(len(n)) < min(1.0, len(y) / max(1, len(n)))))
-        chosen = np.union1d(worst, other)
-        chosen = r.permutation(chosen[~inside[chosen]])
+        chosen = r.permutation(np.union1d(worst, other))
         for k in range(0, len(chosen), 256):
             own = np.sort(chosen[k : k + 256])  # keeps the longest first
             used, inverse = np.unique(grid_of(flat, first[own], n[own]), return_inverse=True)
@@ -351,8 +326,6 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
                 g = np.stack([np.bincount(inv, g[:, j], minlength=len(touched)) for j in range(s.width)], axis=1)
                 total[touched] += (g * g).mean(axis=1)
                 table[touched] -= (0.006 * g / np.sqrt(total[touched])[:, None]).astype(np.float32)
-    if best[1]:
-        m.words, m.grams, m.dense = best[1]
     return m
 
 
@@ -360,12 +333,10 @@ def _begin(m: Model, vocabulary: list[str], numbers: list[np.ndarray], y: np.nda
     """Let the first coordinate of each row begin at how much likelier its documents are to be toxic; rows of too few documents stay 0."""
     s = m.settings
     rows = np.array([m.known.get(w, 0) for w in vocabulary], dtype=np.int32)
-    grams, ends = [], [np.zeros(1, dtype=np.int64)]
+    ends = np.concatenate([[0], np.cumsum([len(w) + 1 for w in vocabulary])])
+    flat = np.empty((ends[-1], len(SIZES)), dtype=np.int32)
     for k in range(0, len(vocabulary), PART):
-        found, lengths = places_of(vocabulary[k : k + PART], s.gram_rows)
-        grams.append(found)
-        ends.append(ends[-1][-1] + np.cumsum(lengths))
-    flat, ends = np.concatenate(grams), np.concatenate(ends)
+        flat[ends[k] : ends[min(k + PART, len(vocabulary))]] = places_of(vocabulary[k : k + PART], s.gram_rows)[0]
     of_word = lambda u: rows[u]
     of_grams = lambda u: np.concatenate([flat[ends[i] : ends[i + 1]] for i in u.tolist()])
     for table, keys in ((m.words, of_word), (m.grams, of_grams)):
