@@ -148,9 +148,9 @@ def _forums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(k.cast("string").alias("forum_id"), parent.alias("parent_id"))
 
 
-@query(f"WITH RECURSIVE {_FORUMS} SELECT f.forum_id, t.depth, CASE WHEN t.depth IS NOT NULL THEN '0' END AS root_id FROM f LEFT JOIN t USING (forum_id)")
+@query(f"WITH RECURSIVE {_FORUMS} SELECT f.forum_id, coalesce(t.depth, -1) AS depth, CASE WHEN t.depth IS NOT NULL THEN '0' END AS root_id FROM f LEFT JOIN t USING (forum_id)")
 def flat_forums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crawl.flatten_forums(_forums(spark, sf_dir)).select("forum_id", "depth", "root_id")
+    return crawl.flatten_forums(_forums(spark, sf_dir)).select("forum_id", F.coalesce("depth", F.lit(-1)).alias("depth"), "root_id")
 
 
 @query(f"WITH RECURSIVE {_FORUMS} SELECT depth, count(*) AS n FROM t GROUP BY 1")
