@@ -22,6 +22,15 @@ def survivor_order(strategy: str, answer: str = "answer", page: str = "page_id",
     return F.struct((-F.length(F.coalesce(F.col(answer), F.lit("")))).alias("x"), F.col(qa_id).alias("id"))
 
 
+def rank_within(rows: DataFrame, scope: tuple[str, ...], order: str, name: str) -> DataFrame:
+    """rows numbered from 1 in each scope: ranked in ranges of the whole table, less what comes before the scope."""
+    ranked = with_rank(rows, [*scope, order], name)
+    if not scope:
+        return ranked
+    first = ranked.groupBy(*scope).agg(F.min(name).alias("__before"))
+    return ranked.join(first, [*scope]).withColumn(name, F.col(name) - F.col("__before") + 1).drop("__before")
+
+
 def exact_groups(rows: DataFrame, question: str = "question", scope: tuple[str, ...] = (), order: tuple[str, ...] = ("doc_ord", "pair_ord"), unicode: bool = False) -> DataFrame:
     """The rows of groups with an equal match key, with group_id, match_type and similarity_score.
 
@@ -32,7 +41,7 @@ def exact_groups(rows: DataFrame, question: str = "question", scope: tuple[str,
     keyed = rows.withColumn("__key", match_key(F.coalesce(F.col(question), F.lit("")), unicode))
     on = [*scope, "__key"]
     many = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(*order)).alias("__first")).filter("__n > 1")
-    numbered = many.withColumn("__g", F.row_number().over(Window.partitionBy(*scope).orderBy("__first"))) if scope else with_rank(many, ["__first"], "__g")
+    numbered = rank_within(many, scope, "__first", "__g")
     out = keyed.join(numbered, on)
     return out.select(*rows.columns, F.format_string("exact-%03d", "__g").alias("group_id"), F.lit("exact").alias("match_type"), F.lit(1.0).alias("similarity_score"))
 
@@ -73,10 +82,7 @@ def semantic_groups(rows: DataFrame, vectors: DataFrame, exact: DataFrame, thres
     scored = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("__n"), F.avg(F.when(F.col("id") != F.col("leader"), F.col("similarity"))).alias("similarity_score"), F.min("ord").alias("__first")).filter("__n > 1")
     if scope:
         scored = scored.join(placed.select(F.col("__id").alias("leader"), *scope), "leader")
-        numbered = scored.withColumn("__g", F.row_number().over(Window.partitionBy(*scope).orderBy("__first")))
-    else:
-        numbered = with_rank(scored, ["__first"], "__g")
-    numbered = numbered.withColumn("group_id", F.format_string("semantic-%03d", "__g")).select("leader", "group_id", "similarity_score")
+    numbered = rank_within(scored, scope, "__first", "__g").withColumn("group_id", F.format_string("semantic-%03d", "__g")).select("leader", "group_id", "similarity_score")
     members = lead.select(F.col("id").alias("__id"), "leader").join(numbered, "leader").drop("leader")
     return placed.join(members, "__id").withColumn("match_type", F.lit("semantic")).select(*rows.columns, "group_id", "match_type", "similarity_score")
 

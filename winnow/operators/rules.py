@@ -85,7 +85,8 @@ def diverse(rows: DataFrame, page: str = "page_id", order: str = "pair_ord", qa_
 
     Questions are taken in order; one is kept unless its word set reaches the threshold with one
     already kept. A page's questions fold in one expression: the page is the unit of grouping, as
-    small as a document's list of questions. Kept questions have nulls.
+    small as a document's list of questions. Kept questions have nulls. A null question is an empty
+    one and like no other; rows with a null page are one page; (page, order) must be unique.
     """
     item = F.struct(F.col(order).alias("ord"), F.col(qa_id).alias("id"), word_set(F.coalesce(F.col(question), F.lit(""))).alias("words"))
     state = "struct<kept: array<struct<id: string, words: array<string>>>, seen: array<struct<ord: bigint, similar_to: string, similarity: double>>>"
