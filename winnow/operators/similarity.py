@@ -124,8 +124,7 @@ def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = ()
     hashes and with a filter on sizes, and the candidates are verified on the whole sets. Rows with
     a null id, a null or an empty set have no pairs.
     """
-    member = class_of(sets, scope, id_col, items)
-    rows = member.groupBy(*scope, "rep").agg(F.first("items").alias("items")).withColumnRenamed("rep", "id")
+    rows = _keyed(sets, scope, id_col, items).groupBy(*scope, "__h", "__k", "__n").agg(F.min("id").alias("id"), F.first("items").alias("items")).drop("__h", "__k", "__n")
     each = rows.select(*scope, "id", F.size("items").alias("n"), F.explode(F.transform("items", lambda x: F.xxhash64(x))).alias("item"))
     rarity = each.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(rarity, "item").groupBy(*scope, "id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("r"))
@@ -139,22 +138,24 @@ def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = ()
     near = whole.select(*scope, "a", "b", s.alias("similarity")).filter(F.col("similarity") >= threshold)
     if not expand:
         return near
-    own = member.select(*scope, "rep", "id")
+    own = class_of(sets, scope, id_col, items).select(*scope, "rep", "id")
     apart = near.join(own.toDF(*scope, "a", "__a"), [*scope, "a"]).join(own.toDF(*scope, "b", "__b"), [*scope, "b"])
     alike = own.toDF(*scope, "rep", "__a").join(own.toDF(*scope, "rep", "__b"), [*scope, "rep"]).filter("__a < __b").withColumn("similarity", F.lit(1.0))
     return apart.select(*scope, F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), "similarity").unionByName(alike.select(*scope, F.col("__a").alias("a"), F.col("__b").alias("b"), "similarity"))
 
 
-def class_of(sets: DataFrame, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words") -> DataFrame:
-    """(scope, id, rep, items): the least id of the rows of a scope with an equal set of items, for each row with items.
-
-    A set is known by 128 bits of two hashes, which its items' order doesn't change.
-    """
+def _keyed(sets: DataFrame, scope: tuple[str, ...], id_col: str, items: str) -> DataFrame:
+    """(scope, id, items) of the rows with an id and items, with 128 bits of two hashes that the items' order doesn't change, and their number."""
     rows = sets.select(*scope, F.col(id_col).alias("id"), F.array_distinct(items).alias("items")).filter((F.size("items") > 0) & F.col("id").isNotNull())
     ordered = F.array_sort("items")
-    keyed = rows.withColumns({"__h": F.xxhash64(ordered), "__k": F.xxhash64(ordered, F.lit(1)), "__n": F.size("items")})
+    return rows.withColumns({"__h": F.xxhash64(ordered), "__k": F.xxhash64(ordered, F.lit(1)), "__n": F.size("items")})
+
+
+def class_of(sets: DataFrame, scope: tuple[str, ...] = (), id_col: str = "id", items: str = "words") -> DataFrame:
+    """(scope, id, rep): for each row with items the least id of the rows of its scope with an equal set of them. Only hashes are shuffled."""
+    keyed = _keyed(sets, scope, id_col, items).drop("items")
     least = keyed.groupBy(*scope, "__h", "__k", "__n").agg(F.min("id").alias("rep"))
-    return keyed.join(least, [*scope, "__h", "__k", "__n"]).select(*scope, "id", "rep", "items")
+    return keyed.join(least, [*scope, "__h", "__k", "__n"]).select(*scope, "id", "rep")
 
 
 def leaders(vectors: DataFrame, threshold: float, scope: tuple[str, ...] = (), recall: float | None = None) -> DataFrame:
