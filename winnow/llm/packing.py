@@ -16,6 +16,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,9 +27,9 @@ from .common import small_batches, text_of
 #: Permitted sequence lengths, in tokens.
 CAPACITIES = (2048, 4096, 8192, 16384)
 #: Pieces that are packed together: shards of about so many are packed independently.
-SHARD = 2000
+SHARD = 1000
 #: Tokens that a task hands on at a time.
-BATCH = 1 << 21
+BATCH = 1 << 19
 
 
 class Codec(Protocol):
@@ -90,10 +91,16 @@ def best_fit(sizes: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost:
     return placed, np.array([next(c for c in caps if c >= f) for f in filled], dtype=np.int64)
 
 
+def _binary(sizes: list[int], data: bytes) -> pa.BinaryArray:
+    """Values of so many bytes that lie end to end in data."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+
+
 def pack(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text", capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = flat_cost, shard_pieces: int = SHARD) -> DataFrame:
     """One row per bin: bin_id, capacity, n_tokens, doc_ids, pieces, starts, lengths, tokens.
 
-    doc_ids, pieces, starts (in the document's tokens) and lengths have an element for each piece
+    tokens are ids as little-endian unsigned 32-bit integers. doc_ids, pieces, starts (in the document's tokens) and lengths have an element for each piece
     of a document in the bin, in the order in which they stand in tokens. A document is its tokens
     and codec.end, whole in one piece unless it is longer than the largest capacity: then it is cut
     into pieces of that capacity and a rest.
@@ -120,8 +127,7 @@ def pack(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str =
 
         def out() -> pa.RecordBatch:
             shard, at, key, piece, start = zip(*rows, strict=True)
-            ends = np.cumsum([0, *map(len, parts)])
-            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).astype(np.int32)))
+            tokens = _binary([4 * len(p) for p in parts], np.concatenate(parts).astype("<u4").tobytes())
             return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), ids.take(pa.array(at, pa.int64())), pa.array(key, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), tokens], names=["shard", "id", "key", "piece", "start", "tokens"])
 
         for batch in small_batches(batches, "text"):
@@ -141,23 +147,24 @@ def pack(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str =
                 rows, parts, held = [], [], 0
 
     def packed(rows: pa.Table) -> pa.Table:
-        rows = rows.select(["shard", "id", "key", "piece", "start", "tokens"]).combine_chunks().sort_by([("key", "ascending"), ("piece", "ascending")])
-        size = rows.column("tokens").combine_chunks().value_lengths().to_numpy()
+        rows = rows.sort_by([("key", "ascending"), ("piece", "ascending")])
+        size = pc.binary_length(rows.column("tokens")).to_numpy().astype(np.int64) // 4
         placed, caps = best_fit(size, capacities, cost)
         order = np.lexsort((np.arange(len(size)), -size, placed))
-        rows, size = rows.take(pa.array(order)), size[order]
+        size = size[order]
+        data = b"".join(rows.column("tokens").take(pa.array(order)).to_pylist())
+        rows = rows.drop_columns(["tokens"]).take(pa.array(order))
         many = np.bincount(placed, minlength=len(caps))
         held = np.bincount(placed[order], weights=size, minlength=len(caps)).astype(np.int64)
         ends = pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32())
         listed = lambda x: pa.ListArray.from_arrays(ends, x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x)
-        flat = rows.column("tokens").combine_chunks().flatten()
-        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held)]), pa.int32()), flat)
+        tokens = _binary((4 * held).tolist(), data)
         bins = (np.int64(rows.column("shard")[0].as_py()) << 32) + np.arange(len(caps))
         return pa.table([bins, caps, held, listed(rows.column("id")), listed(rows.column("piece")), listed(rows.column("start")), listed(pa.array(size, pa.int64())), tokens], names=names)
 
     names = ["bin_id", "capacity", "n_tokens", "doc_ids", "pieces", "starts", "lengths", "tokens"]
-    dealt = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(encoded, f"shard int, id {kind}, key bigint, piece int, start bigint, tokens array<int>")
-    return dealt.groupBy("shard").applyInArrow(packed, f"bin_id bigint, capacity bigint, n_tokens bigint, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, lengths array<bigint>, tokens array<int>")
+    dealt = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(encoded, f"shard int, id {kind}, key bigint, piece int, start bigint, tokens binary")
+    return dealt.groupBy("shard").applyInArrow(packed, f"bin_id bigint, capacity bigint, n_tokens bigint, doc_ids array<{kind}>, pieces array<int>, starts array<bigint>, lengths array<bigint>, tokens binary")
 
 
 def placements(bins: DataFrame, id_col: str = "doc_id") -> DataFrame:
