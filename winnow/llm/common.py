@@ -37,6 +37,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, on whatever file system it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sweep(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files and checkpoints that nothing refers to any more; it learns of them by collecting garbage."""
     gc.collect()

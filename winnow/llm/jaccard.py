@@ -162,12 +162,13 @@ def jaccard_classes(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, rec
     threshold (a decimal, compared exactly); n_links counts a document's links, those to copies
     among them. Classes are the components of the links; class_id is the least id of a class, and
     class_size counts its documents. A pair at the threshold is found with a probability of at
-    least `recall`, more similar ones with more; pairs below the threshold are never linked.
+    least `recall`, more similar ones with more; pairs below the threshold are never linked. Every
+    link is counted, so the verification of a class grows with its square, in even blocks.
 
     A text of fewer than n words has one gram of all its words. Texts without words, null ones
     among them, have no grams and are linked to each other. Rows that repeat an id are documents
     of their own and get equal rows; ids must be integers, and a null id forms no links. An empty
-    table gives an empty result. with_kept adds text_sha256, and kept: whether the row has the least
+    table gives an empty result; further columns are ignored. with_kept adds text_sha256, and kept: whether the row has the least
     id, and of the texts under that id the least SHA-256, of its class.
     """
     limit = Fraction(threshold)
@@ -280,3 +281,15 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = docs.withColumn(sha, F.sha2(text_of(F.col(text_col)), 256)).withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
     stay = marked.join(lost, (F.col(id_col) == F.col("__lost_id")) & (F.col(sha) == F.col("__lost_sha")), "left_anti")
     return stay.dropDuplicates([id_col, sha, row]).drop(sha, row)
+
+
+#: Counts the n-grams that each two documents share; classes are walked to along the links.
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE c * 10 >= 8 * (p.n + q.n - c)),
+walk AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT walk.doc_id, l.b FROM walk JOIN l ON l.a = walk.r)
+SELECT n.doc_id, min(r) AS class_id, count(*) AS class_size, (SELECT count(*) FROM l WHERE l.a = n.doc_id) AS n_links, any_value(n.n) AS n_grams FROM n JOIN walk USING (doc_id) GROUP BY n.doc_id
+"""

@@ -192,3 +192,31 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cont
     better = F.exists("beside", lambda x: (x["template"] != F.col("template")) & (x["share"] > F.col("share")) & (common(x) * 2 > F.col("last") - F.col("first") + 1))
     out = notices.withColumn("beside", beside).filter(~better)
     return out.select(F.col("id").alias(id_col), "template", F.col("first").cast("long").alias("first_word"), F.col("last").cast("long").alias("last_word"), F.col("share").alias("containment"), "n_windows")
+
+
+def oracle_sql(templates: dict[str, str]) -> str:
+    """Counts, for each window that holds any, the shingles that it has in common with each template."""
+    listed = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in item)) for item in sorted(templates.items()))
+    words = r"list_filter(string_split_regex(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    return f"""
+WITH RECURSIVE tw AS (SELECT template, {words.format("txt")} AS w FROM (VALUES {listed}) v(template, txt)),
+tn AS (SELECT *, least(len(w), {N}) AS n, len(w) - least(len(w), {N}) + 1 AS places FROM tw),
+ts AS (SELECT DISTINCT template, n, places, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, places + 1)) AS i FROM tn)),
+tm AS (SELECT template, n, count(*) AS m, greatest(1, places // 5) AS stride, places + greatest(1, places // 5) - 1 AS win FROM ts GROUP BY template, n, places),
+kin AS (SELECT x.template AS a, y.template AS b FROM ts x JOIN ts y ON x.g = y.g JOIN tm p ON p.template = x.template JOIN tm q ON q.template = y.template GROUP BY ALL HAVING 2 * count(*) >= max(greatest(p.m, q.m))),
+reach AS (SELECT template, template AS r FROM tm UNION SELECT reach.template, kin.b FROM reach JOIN kin ON kin.a = reach.r),
+family AS (SELECT template, min(r) AS family FROM reach GROUP BY 1),
+dw AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS w FROM documents),
+dg AS (SELECT doc_id, n, nw, i - 1 AS i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, len(w) AS nw, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM tm) WHERE len(w) >= n)),
+hits AS (SELECT dg.doc_id, dg.nw, dg.i, dg.g, tm.* FROM dg JOIN ts ON ts.g = dg.g AND ts.n = dg.n JOIN tm ON tm.template = ts.template),
+wins AS (SELECT DISTINCT doc_id, nw, template, n, m, win, g, s * stride AS start FROM (SELECT *, unnest(range(CAST(greatest(0, ceil((i - (win - 1)) / stride)) AS BIGINT), i // stride + 1)) AS s FROM hits)),
+scored AS (SELECT doc_id, template, start AS first, least(nw, start + win + n - 1) - 1 AS last, CAST(count(*) AS DOUBLE) / m AS share FROM wins GROUP BY doc_id, nw, template, n, m, win, start HAVING count(*) >= {CONTAINMENT} * m),
+marked AS (SELECT *, CASE WHEN first > coalesce(max(last) OVER (PARTITION BY doc_id, template ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) THEN 1 ELSE 0 END AS new FROM scored),
+isles AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY first) AS isle FROM marked),
+notices AS (SELECT doc_id, template, family, min(first) AS first, max(last) AS last, max(share) AS share, count(*) AS n_windows FROM isles JOIN family USING (template) GROUP BY doc_id, template, family, isle)
+SELECT doc_id, template, first AS first_word, last AS last_word, share AS containment, n_windows FROM notices x
+WHERE NOT EXISTS (SELECT 1 FROM notices y WHERE y.doc_id = x.doc_id AND y.family = x.family AND y.template <> x.template AND y.share > x.share AND (least(x.last, y.last) - greatest(x.first, y.first) + 1) * 2 > x.last - x.first + 1)
+"""
+
+
+ORACLE_SQL = oracle_sql({**TEMPLATES, **SHORT_TEMPLATES})
