@@ -12,8 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import exact_dedup, jaccard, packing, pii, toxicity
-from winnow.llm.common import ensure_checkpoint_dir, table, text_of
+from winnow.llm import bpe, exact_dedup, jaccard, packing, pii, toxicity
+from winnow.llm.common import delete, durable, ensure_checkpoint_dir, table, text_of
 from winnow.llm.queries import public_codec
 
 #: The last stage's rows depend on trained models and on packing, which SQL does not express.
@@ -44,16 +44,20 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bins of the permitted lengths with the tokens of all documents, by the vocabulary that op2 encodes by."""
-    return packing.pack(docs, public_codec(spark))
+    return packing.pack(docs, public_codec(spark, bpe.LibraryCodec))
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("pii", redact_personal_data), ("packing", pack_sequences)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to documents; what a stage returns is written to the shared folder and read again."""
+    """Apply all stages to documents. What a stage returns is written to the shared folder and read again; it is deleted when no stage reads it any more."""
     docs, folder = table(spark, sf_dir, "documents"), f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
+    for k, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if k:
+            delete(spark, f"{folder}/{STAGES[k - 1][0]}")
+    done = durable(STAGES[-1][1](spark, docs, sf_dir))
+    delete(spark, folder)
+    return done
