@@ -5,13 +5,14 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from winnow.llm import exact_dedup, jaccard, packing, queries, toxicity
 from winnow.llm.common import maybe_among
-from winnow.llm.components import components
+from winnow.llm.components import _joined, components
 
 from ..oracle import same, views
 
@@ -106,6 +107,24 @@ def test_jaccard_classes(spark, unit_nodes, block):
     assert sorted(map(tuple, got)) == brute_classes(rows)
 
 
+def test_classes_of_drifting_texts(spark):
+    """Each text is near the next ones only, so that a class is a chain."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choices("abcdefghij", k=6))
+    rows = []
+    for k in range(4):
+        words = [word() for _ in range(60)]
+        for step in range(30):
+            rows.append((1000 * k + step, " ".join(words)))
+            words = words[r.choice([1, 2, 7]) :]
+            words += [word() for _ in range(60 - len(words))]
+    want = brute_classes(rows)
+    assert len({x[1] for x in want}) > 8
+    for unit_nodes, block in ((400, 200), (1, 4)):
+        got = jaccard.jaccard_classes(table(spark, rows), unit_nodes=unit_nodes, block=block).collect()
+        assert sorted(map(tuple, got)) == want
+
+
 def test_jaccard_odd_tables(spark):
     assert jaccard.jaccard_classes(table(spark, [])).count() == 0
     got = {tuple(r) for r in jaccard.jaccard_classes(table(spark, [(None, "a b c"), (1, "a b c"), (2, "a b c")])).collect()}
@@ -154,8 +173,13 @@ def test_components(spark):
             if a != b:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-        got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-        assert got == {x: find(x) for x in root}
+        for in_task in (0, 10_000):
+            got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "a bigint, b bigint"), in_task=in_task).collect()}
+            assert got == {x: find(x) for x in root}
+        rounds = [e for e in edges if e[0] != e[1]]
+        r.shuffle(rounds)
+        joined = _joined(pa.table({"a": [a for a, _ in rounds], "b": [b for _, b in rounds]}))
+        assert {b: a for a, b in zip(*(c.to_pylist() for c in joined.columns), strict=True)} == {x: find(x) for x in root if find(x) != x}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
@@ -232,10 +256,10 @@ def read_back(bins, decode, end):
     """Documents by (id, first token's place), put together again from the bins' tokens."""
     pieces = collections.defaultdict(list)
     for b in bins:
-        at = 0
-        assert b["n_tokens"] == len(b["tokens"]) == sum(b["lengths"]) <= b["capacity"]
+        at, tokens = 0, np.frombuffer(b["tokens"], dtype="<u4").tolist()
+        assert b["n_tokens"] == len(tokens) == sum(b["lengths"]) <= b["capacity"]
         for i, piece, start, n in zip(b["doc_ids"], b["pieces"], b["starts"], b["lengths"], strict=True):
-            pieces[i].append((piece, start, b["tokens"][at : at + n]))
+            pieces[i].append((piece, start, tokens[at : at + n]))
             at += n
     out = []
     for i, parts in pieces.items():
@@ -265,7 +289,7 @@ def test_pack(spark):
         assert sorted(own) == slow_best_fit([n for _, x in own for n in x], caps, packing.flat_cost)
     each = packing.placements(bins).collect()
     assert len(each) == sum(len(b["doc_ids"]) for b in got)
-    tokens = {b["bin_id"]: b["tokens"] for b in got}
+    tokens = {b["bin_id"]: np.frombuffer(b["tokens"], dtype="<u4").tolist() for b in got}
     long = sorted((x["piece"], x["start"], x["bin_id"], x["offset"], x["n_tokens"]) for x in each if x["doc_id"] == 900)
     assert [t for _, _, b, o, n in long for t in tokens[b][o : o + n]] == [*(b"yz" * 250_000), 256]
     rates = {x["capacity"]: x for x in packing.fill_rates(bins).collect()}
@@ -357,3 +381,35 @@ def test_near_dedup_tells_texts_of_one_id_apart(spark):
     left = [(r["doc_id"], r["text"]) for r in got.collect()]
     assert (1, a) in left and (5, other) in left and (5, near) not in left
     assert sum(i == 7 for i, _ in left) == 1 and sum(i is None for i, _ in left) == 2 and len(left) == 5
+
+
+def test_long_texts_and_clashing_columns(spark):
+    """Texts of a million characters, beside columns of the names that the operators use inside."""
+    long = " ".join(f"w{k % 5000}" for k in range(200_000))
+    rows = [(1, long), (2, long), (3, long + " end"), (4, "short one"), (5, None)]
+    table = spark.createDataFrame([(i, t, "a", "b", 7, "c", 8, "d") for i, t in rows], "doc_id bigint, text string, __sha string, __row string, id int, sha string, __id int, __keep string")
+    kept = exact_dedup.exact_dedup(table)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5] and kept.columns == table.columns and kept.filter("__sha = 'a' and __keep = 'd'").count() == 4
+    assert {r["doc_id"]: r["group_size"] for r in exact_dedup.exact_groups(table).collect()} == {1: 2, 2: 2, 3: 1, 4: 1, 5: 1}
+    near = jaccard.one_of_each_class(table)
+    assert sorted(r["doc_id"] for r in near.collect()) == [1, 4, 5] and near.columns == table.columns and near.filter("__row = 'b'").count() == 3
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.jaccard_classes(table).collect()} == {(1, 1, 2), (2, 1, 2), (3, 1, 2), (4, 4, 0), (5, 5, 0)}
+
+
+def test_pipeline_on_long_texts_and_more_columns(spark, tmp_path):
+    r = random.Random(9)
+    word = lambda: "".join(r.choices("abcdefghijk", k=6))
+    long = " ".join(word() for _ in range(60_000))
+    rows = [(1, long, "en", "s", 0, "x"), (2, long, "en", "s", 0, "x"), (3, long + " more", "en", "s", 0, "y"), (4, f"{long[:300_000]} call (505) 555-1234", "en", "s", 0, "z"), (5, None, None, None, None, None)]
+    now = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, __sha string")
+    columns, ids = now.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, SMALL).write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert now.columns == columns
+            ids[name] = sorted(x["doc_id"] for x in now.collect())
+    assert set(ids["exact_dedup"]) == set(ids["toxicity"]) - {2} and set(ids["near_dedup"]) == set(ids["exact_dedup"]) - {3} and ids["pii"] == ids["near_dedup"]
+    codec = queries.public_codec(spark)
+    back = dict(read_back(now.collect(), codec.decode, codec.end))
+    assert sorted(back) == ids["pii"] and (4 not in back or back[4].endswith(b"call [PHONE]"))
