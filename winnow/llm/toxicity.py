@@ -39,6 +39,7 @@ class Settings:
     sample_clean: int = 2400  #: other labelled documents that it reads, at most
     sample_chars: int = 20_000  #: longer labelled documents are not sampled
     epochs: int = 12
+    refresh: int = 3  #: rounds for which each text's worst window is taken to be the same
     steps: int = 100  #: batches that training takes at least: a small sample is gone through more often
     seed: int = 7
     memo: int = 150_000  #: distinct tokens whose inputs a worker remembers
@@ -301,13 +302,14 @@ def train(texts: list[str], labels: list[int], settings: Settings | None = None)
     sums = [np.full(len(m.words), 1e-3, np.float32), np.full(s.gram_rows, 1e-3, np.float32)]
     weight = np.sqrt(np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum())))  # halfway to equal classes
     tick = 0
-    for _ in range(max(s.epochs, -(-s.steps * 256 // (2 * len(y))))):
-        p = m.table(vocabulary)
-        logits = np.concatenate([m.logits(p, grid_of(flat, first[k : k + 2048], n[k : k + 2048]), n[k : k + 2048]) for k in range(0, len(n), 2048)])
-        del p
+    for turn in range(max(s.epochs, -(-s.steps * 256 // (2 * len(y))))):
         # the worst window of each text, and of texts without toxicity one more at random
-        order = np.lexsort((-logits, owner))
-        worst = order[np.r_[True, np.diff(owner[order]) > 0]]
+        if turn % s.refresh == 0:
+            p = m.table(vocabulary)
+            logits = np.concatenate([m.logits(p, grid_of(flat, first[k : k + 2048], n[k : k + 2048]), n[k : k + 2048]) for k in range(0, len(n), 2048)])
+            del p
+            order = np.lexsort((-logits, owner))
+            worst = order[np.r_[True, np.diff(owner[order]) > 0]]
         other = np.flatnonzero((y[owner] == 0) & (r.random(len(n)) < min(1.0, len(y) / max(1, len(n)))))
         chosen = r.permutation(np.union1d(worst, other))
         for k in range(0, len(chosen), 256):
