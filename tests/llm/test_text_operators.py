@@ -7,7 +7,9 @@ import random
 import re
 import time
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,10 +118,13 @@ def test_base_spans_are_linear():
 def test_contact_lists_take_linear_time():
     def took(n):
         t = "".join(f"Ann Bell, ann.{i}@mail.org, +1 (171) 555-{i % 10000:04}, bob{i} [at] post [dot] net, 10.0.{i % 256}.1\n" for i in range(n))
-        began = time.perf_counter()
-        base, every = pii.find(t, pii.trained())
+        spent = []
+        for _ in range(2):
+            began = time.process_time()
+            base, every = pii.find(t, pii.trained())
+            spent.append(time.process_time() - began)
         assert len(base) >= 3 * n and len(every) >= 4 * n
-        return len(t), time.perf_counter() - began
+        return len(t), min(spent)
 
     took(200)
     (small, a), (large, b) = took(6_000), took(12_000)
@@ -431,6 +436,12 @@ def test_licence_scan(spark):
         found.setdefault(x["doc_id"], []).append((x["template"], x["first_word"], x["last_word"], round(x["containment"], 9), x["n_windows"]))
     assert {i: sorted(x) for i, x in found.items()} == {i: b for i, t in enumerate(texts) if (b := brute_notices(t))}
     assert [x[0] for x in found[texts.index(TEMPLATES["lgpl-3.0"])]] == ["lgpl-3.0"]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    by_sql = {}
+    for i, name, first, last, share, n in con.sql(licenses.oracle_sql(TEMPLATES)).fetchall():
+        by_sql.setdefault(i, []).append((name, first, last, round(share, 9), n))
+    assert {i: sorted(x) for i, x in by_sql.items()} == {i: sorted(x) for i, x in found.items()}
     assert licenses.scan_licenses(table.limit(0)).count() == 0
     plan = licenses.scan_licenses(table)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
