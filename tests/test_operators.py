@@ -314,6 +314,8 @@ def test_generation(spark):
         raise OSError("down")
 
     assert generate.call(pages, ["filename"], fails, retries=1, pause=0.0).filter("answer is null").count() == 3
+    short = generate.call(pages, ["filename"], lambda asked: ["x"] * (len(asked) + 1), retries=0)
+    assert short.filter("answer is null and error like '%answers to%'").count() == 3
     answers = spark.createDataFrame([("p", '[{"question": "a?", "answer": "b", "question_type": "factual"}, {"question": "c?", "answer": "d", "question_type": "tool"}]'), ("x", "none")], "page_id string, answer string")
     assert [(r["qa_id"], r["answer"]) for r in generate.parse_answers(answers).orderBy("qa_id").collect()] == [("p-q01", "b"), ("p-q02", "d")]
     one = spark.createDataFrame([("procedure", ["1", "2"], ["A", "B"]), ("specification", [], []), ("text", [], [])], "t string, c array<string>, n array<string>")

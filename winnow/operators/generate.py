@@ -44,6 +44,12 @@ PROMPTS = {
 }
 
 
+def _as_many(given: list, asked: list) -> list:
+    if len(given) != len(asked):
+        raise ValueError(f"{len(given)} answers to {len(asked)} requests")
+    return given
+
+
 def call(rows: DataFrame, request: list[str], provider: Provider | None, retries: int = 3, pause: float = 2.0, batch: int = 32) -> DataFrame:
     """rows with answer, what the provider says to each row's request columns, and error, why there is none; one of them is null.
 
@@ -64,10 +70,10 @@ def call(rows: DataFrame, request: list[str], provider: Provider | None, retries
                 said, why = [None] * len(asked), "no answer"
                 for k in range(retries + 1):
                     try:
-                        said = provider(asked)
+                        said = _as_many(provider(asked), asked)
                         break
                     except Exception as failure:  # any failure of a remote model is one to try again
-                        why = f"{type(failure).__name__}: {failure}"
+                        said, why = [None] * len(asked), f"{type(failure).__name__}: {failure}"
                         if k < retries:
                             time.sleep(pause * 2**k)
                 errors = [why if x is None else None for x in said]
@@ -180,7 +186,7 @@ def embed(rows: DataFrame, text: str, provider: Callable[[list[str]], list[list[
                 part = b.slice(at, batch)
                 made, why = [None] * part.num_rows, None
                 try:
-                    made = provider([x or "" for x in part.column("t").to_pylist()])
+                    made = _as_many(provider(texts := [x or "" for x in part.column("t").to_pylist()]), texts)
                 except Exception as failure:  # whatever keeps a model from running
                     why = f"{type(failure).__name__}: {failure}"
                 yield pa.RecordBatch.from_arrays([part.column("i"), pa.array(made, pa.list_(pa.float64())), pa.array([why] * part.num_rows, pa.string())], names=[id_col, "embedding", "error"])
