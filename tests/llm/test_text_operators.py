@@ -696,7 +696,7 @@ def test_quality_reads_long_tokens_whole():
 
 def test_document_frequencies_cover_all_rows(spark):
     s = quality.Settings()
-    total, seen = quality.document_frequencies(odd(spark), s)
+    total, seen = quality.document_frequencies(quality.term_rows(odd(spark), s), s)
     want = np.zeros(quality.Terms(s).size)
     for at, _ in quality.Terms(s).rows([t or "" for t in [*ODD, "no id", "a", "a"]]):
         want[at] += 1
