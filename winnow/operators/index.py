@@ -47,17 +47,17 @@ def merge_sections(entries: DataFrame) -> DataFrame:
 def with_procedures(pages: DataFrame, procedures: DataFrame) -> DataFrame:
     """pages with procedures_covered and procedures_names, by section slug and normalised page id, else by the id as it is.
 
-    Codes without a name are left out of the names alone. pages has page_id, section_id and section_name.
+    A code's name travels with it, so a page's row holds what it covers and nothing else of its
+    section. pages has page_id, section_id and section_name.
     """
-    codes = page_to_codes(procedures)
-    names = procedures.groupBy("section").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "name")))).alias("__names"))
+    each = F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "name"))))
+    listed = procedures.select("section", F.explode("pages").alias("page"), "code", "name").groupBy("section", "page").agg(each.alias("listed"))
     keyed = pages.withColumn("__slug", derived_slug("section_id", "section_name")).withColumn("__norm", normal_page_id("page_id"))
-    one = codes.select(F.col("section").alias("__slug"), F.col("page").alias("__norm"), F.col("codes").alias("__a"))
-    two = codes.select(F.col("section").alias("__slug"), F.col("page").alias("page_id"), F.col("codes").alias("__b"))
-    met = keyed.join(one, ["__slug", "__norm"], "left").join(two, ["__slug", "page_id"], "left").join(names.withColumnRenamed("section", "__slug"), "__slug", "left")
-    covered = F.coalesce("__a", "__b", F.array().cast("array<string>"))
-    known = F.filter(covered, lambda c: F.map_contains_key(F.coalesce("__names", F.create_map().cast("map<string,string>")), c))
-    return met.withColumn("procedures_covered", covered).withColumn("procedures_names", F.transform(known, lambda c: F.col("__names")[c])).select(*pages.columns, "procedures_covered", "procedures_names")
+    one = listed.select(F.col("section").alias("__slug"), F.col("page").alias("__norm"), F.col("listed").alias("__a"))
+    two = listed.select(F.col("section").alias("__slug"), F.col("page").alias("page_id"), F.col("listed").alias("__b"))
+    met = keyed.join(one, ["__slug", "__norm"], "left").join(two, ["__slug", "page_id"], "left").withColumn("__c", F.coalesce("__a", "__b"))
+    of = lambda name: F.coalesce(F.transform("__c", lambda c: c[name]), F.array().cast("array<string>"))
+    return met.withColumn("procedures_covered", of("code")).withColumn("procedures_names", of("name")).select(*pages.columns, "procedures_covered", "procedures_names")
 
 
 def last_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
