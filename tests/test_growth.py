@@ -1,7 +1,9 @@
 """What must not grow faster than its input: results on awkward shapes, and the plans or pieces of work behind them."""
 
 
-from winnow.operators import index
+import random
+
+from winnow.operators import index, similarity
 
 
 def plan(df) -> str:
@@ -16,3 +18,18 @@ def test_names_travel_with_their_codes(spark):
     got = {r["page_id"]: (r["procedures_covered"], r["procedures_names"]) for r in met.collect()}
     assert got == {"21-01": (["a", "b"], ["A", None]), "x": (["a", "b"], ["Other", None]), "y": ([], [])}
     assert "map" not in plan(met).lower().replace("mappartitions", "")
+
+
+def test_jaccard_pairs_join_prefixes_alone(spark):
+    """Against brute force; whole sets are met only by pairs whose prefixes share enough, and sets with a frequent item aren't met for it."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    sets = [["all", *rng.sample(words, rng.randint(1, 60))] for _ in range(150)]
+    sets += [[*rng.sample(s, max(1, len(s) - rng.randint(0, 6))), f"x{i}"] for i, s in enumerate(sets)] + [["all"], ["all", "w1", "w2", "w3"], ["all", "w1", "w2", "w3", "w4"]]
+    rows = [(i, i % 2, s) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "id int, s int, words array<string>")
+    for t in (0.05, 0.5, 0.8, 1.0):
+        want = {(i, j): round(len(set(a) & set(b)) / len(set(a) | set(b)), 9) for i, p, a in rows for j, q, b in rows if i < j and p == q and len(set(a) & set(b)) / len(set(a) | set(b)) >= t}
+        pairs = similarity.jaccard_pairs(table, t, ("s",))
+        assert {(r["a"], r["b"]): round(r["similarity"], 9) for r in pairs.collect()} == want
+    assert "rest" in plan(pairs)
