@@ -3,6 +3,8 @@
 
 import random
 
+import numpy as np
+
 from winnow.operators import index, similarity
 
 
@@ -33,3 +35,27 @@ def test_jaccard_pairs_join_prefixes_alone(spark):
         pairs = similarity.jaccard_pairs(table, t, ("s",))
         assert {(r["a"], r["b"]): round(r["similarity"], 9) for r in pairs.collect()} == want
     assert "rest" in plan(pairs)
+
+
+def test_leaders_without_pairs(spark, monkeypatch):
+    """Against one row after the other, with scopes, ties, nulls and zero vectors, over several rounds; no pair is listed."""
+    monkeypatch.setattr(similarity, "TURN", 7)
+    monkeypatch.setattr(similarity, "HELD", 9)
+    monkeypatch.setattr(similarity, "cosine_pairs", None)
+    r = np.random.default_rng(8)
+    rows = [(i, "ab"[i % 2], int(r.integers(0, 40)), [0.0] * 3 if i % 50 == 7 else r.normal(size=3).tolist()) for i in range(120)] + [(900, "a", 1, None), (901, None, 1, [1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "id bigint, page string, ord int, embedding array<double>")
+    for scope in ((), ("page",)):
+        want, chosen = {900: (900, 1.0)} | ({901: (901, 1.0)} if scope else {}), []
+        for i, p, _, v in sorted(rows, key=lambda x: (x[2], x[0])):
+            if i in want:
+                continue
+            cos = lambda w: float(np.dot(v, w) / ((np.linalg.norm(v) or 1) * (np.linalg.norm(w) or 1)))  # noqa: E731, B023
+            want[i] = next(((j, cos(w)) for j, q, w in chosen if (not scope or p == q) and cos(w) >= 0.8), (i, 1.0))
+            if want[i][0] == i:
+                chosen.append((i, p, v))
+        got = {x["id"]: (x["leader"], x["similarity"]) for x in similarity.leaders(table, 0.8, scope).collect()}
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+    assert {(x["id"], x["leader"]) for x in similarity.leaders(table, 1.1).collect()} == {(x[0], x[0]) for x in rows}
+    assert similarity.leaders(table.limit(0), 0.8).count() == 0

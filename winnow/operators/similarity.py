@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .order import with_rank
 
 #: Rows of a block of the blocked vector join.
 BLOCK = 2048
@@ -200,12 +202,108 @@ def leaders(vectors: DataFrame, threshold: float, scope: tuple[str, ...] = (), r
     """(id, ord, leader, similarity): greedy leader clustering of (id, ord, embedding) by cosine, in the order of ord.
 
     A row becomes a leader unless an earlier leader of its scope is near it; the earliest such
-    leader claims it. A leader's own similarity is 1. See lead. All near pairs are found, or with a
-    recall those of candidate_pairs.
+    leader claims it. A leader's own similarity is 1. Rows of equal ord are taken by id; rows with a
+    null id, vector or scope are near no other. With a recall the near pairs are those of
+    candidate_pairs, see lead. Without one rows are compared with leaders alone, and pairs are never
+    listed: the first open rows of each scope are walked through in turn, then all open rows are
+    held against the leaders found there, in blocks; what none of them claims goes on to the next
+    round. A task holds at most TURN rows and leaders, or a little more.
     """
-    every = vectors.select(*scope, "id", "embedding")
-    near = cosine_pairs(every, threshold, scope=scope) if recall is None else candidate_pairs(every, threshold, recall=recall, scope=scope)
-    return lead(vectors.select("id", "ord"), near.select("a", "b", "similarity"))
+    if recall is not None:
+        near = candidate_pairs(vectors.select(*scope, "id", "embedding"), threshold, recall=recall, scope=scope)
+        return lead(vectors.select("id", "ord"), near.select("a", "b", "similarity"))
+    alone = lambda rows: rows.select("id", "ord", F.col("id").alias("leader"), F.lit(1.0).alias("similarity"))
+    if threshold > 1 + 1e-9:  # no cosine reaches it
+        return alone(vectors)
+    able = F.lit(True)
+    for c in (*scope, "id", "embedding"):
+        able &= F.col(c).isNotNull()
+    named = [f"__s{i}" for i in range(len(scope))] or ["__s"]
+    rows = vectors.filter(able).select(*([F.col(c).alias(n) for c, n in zip(scope, named, strict=False)] or [F.lit(0).alias("__s")]), "id", "ord", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    ranked = with_rank(rows, ["ord", "id"], "pos")
+    open_ = ranked.select(*named, "v", "pos")
+    kinds = {c.name: c.dataType.simpleString() for c in open_.schema}
+    of_rows = ", ".join(f"{c} {kinds[c]}" for c in open_.columns)
+    claims = []
+    while True:
+        sizes = durable(_first_rows(open_, named))
+        sized = open_.join(sizes, named)
+        new = durable(sized.filter("pos <= cut").select(*open_.columns).groupBy(*named).applyInArrow(lambda t: _walked(t, threshold), of_rows))
+        dealt = sized.withColumn("x", F.pmod(F.xxhash64("pos"), F.col("blocks")).cast("int")).select(*open_.columns, "x")
+        sent = new.join(sizes, named).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*named, F.col("v").alias("w"), F.col("pos").alias("lpos"), "x")
+        met = durable(dealt.groupBy(*named, "x").cogroup(sent.groupBy(*named, "x")).applyInArrow(lambda r, l: _claimed(r, l, threshold, named), f"{of_rows}, lpos bigint, similarity double"))
+        claims.append(met.filter("similarity is not null").select("pos", "lpos", "similarity"))
+        open_ = met.filter("similarity is null").select(*open_.columns)
+        if open_.isEmpty():
+            break
+    told = reduce(DataFrame.unionByName, claims).join(ranked.select("pos", "id", "ord"), "pos").join(ranked.select(F.col("pos").alias("lpos"), F.col("id").alias("leader")), "lpos")
+    return alone(vectors.filter(~able)).unionByName(told.select("id", "ord", "leader", "similarity"))
+
+
+#: Rows of a scope that one task walks through in turn, and of a block that is held against leaders.
+TURN, HELD = 8192, 4096
+#: Rows that are multiplied at a time.
+STEP = 512
+
+
+def _first_rows(open_: DataFrame, named: list[str]) -> DataFrame:
+    """For each scope the position up to which about TURN rows are open, and how many blocks its open rows make."""
+    n = open_.groupBy(*named).agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("least"), F.max("pos").alias("most"), F.percentile_approx("pos", [k / 1000 for k in range(1, 1001)], 10000).alias("p"))
+    share = F.floor(F.lit(1000.0 * TURN) / F.col("n")).cast("int")
+    cut = F.when(F.col("n") <= TURN, F.col("most")).when(share >= 1, F.element_at("p", F.greatest(F.lit(1), F.least(F.lit(1000), share)))).otherwise(F.least(F.element_at("p", F.lit(1)), F.col("least") + TURN - 1))
+    return n.select(*named, cut.alias("cut"), F.ceil(F.col("n") / HELD).cast("int").alias("blocks"))
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, divided by their lengths; a zero vector stays."""
+    lists = column.combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    n = np.diff(lists.offsets.to_numpy())
+    if len(n) and (n != n[0]).any():
+        raise ValueError("vectors of one scope must be of one length")
+    m = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(n), -1)
+    size = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return m / np.where(size == 0, 1.0, size)
+
+
+def _walked(t: pa.Table, threshold: float) -> pa.Table:
+    """The leaders among rows, one row after the other."""
+    t = t.sort_by("pos")
+    m = _matrix(t.column("v"))
+    chosen: list[int] = []
+    for at in range(0, len(m), STEP):
+        some = m[at : at + STEP]
+        free = ~((some @ m[chosen].T >= threshold).any(axis=1)) if chosen else np.ones(len(some), dtype=bool)
+        near = some @ some.T >= threshold
+        own: list[int] = []
+        for i in np.flatnonzero(free).tolist():
+            if not near[i, own].any():
+                own.append(i)
+        chosen += [at + i for i in own]
+    return t.take(pa.array(chosen, pa.int64()))
+
+
+def _claimed(rows: pa.Table, leaders: pa.Table, threshold: float, named: list[str]) -> pa.Table:
+    """rows with the earliest leader before them that is near, and its cosine: nulls for a row that has none. A leader claims itself."""
+    leaders = leaders.sort_by("lpos")
+    pos, lpos = rows.column("pos").to_numpy(), leaders.column("lpos").to_numpy()
+    who, how = np.full(len(pos), -1), np.zeros(len(pos))
+    if len(pos) and len(lpos):
+        m, w = _matrix(rows.column("v")), _matrix(leaders.column("w"))
+        at = np.minimum(np.searchsorted(lpos, pos), len(lpos) - 1)
+        own = lpos[at] == pos
+        who[own], how[own] = at[own], 1.0
+        for k in range(0, len(lpos), STEP):
+            left = np.flatnonzero(who < 0)
+            s = m[left] @ w[k : k + STEP].T
+            good = (s >= threshold) & (lpos[None, k : k + STEP] < pos[left, None])
+            first = good.argmax(axis=1)
+            hit = good[np.arange(len(left)), first]
+            who[left[hit]], how[left[hit]] = k + first[hit], s[hit, first[hit]]
+    none = who < 0
+    claimed = leaders.column("lpos").take(pa.array(who, pa.int64(), mask=none))
+    kept = rows.column("v").take(pa.array(np.arange(len(pos)), pa.int64(), mask=~none))  # a claimed row needs its vector no more
+    return rows.select(named).append_column("v", kept).append_column("pos", rows.column("pos")).append_column("lpos", claimed).append_column("similarity", pa.array(how, pa.float64(), mask=none))
 
 
 def _in_turn(edges: pa.Table) -> pa.Table:
