@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 
-from winnow.operators import index, similarity
+from pyspark.sql.classic.dataframe import DataFrame
+
+from winnow.operators import crawl, index, rules, similarity
 
 
 def plan(df) -> str:
@@ -34,7 +36,7 @@ def test_jaccard_pairs_join_prefixes_alone(spark):
         want = {(i, j): round(len(set(a) & set(b)) / len(set(a) | set(b)), 9) for i, p, a in rows for j, q, b in rows if i < j and p == q and len(set(a) & set(b)) / len(set(a) | set(b)) >= t}
         pairs = similarity.jaccard_pairs(table, t, ("s",))
         assert {(r["a"], r["b"]): round(r["similarity"], 9) for r in pairs.collect()} == want
-    assert "rest" in plan(pairs)
+    assert "__rest" in plan(pairs)
 
 
 def test_leaders_without_pairs(spark, monkeypatch):
@@ -59,3 +61,29 @@ def test_leaders_without_pairs(spark, monkeypatch):
         assert all(abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
     assert {(x["id"], x["leader"]) for x in similarity.leaders(table, 1.1).collect()} == {(x[0], x[0]) for x in rows}
     assert similarity.leaders(table.limit(0), 0.8).count() == 0
+
+
+def test_equal_questions_are_compared_once(spark, monkeypatch):
+    """A page of few different questions is folded however many rows it has; later ones are like what the first is like."""
+    monkeypatch.setattr(rules, "diverse_by_pairs", None)
+    asked = ["a b c d", "b a d c", "a b c e", "A b c d?", None, "", "x y", None, "y x"]
+    table = spark.createDataFrame([(p, n, f"{p}-{n}", q) for p in ("p", None) for n, q in enumerate(asked * 30)], "page_id string, pair_ord int, qa_id string, question string")
+    got, want = ({(x["page_id"], x["pair_ord"], x["similar_to"], x["similarity"]) for x in f.collect()} for f in (rules.diverse_any(table, threshold=0.6, folded=20), rules.diverse(table, threshold=0.6)))
+    assert got == want and len(got) == 2 * 30 * len(asked)
+
+
+def test_scopes_of_any_name(spark):
+    sets = spark.createDataFrame([(1, 5, ["a", "b"]), (2, 5, ["a", "b", "c"]), (3, 6, ["a", "b", "d"])], "id int, p int, words array<string>")
+    assert [tuple(x)[:3] for x in similarity.jaccard_pairs(sets, 0.6, ("p",)).collect()] == [(5, 1, 2)]
+
+
+def test_levels_of_forums_stay_off_the_driver(spark):
+    ids = []
+    join = DataFrame.join
+    try:
+        DataFrame.join = lambda self, *a: ids.append(plan(out := join(self, *a))) or out
+        got = crawl.flatten_forums(spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "d")], "forum_id string, parent_id string"))
+    finally:
+        DataFrame.join = join
+    assert {tuple(x) for x in got.select("forum_id", "depth").collect()} == {("a", 0), ("b", 1), ("c", 2), ("d", None)}
+    assert ids and not any("BroadcastHashJoin" in p for p in ids)

@@ -14,17 +14,18 @@ def flatten_forums(forums: DataFrame) -> DataFrame:
 
     Rows that no top leads to (in a cycle, or below a forum that isn't there) stay, with null depth
     and root_id. One join a level, against the level above; levels are written to the shared folder.
+    Levels are joined by sorting, since a broadcast would send each of them through the driver.
     """
     level = durable(forums.filter("parent_id is null").withColumn("depth", F.lit(0)).withColumn("root_id", F.col("forum_id")))
     out, rest, d = level, durable(forums.filter("parent_id is not null")), 0
     while True:
         d += 1
-        up = level.groupBy(F.col("forum_id").alias("parent_id")).agg(F.min("root_id").alias("root_id"))
+        up = level.groupBy(F.col("forum_id").alias("parent_id")).agg(F.min("root_id").alias("root_id")).hint("merge")
         level = durable(rest.join(up, "parent_id").withColumn("depth", F.lit(d)).select(*out.columns))
         if level.isEmpty():
             return out.unionByName(rest.withColumns({"depth": F.lit(None).cast("int"), "root_id": F.lit(None).cast(out.schema["root_id"].dataType)}))
         out = out.unionByName(level)
-        rest = durable(rest.join(up.select("parent_id"), "parent_id", "left_anti").select(*forums.columns))
+        rest = durable(rest.join(up.select("parent_id").hint("merge"), "parent_id", "left_anti").select(*forums.columns))
 
 
 def forum_urls(ids: DataFrame, forums: DataFrame, base_url: str) -> DataFrame:
