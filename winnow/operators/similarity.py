@@ -130,12 +130,12 @@ def jaccard_pairs(sets: DataFrame, threshold: float, scope: tuple[str, ...] = ()
     rows = _keyed(sets, scope, id_col, items).groupBy(*scope, "__h", "__k", "__n").agg(F.min("id").alias("id"), F.first("items").alias("items")).drop("__h", "__k", "__n")
     tokens = _prefixes(rows.select(*scope, "id", F.transform("items", lambda x: F.xxhash64(x)).alias("h")), _rarity(sets.select(items), items), threshold, scope)
     like = F.floor(F.log(F.col("n").cast("double")) / F.lit(1e-6 - math.log(max(threshold, 1e-9)))).cast("int")  # of two sets that reach the threshold the larger is in the smaller one's class or the next
-    left = tokens.select(*scope, "item", like.alias("class"), *[F.col(c).alias(f"{c}a") for c in ("id", "n", "p", "last")])
-    right = tokens.select(*scope, "item", F.explode(F.array(like, like - 1)).alias("class"), *[F.col(c).alias(f"{c}b") for c in ("id", "n", "p", "last")])
+    left = tokens.select(*scope, "item", like.alias("__class"), *[F.col(c).alias(f"{c}a") for c in ("id", "n", "__p", "__last")])
+    right = tokens.select(*scope, "item", F.explode(F.array(like, like - 1)).alias("__class"), *[F.col(c).alias(f"{c}b") for c in ("id", "n", "__p", "__last")])
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") < F.col("idb")))
-    met = left.join(right, [*scope, "item", "class"]).filter(ordered & (F.col("na") >= F.col("nb") * threshold - 1e-9))
-    shared = met.groupBy(*scope, "ida", "idb").agg(F.count(F.lit(1)).alias("c"), F.first(F.when(F.col("lasta") <= F.col("lastb"), F.col("na") - F.col("pa")).otherwise(F.col("nb") - F.col("pb"))).alias("rest"), F.first(F.col("na") + F.col("nb")).alias("n"))
-    able = shared.filter(F.col("c") + F.col("rest") >= F.col("n") * F.lit(threshold / (1 + threshold)) - 1e-6).select(*scope, F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
+    met = left.join(right, [*scope, "item", "__class"]).filter(ordered & (F.col("na") >= F.col("nb") * threshold - 1e-9))
+    shared = met.groupBy(*scope, "ida", "idb").agg(F.count(F.lit(1)).alias("__c"), F.first(F.when(F.col("__lasta") <= F.col("__lastb"), F.col("na") - F.col("__pa")).otherwise(F.col("nb") - F.col("__pb"))).alias("__rest"), F.first(F.col("na") + F.col("nb")).alias("__n"))
+    able = shared.filter(F.col("__c") + F.col("__rest") >= F.col("__n") * F.lit(threshold / (1 + threshold)) - 1e-6).select(*scope, F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
     whole = able.join(rows.toDF(*scope, "a", "__x"), [*scope, "a"]).join(rows.toDF(*scope, "b", "__y"), [*scope, "b"])
     both = F.size(F.array_intersect("__x", "__y"))
     s = both / (F.size("__x") + F.size("__y") - both)
@@ -161,7 +161,7 @@ def _rarity(sets: DataFrame, items: str) -> np.ndarray:
 
 
 def _prefixes(hashed: DataFrame, rarity: np.ndarray, threshold: float, scope: tuple[str, ...]) -> DataFrame:
-    """(scope, id, n, p, last, item): the first p of a set's n items, and the last of them in the order. hashed has (scope, id, h)."""
+    """(scope, id, n, __p, __last, item): the first __p of a set's n items, and the last of them in the order. hashed has (scope, id, h)."""
     order = hashed.sparkSession.sparkContext.broadcast(rarity)
     kinds = [*[f"`{c}` {hashed.schema[c].dataType.simpleString()}" for c in scope], f"id {hashed.schema['id'].dataType.simpleString()}"]
 
@@ -179,9 +179,9 @@ def _prefixes(hashed: DataFrame, rarity: np.ndarray, threshold: float, scope: tu
             start = np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n
             kept = np.arange(len(key)) - start[row] < p[row]
             at = pa.array(row[kept])
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in (*scope, "id")), pa.array(n[row[kept]], pa.int32()), pa.array(p[row[kept]], pa.int32()), pa.array(key[start + p - 1][row[kept]], pa.int64()), pa.array(key[kept], pa.int64())], names=[*scope, "id", "n", "p", "last", "item"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in (*scope, "id")), pa.array(n[row[kept]], pa.int32()), pa.array(p[row[kept]], pa.int32()), pa.array(key[start + p - 1][row[kept]], pa.int64()), pa.array(key[kept], pa.int64())], names=[*scope, "id", "n", "__p", "__last", "item"])
 
-    return hashed.mapInArrow(cut, ", ".join([*kinds, "n int, p int, last bigint, item bigint"]))
+    return hashed.mapInArrow(cut, ", ".join([*kinds, "n int, __p int, __last bigint, item bigint"]))
 
 
 def _keyed(sets: DataFrame, scope: tuple[str, ...], id_col: str, items: str) -> DataFrame:
