@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import matches_glob
 from ..functions.text import as_col, first_phrase, jaccard, strip, stripped_length, word_set
+from ..session import durable
 from .similarity import jaccard_pairs, lead
 
 #: Phrases and question types of the standard configuration, in order.
@@ -115,13 +116,28 @@ def diverse_by_pairs(rows: DataFrame, page: str = "page_id", order: str = "pair_
 
 
 def diverse_any(rows: DataFrame, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id", question: str = "question", threshold: float = 0.80, folded: int = FOLDED) -> DataFrame:
-    """What diverse returns: pages of at most `folded` questions in one fold each, larger ones by pairs. Both ways give the same rows."""
-    sizes = rows.groupBy(F.col(page).alias("__page")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > folded)
+    """What diverse returns: pages of at most `folded` different questions in one fold each, larger ones by pairs. Both ways give the same rows.
+
+    Questions of a page with one set of words fare as the first of them does: they are like it if it
+    stays, and else like what it is like. So only those first ones are compared.
+    """
+    words = F.array_sort(word_set(F.coalesce(F.col(question), F.lit(""))))
+    some = F.size("__w") > 0  # a question without words is like no other
+    keyed = rows.withColumn("__w", words).withColumns({"__h": F.when(some, F.xxhash64("__w")), "__k": F.when(some, F.xxhash64("__w", F.lit(1)))}).drop("__w")
+    own = F.struct(*[F.col(c).alias(n) for c, n in ((order, "o"), (qa_id, "i"), (question, "q"))])
+    least = keyed.filter("__h is not null").groupBy(F.col(page).alias("p"), "__h", "__k").agg(F.min_by(own, order).alias("f"))
+    firsts = durable(least.select("p", "__h", "__k", "f.o", "f.i", "f.q"))
+    sizes = firsts.groupBy(F.col("p").alias("__page")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > folded)
+    names = ("p", "o", "i", "q", threshold)
     if sizes.isEmpty():
-        return diverse(rows, page, order, qa_id, question, threshold)
-    same = F.col(page).eqNullSafe(F.col("__page"))
-    large = diverse_by_pairs(rows.join(sizes, same, "left_semi"), page, order, qa_id, question, threshold)
-    return diverse(rows.join(sizes, same, "left_anti"), page, order, qa_id, question, threshold).unionByName(large)
+        marked = diverse(firsts, *names)
+    else:
+        same = F.col("p").eqNullSafe(F.col("__page"))
+        marked = diverse(firsts.join(sizes, same, "left_anti"), *names).unionByName(diverse_by_pairs(firsts.join(sizes, same, "left_semi"), *names))
+    marks = marked.select(F.col("p").alias("__p"), F.col("__h").alias("__fh"), F.col("__k").alias("__fk"), F.col("o").alias("__o"), F.col("i").cast("string").alias("__i"), F.col("similar_to").alias("__to"), F.col("similarity").alias("__like"))
+    met = keyed.join(marks, (F.col("__h") == F.col("__fh")) & (F.col("__k") == F.col("__fk")) & F.col(page).eqNullSafe(F.col("__p")), "left")
+    later = F.col(order) > F.col("__o")
+    return met.select(*rows.columns, F.coalesce("__to", F.when(later, F.col("__i"))).alias("similar_to"), F.when(F.col("__to").isNotNull(), F.col("__like")).when(later, F.lit(1.0)).alias("similarity"))
 
 
 def apply_rules(rows: DataFrame, rules: Rules | None = None, page: str = "page_id", order: str = "pair_ord", qa_id: str = "qa_id") -> DataFrame:
