@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, exact_dedup, fingerprint, jaccard, licenses, packing, pii, quality, toxicity
-from .common import fold_of, table
+from .common import fold_of, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,7 +107,7 @@ def packed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec.value
-        for b in batches:
+        for b in small_batches(batches, "parts"):
             texts = [c.decode(np.frombuffer(b"".join(parts), dtype="<u4")[:-1].tolist()) for parts in b.column("parts").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([hashlib.sha256(t).hexdigest() for t in texts])], names=["doc_id", "text_sha256"])
 
