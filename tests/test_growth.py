@@ -2,12 +2,14 @@
 
 
 import random
+import re
 
 import numpy as np
 
 from pyspark.sql.classic.dataframe import DataFrame
 
-from winnow.operators import crawl, index, rules, similarity
+from winnow.functions.dom import parse
+from winnow.operators import crawl, html, index, rules, similarity
 
 
 def plan(df) -> str:
@@ -87,3 +89,34 @@ def test_levels_of_forums_stay_off_the_driver(spark):
         DataFrame.join = join
     assert {tuple(x) for x in got.select("forum_id", "depth").collect()} == {("a", 0), ("b", 1), ("c", 2), ("d", None)}
     assert ids and not any("BroadcastHashJoin" in p for p in ids)
+
+
+def test_boxes_are_read_one_by_one(monkeypatch):
+    """Against whole trees, on broken and nested markup too; what is remembered holds for any digits, and no row waits for the end of its page."""
+    monkeypatch.setattr(html, "TRIES", 10**9)
+    rng = random.Random(3)
+    bits = ["<div class='b-post'>", '<div class="b-post" id="post_12">', '<div class="b-post" data-post-id="7" title="5>4">', "</div>", "</div>", "</div>", '<a class="username" href="/members/31-u">Ann 31 &amp; Co</a>', "<a href='/threads/9-x'>T9</a>", '<a href="/threads/10-x?p=2&amp;q=3">T10', "</a>", "<time>Jan 5, 2001</time>", '<img src="/i/77.jpg">', "<br/>", "<div/>", "<p>", "</p>", '<section class="author">', "</section>", "&#65;&#66", "&frac12; 12% {0}", "<h1>1</h2></h1>", "<!-- 3 <div class='b-post'> -->", "<script>if (1<2) '</div>'</script>", "<", "5 < 6", "\x00", "\U000f0000", "é٣", '<div class="author b-post"><blockquote>Q 5</blockquote></div>', '<DIV class="b-post">4</DIV>', "<td", '<b class="x', "<li class='topic-item'>"]
+    part, boxes = html.Part, html.Boxes
+    inner = {"by": part(".author a, .username"), "body": part("blockquote, p", markup=True), "images": part("img", every=True), "quotes": part("blockquote", inside="body", every=True)}
+    read = [("", "text"), ("", "markup"), ("", "@id"), ("", "@data-post-id"), ("by", "text"), ("by", "@href"), ("body", "markup"), ("images", "@src"), ("images", "@alt"), ("quotes", "text"), None]
+    remembered = 0
+    for wanted in ({"posts": boxes(".b-post, [data-post-id], .author div", inner), "links": boxes("a[href*='/threads/']")}, {"page": boxes("", inner)}):
+        values = {k: read if k != "links" else [("", "text"), ("", "@href"), *[None] * 9] for k in wanted}
+        got: list = []
+        reader = html._Reader(wanted, values, got.extend)
+        for _ in range(1500):
+            page = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+            for text in (page, re.sub("[0-9]", lambda m: str(rng.randint(0, 9)), page), None):
+                root, want = parse(text), []
+                for kind, w in wanted.items():
+                    want += [(kind, reader.row(n, w.parts, values[kind])) for n in (root.all(w.selector) if w.selector else [root])]
+                got.clear()
+                reader.read(text)
+                assert sorted(got, key=lambda x: x[0]) == sorted(want, key=lambda x: x[0]), text
+        remembered += sum(isinstance(x, html._Layout) for x in reader.known.values())
+    assert remembered > 100
+    got.clear()
+    sizes = []
+    reader = html._Reader({"links": boxes("a[href]")}, {"links": [("", "text")]}, lambda rows: sizes.append(len(rows)))
+    reader.read("".join(f"<p><a href='{i}'>x{i}</a></p><a href=\"{i}\">x</a>" for i in range(500)))
+    assert sizes == [1] * 1000 and not reader.root.children

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import web
 from ..functions.text import let
-from .html import Boxes, Part, attr, elements_of, part, parts, text_of
+from .html import Boxes, Part, attr, boxes_of, elements_of, part, parts, text_of
 
 #: Selectors.
 FORUM_LINK = "a[href*='/forum/'], a[href*='/forums/'], .b-channel__title a, .forum-title a"
@@ -91,22 +91,20 @@ def threads_of(pages: DataFrame, base_url: str, html: str = "html", forum_id: st
 def posts_of(pages: DataFrame, base_url: str, html: str = "html", thread_id: str = "thread_id", keep: list[str] = ()) -> DataFrame:
     """Posts of thread pages, numbered from 1."""
     box = {"anchor": Part(POST_ANCHOR), "by": Part(POST_AUTHOR), "body": Part(POST_CONTENT, markup=True), "time": Part(POST_TIME), "images": Part("img", inside="body", every=True), "quotes": Part(QUOTE, inside="body", every=True)}
-    found = elements_of(pages.withColumn("__thread", F.col(thread_id)), {"posts": Boxes(POST_BOX, box)}, html, [*keep, "__thread"])
-    bare = lambda e: F.replace(F.replace(attr(e, "id"), F.lit("post_"), F.lit("")), F.lit("post"), F.lit(""))
-    some = lambda *options: F.coalesce(*[F.when(o != "", o) for o in options], F.lit(""))
-
-    def post(b: Column, n: Column) -> Column:
-        by, body, when = part(b, "by"), part(b, "body"), part(b, "time")
-        sources = F.transform(parts(b, "images"), lambda e: some(attr(e, "src"), attr(e, "data-src")))
-        shown = F.filter(sources, lambda u: (u != "") & ~web.is_symbol(u))
-        return F.struct(
-            some(attr(b["own"], "data-post-id"), bare(b["own"]), bare(part(b, "anchor")), F.concat_ws("_", "__thread", n)).alias("post_id"), F.col("__thread").alias("thread_id"),
-            text_of(by).alias("author"), web.id_from_url(attr(by, "href")).alias("author_id"), F.coalesce(body["markup"], F.lit("")).alias("content_html"), text_of(body).alias("content_text"),
-            some(attr(when, "datetime"), attr(when, "title"), web.parse_date(text_of(when))).alias("created_at"), (n + 1).alias("post_number"), (n == 0).alias("is_first_post"),
-            F.transform(shown, lambda u: web.resolve_url(u, base_url)).alias("images"), F.filter(F.transform(parts(b, "quotes"), lambda e: F.substring(e["text"], 1, QUOTE_CHARS)), lambda q: q != "").alias("quotes"),
-        )
-
-    return found.select(*keep, F.inline(F.transform("posts", post)))
+    values = {"own_id": ("", "@data-post-id"), "box_id": ("", "@id"), "anchor_id": ("anchor", "@id"), "by": ("by", "text"), "by_href": ("by", "@href"), "markup": ("body", "markup"), "body": ("body", "text")}
+    values |= {"datetime": ("time", "@datetime"), "title": ("time", "@title"), "when": ("time", "text"), "src": ("images", "@src"), "data_src": ("images", "@data-src"), "quoted": ("quotes", "text")}
+    found = boxes_of(pages.withColumn("__thread", F.col(thread_id)), {"posts": Boxes(POST_BOX, box)}, {"posts": {f"__{k}": v for k, v in values.items()}}, html, [*keep, "__thread"])
+    bare = lambda c: F.replace(F.replace(c, F.lit("post_"), F.lit("")), F.lit("post"), F.lit(""))
+    some = lambda *options: F.coalesce(*[F.nullif(o, F.lit("")) for o in options], F.lit(""))
+    sources = F.zip_with("__src", "__data_src", lambda a, b: some(a, b))
+    shown = F.filter(sources, lambda u: (u != "") & ~web.is_symbol(u))
+    said = F.coalesce(F.nullif("__datetime", F.lit("")), F.nullif("__title", F.lit("")))
+    return found.select(
+        *keep, some("__own_id", bare("__box_id"), bare("__anchor_id"), F.concat_ws("_", "__thread", "__n")).alias("post_id"), F.col("__thread").alias("thread_id"),
+        F.coalesce("__by", F.lit("")).alias("author"), web.id_from_url(F.coalesce("__by_href", F.lit(""))).alias("author_id"), F.coalesce("__markup", F.lit("")).alias("content_html"), F.coalesce("__body", F.lit("")).alias("content_text"),
+        F.when(said.isNotNull(), said).otherwise(web.parse_date(F.coalesce("__when", F.lit("")))).alias("created_at"), (F.col("__n") + 1).alias("post_number"), (F.col("__n") == 0).alias("is_first_post"),
+        F.transform(shown, lambda u: web.resolve_url(u, base_url)).alias("images"), F.filter(F.transform("__quoted", lambda q: F.substring(q, 1, QUOTE_CHARS)), lambda q: q != "").alias("quotes"),
+    )
 
 
 def pagination_of(pages: DataFrame, base_url: str, html: str = "html", keep: list[str] = ()) -> DataFrame:
