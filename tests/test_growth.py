@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql.classic.dataframe import DataFrame
 
 from winnow.functions.dom import parse
-from winnow.operators import crawl, html, index, rules, similarity
+from winnow.operators import crawl, forum, html, index, rules, similarity
 
 
 def plan(df) -> str:
@@ -120,3 +120,16 @@ def test_boxes_are_read_one_by_one(monkeypatch):
     reader = html._Reader({"links": boxes("a[href]")}, {"links": [("", "text")]}, lambda rows: sizes.append(len(rows)))
     reader.read("".join(f"<p><a href='{i}'>x{i}</a></p><a href=\"{i}\">x</a>" for i in range(500)))
     assert sizes == [1] * 1000 and not reader.root.children
+
+
+def test_threads_of_a_page_are_rows(spark, monkeypatch):
+    """No page's boxes lie in one row; boxes count where one names a thread, else each thread's first link; equal pages stay two."""
+    monkeypatch.setattr(forum, "elements_of", None)
+    link = lambda i, t: f'<a href="/threads/{i}-x">{t}</a>'
+    boxes = "".join(f'<li class="topic-item">{link(i, f"Thread {i}")}</li>' for i in range(2500))
+    plain = link(1, "abc") + link(2, "First") + link(1, "Later") + link(2, "Second") + "<p>" + link(3, "Third")
+    untitled = f'<li class="topic-item">{link(7, " ")}</li>' + link(8, "Eight")
+    pages = spark.createDataFrame([("a", boxes + link(9999, "Not listed")), ("b", plain), ("b", plain), ("c", untitled), ("d", None)], "forum_id string, html string")
+    found = forum.threads_of(pages, "https://x.org")
+    got = sorted((x["forum_id"], x["thread_id"], x["title"]) for x in found.collect())
+    assert got == sorted([("a", str(i), f"Thread {i}") for i in range(2500)] + [("b", "2", "First"), ("b", "3", "Third")] * 2 + [("c", "8", "Eight")])

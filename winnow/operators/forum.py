@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import web
@@ -22,6 +22,7 @@ DESCRIPTION = ".forum-desc, .b-channel__description, [class*='description']"
 SUBFORUM_LINK = ".b-channel__title a, .subforum-item a, [class*='subforum'] a, .child-forum a"
 THREAD_BOX = ".b-post, .thread-item, [class*='threadbit'], tr[id*='thread'], li[class*='thread'], .topic-item"
 THREAD_LINK = "a[href*='/threads/'], .thread-title a, .b-post__title a, [class*='title'] a, a.topic-title, a.js-topic-title"
+PLAIN_LINK = "a[href*='/threads/']"
 THREAD_AUTHOR = ".b-post__author a, .author a, [class*='starter'] a, .username, [class*='author']"
 THREAD_STATS = "[class*='count'], [class*='stats'], .b-post__stats span"
 POST_BOX = ".b-post, [class*='postbit'], [id*='post_'], .message-container, [data-post-id], article[class*='post']"
@@ -66,26 +67,27 @@ def subforums_of(pages: DataFrame, base_url: str, html: str = "html", forum_id:
 def threads_of(pages: DataFrame, base_url: str, html: str = "html", forum_id: str = "forum_id", keep: list[str] = ()) -> DataFrame:
     """Threads of forum pages: those of the listing's boxes; on a page without any, its plain links to threads."""
     box = {"link": Part(THREAD_LINK), "by": Part(THREAD_AUTHOR), "stats": Part(THREAD_STATS, every=True)}
-    found = elements_of(pages.withColumn("__forum", F.col(forum_id)), {"listing": Boxes(THREAD_BOX, box), "links": Boxes("a[href*='/threads/']")}, html, [*keep, "__forum"])
-
-    def thread(link: Column, by: Column, stats: Column, classes: Column) -> Column:
-        url = web.resolve_url(attr(link, "href"), base_url)
-        said = F.transform(stats, lambda s: F.lower(s["text"]))
-        replies = lambda t: t.contains("repl") | t.contains("post")
-        last = lambda test: web.parse_count(F.try_element_at(F.filter(said, test), F.lit(-1)))
-        has = lambda *words: F.coalesce(*[F.when(classes.contains(w), True) for w in words], F.lit(False))
-        return F.struct(
-            web.id_from_url(url).alias("thread_id"), text_of(link).alias("title"), url.alias("url"), F.col("__forum").alias("forum_id"),
-            text_of(by).alias("author"), web.id_from_url(attr(by, "href")).alias("author_id"),
-            last(replies).alias("reply_count"), last(lambda t: t.contains("view") & ~replies(t)).alias("view_count"),
-            has("sticky", "pinned").alias("is_sticky"), has("locked", "closed").alias("is_locked"),
-        )
-
-    nothing = F.get(F.array().cast("array<struct<text: string, attrs: map<string, string>, markup: string>>"), F.lit(0))
-    listed = F.filter(F.transform("listing", lambda b: thread(part(b, "link"), part(b, "by"), parts(b, "stats"), attr(b["own"], "class"))), lambda x: (x["thread_id"] != "") & (x["title"] != ""))
-    plain = F.filter(F.transform("links", lambda b: thread(b["own"], nothing, F.array(nothing), F.lit(""))), lambda x: x["thread_id"] != "")
-    linked = F.filter(firsts(plain, lambda x: x["thread_id"]), lambda x: F.length(x["title"]) > LINK_TITLE)
-    return found.select(*keep, F.inline(let(listed, lambda x: F.when(F.size(x) > 0, x).otherwise(linked))))
+    listing = {"__link": ("link", "@href"), "__title": ("link", "text"), "__by": ("by", "text"), "__by_href": ("by", "@href"), "__stats": ("stats", "text"), "__class": ("", "@class")}
+    paged = pages.withColumns({"__forum": F.col(forum_id), "__page": F.expr("uuid()")})
+    found = boxes_of(paged, {"listing": Boxes(THREAD_BOX, box), "links": Boxes(PLAIN_LINK)}, {"listing": listing, "links": {"__link": ("", "@href"), "__title": ("", "text")}}, html, [*keep, "__forum", "__page"])
+    given = lambda name: F.coalesce(f"__{name}", F.lit(""))
+    url = web.resolve_url(given("link"), base_url)
+    named = found.withColumns({"__url": url, "__id": web.id_from_url(url)}).filter((F.col("__id") != "") & ((F.col("__kind") == "links") | (F.col("__title") != "")))
+    # a page's boxes count where there are any; of its plain links each thread's first does
+    page = Window.partitionBy("__page")
+    first = F.row_number().over(Window.partitionBy("__page", "__id", "__kind").orderBy("__n")) == 1
+    listed = F.max(F.col("__kind") == "listing").over(page)
+    chosen = named.withColumns({"__listed": listed, "__first": first}).filter(((F.col("__kind") == "listing") == F.col("__listed")) & (F.col("__listed") | (F.col("__first") & (F.length(given("title")) > LINK_TITLE))))
+    said = F.transform(F.coalesce("__stats", F.array().cast("array<string>")), F.lower)
+    replies = lambda t: t.contains("repl") | t.contains("post")
+    last = lambda test: web.parse_count(F.try_element_at(F.filter(said, test), F.lit(-1)))
+    has = lambda *words: F.coalesce(*[F.when(given("class").contains(w), True) for w in words], F.lit(False))
+    return chosen.select(
+        *keep, F.col("__id").alias("thread_id"), given("title").alias("title"), F.col("__url").alias("url"), F.col("__forum").alias("forum_id"),
+        given("by").alias("author"), web.id_from_url(given("by_href")).alias("author_id"),
+        last(replies).alias("reply_count"), last(lambda t: t.contains("view") & ~replies(t)).alias("view_count"),
+        has("sticky", "pinned").alias("is_sticky"), has("locked", "closed").alias("is_locked"),
+    )
 
 
 def posts_of(pages: DataFrame, base_url: str, html: str = "html", thread_id: str = "thread_id", keep: list[str] = ()) -> DataFrame:
