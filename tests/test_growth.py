@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from winnow.functions.dom import parse
@@ -133,3 +134,11 @@ def test_threads_of_a_page_are_rows(spark, monkeypatch):
     found = forum.threads_of(pages, "https://x.org")
     got = sorted((x["forum_id"], x["thread_id"], x["title"]) for x in found.collect())
     assert got == sorted([("a", str(i), f"Thread {i}") for i in range(2500)] + [("b", "2", "First"), ("b", "3", "Third")] * 2 + [("c", "8", "Eight")])
+
+
+def test_pages_are_dealt_evenly(spark):
+    """Pages of one input partition are read by many tasks."""
+    pages = spark.range(0, 400, 1, 1).select("id", F.concat(F.lit("<div class='pagenav'><strong>"), "id", F.lit("</strong></div>")).alias("html"))
+    out = forum.pagination_of(pages, "https://x.org", keep=["id"])
+    assert {x["id"] for x in out.collect()} == {x["current_page"] for x in out.collect()} == set(range(400))
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 3

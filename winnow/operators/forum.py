@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import web
 from ..functions.text import let
-from .html import Boxes, Part, attr, boxes_of, elements_of, part, parts, text_of
+from .html import Boxes, Part, attr, boxes_of, elements_of, part, text_of
 
 #: Selectors.
 FORUM_LINK = "a[href*='/forum/'], a[href*='/forums/'], .b-channel__title a, .forum-title a"
@@ -113,13 +113,14 @@ def pagination_of(pages: DataFrame, base_url: str, html: str = "html", keep: lis
     """One row a page: its number, how many there are, its neighbours' addresses. Links of the page's head count before those of the visible pager."""
     whole = {"head_next": Part("link[rel='next']"), "head_prev": Part("link[rel='prev']"), "pager": Part(PAGER)}
     whole |= {name: Part(selector, inside="pager") for name, selector in (("input", PAGE_INPUT), ("current", CURRENT), ("total", TOTAL), ("last", LAST), ("next", NEXT), ("prev", PREVIOUS))}
-    found = elements_of(pages, {"page": Boxes("", whole | {"numbers": Part("a[href]", inside="pager", every=True)})}, html, keep)
-    p = F.col("page")[0]
+    values = {"head_next": ("head_next", "@href"), "head_prev": ("head_prev", "@href"), "next": ("next", "@href"), "prev": ("prev", "@href"), "last": ("last", "@href"), "input": ("input", "text"), "value": ("input", "@value"), "current": ("current", "text"), "total": ("total", "text"), "numbers": ("numbers", "text")}
+    found = boxes_of(pages, {"page": Boxes("", whole | {"numbers": Part("a[href]", inside="pager", every=True)})}, {"page": {f"__{k}": v for k, v in values.items()}}, html, keep)
+    given = lambda name: F.coalesce(f"__{name}", F.lit(""))
     number = lambda t: F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
-    address = lambda side: F.coalesce(F.when(attr(part(p, f"head_{side}"), "href") != "", attr(part(p, f"head_{side}"), "href")), attr(part(p, side), "href"))
-    following = web.page_in_url(attr(part(p, "head_next"), "href"))
-    said = F.when(part(p, "input").isNotNull(), attr(part(p, "input"), "value", "1")).otherwise(text_of(part(p, "current")))
+    address = lambda side: F.coalesce(F.nullif(f"__head_{side}", F.lit("")), given(side))
+    following = web.page_in_url(given("head_next"))
+    said = F.when(F.col("__input").isNotNull(), F.coalesce("__value", F.lit("1"))).otherwise(given("current"))
     current = F.coalesce(number(F.trim(said)), following - 1, F.lit(1))
-    total = F.greatest(F.lit(1), following, number(text_of(part(p, "total"))), F.array_max(F.transform(parts(p, "numbers"), lambda e: number(e["text"]))), web.page_in_url(attr(part(p, "last"), "href")))
+    total = F.greatest(F.lit(1), following, number(given("total")), F.array_max(F.transform("__numbers", number)), web.page_in_url(given("last")))
     out = found.select(*keep, current.alias("current_page"), total.alias("total_pages"), web.resolve_url(address("next"), base_url).alias("next_url"), web.resolve_url(address("prev"), base_url).alias("prev_url"))
     return out.select(*keep, "current_page", "total_pages", ((F.col("next_url") != "") | (F.col("total_pages") > F.col("current_page"))).alias("has_next"), (F.col("prev_url") != "").alias("has_prev"), "next_url", "prev_url")
