@@ -142,3 +142,15 @@ def test_pages_are_dealt_evenly(spark):
     out = forum.pagination_of(pages, "https://x.org", keep=["id"])
     assert {x["id"] for x in out.collect()} == {x["current_page"] for x in out.collect()} == set(range(400))
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+
+
+def test_blocks_meet_in_strips(spark, monkeypatch):
+    """Against brute force, with scopes, nulls, zero vectors and vectors without numbers; a block meets another in strips, and nothing twice."""
+    monkeypatch.setattr(similarity, "STRIP", 5)
+    r = np.random.default_rng(2)
+    rows = [(i, "abc"[i % 3 % 2], [0.0] * 4 if i % 20 == 3 else r.normal(size=4).tolist()) for i in range(90)] + [(900, "a", None), (None, "a", [1.0] * 4), (901, "c", []), (902, "c", [])]
+    table = spark.createDataFrame(rows, "id bigint, s string, embedding array<double>")
+    cos = lambda v, w: float(np.dot(v, w) / ((np.linalg.norm(v) or 1) * (np.linalg.norm(w) or 1)))
+    want = {(i, j) for i, p, v in rows[:90] for j, q, w in rows[:90] if i < j and p == q and cos(v, w) >= 0.4}
+    got = [(x["a"], x["b"]) for x in similarity.cosine_pairs(table, 0.4, block=11, scope=("s",)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
